@@ -28,6 +28,7 @@ IN_ROW_NAMES = 300
 BROADCAST_NAMES = 1_000_000
 BROADCAST_CHARS = 48_000_000
 SALTS = 16
+PIECES = (8192, 128)
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class NameIndex:
     payload: tuple[str, ...]
     count: int
     entries: list[dict] | None = None  # small: the entries themselves, best first
-    anchors: DataFrame | None = None  # large: gram, name, payload columns
+    anchors: DataFrame | None = None  # large: hash of the gram, name, payload columns
     gram_lengths: tuple[int, ...] = ()
     broadcast: bool = True
 
@@ -88,20 +89,53 @@ def build_index(
     )
 
 
-def _grams(chars: Column, length: int) -> Column:
-    """All substrings of ``length`` characters, each once."""
-    starts = F.sequence(F.lit(0), F.size(chars) - length)
-    grams = F.transform(starts, lambda p: F.concat(*[F.get(chars, p + k) for k in range(length)]))
-    return F.when(F.size(chars) >= length, F.array_distinct(grams)).otherwise(
-        F.array().cast("array<string>")
+def _pieces(text: Column, size: int, overlap: int) -> Column:
+    """``text`` in pieces of ``size`` characters, each with the next ``overlap`` added."""
+    last = F.ceil(F.char_length(text) / size).cast("int") - 1
+    return F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda i: F.substring(text, i * size + 1, F.lit(size + overlap)),
     )
 
 
+def _with_grams(texts: DataFrame, ids: Sequence[str], lengths: Sequence[int]) -> DataFrame:
+    """``ids, _text, gram``: every substring of the given lengths, by its start.
+
+    Positions are exploded and cut out in generated code. Texts go in pieces
+    first, as finding a position counts characters from the start; pieces
+    overlap, so no substring is lost. Some may come twice, and near a text's end
+    shorter ones appear: both are settled when candidates are verified.
+    """
+    ids = list(ids)
+    overlap = max(lengths, default=1) - 1
+    large, small = PIECES
+    pieces = F.flatten(
+        F.transform(
+            _pieces(F.col("_text"), large, overlap), lambda piece: _pieces(piece, small, overlap)
+        )
+    )
+    starts = F.sequence(F.lit(1), F.least(F.char_length("_piece"), F.lit(small)))
+    rows = (
+        texts.where(F.col("_text") != "")
+        .select(*ids, "_text", F.explode(pieces).alias("_piece"))
+        .select(*ids, "_text", "_piece", F.explode(starts).alias("_start"))
+    )
+    if len(lengths) == 1:
+        rows = rows.withColumn("_length", F.lit(lengths[0]))
+    else:
+        rows = rows.withColumn("_length", F.explode(F.lit(list(lengths))))
+    gram = F.substring(F.col("_piece"), F.col("_start"), F.col("_length"))
+    return rows.select(*ids, "_text", gram.alias("gram"))
+
+
 def _anchors(names: DataFrame, payload: tuple[str, ...]) -> DataFrame:
     """One gram per name; a name shorter than a gram is its own anchor."""
     long_names = names.where(F.length("name") > GRAM)
-    grams = long_names.select("name", F.split("name", "").alias("chars")).select(
-        "name", F.explode(_grams(F.col("chars"), GRAM)).alias("gram")
+    grams = (
+        _with_grams(long_names.select("name", F.col("name").alias("_text")), ["name"], [GRAM])
+        .where(F.char_length("gram") == GRAM)
+        .select("name", "gram")
+        .distinct()
     )
     frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = (
@@ -111,11 +145,12 @@ def _anchors(names: DataFrame, payload: tuple[str, ...]) -> DataFrame:
         .select("name", F.col("a.gram").alias("gram"))
     )
     short = names.where(F.length("name") <= GRAM).withColumn("gram", F.col("name"))
-    return (
+    anchors = (
         names.join(rarest, "name")
         .select("gram", "name", *payload)
         .unionByName(short.select("gram", "name", *payload))
     )
+    return anchors.withColumn("gram", F.xxhash64("gram"))
 
 
 def _constant(index: NameIndex) -> Column:
@@ -139,27 +174,32 @@ def all_hits(texts: DataFrame, ids: Sequence[str], text: str, index: NameIndex)
         hit = F.explode(hits_in_row(F.col(text), index)).alias("hit")
         return texts.select(*ids, hit).select(*ids, *[F.col(f"hit.{c}").alias(c) for c in out])
 
-    chars = texts.select(*ids, F.col(text).alias("_text"), F.split(text, "").alias("_chars"))
-    grams = F.concat(*[_grams(F.col("_chars"), n) for n in index.gram_lengths])
+    return _gram_hits(texts, ids, text, index).dropDuplicates([*ids, "name"])
+
+
+def _gram_hits(texts: DataFrame, ids: list[str], text: str, index: NameIndex) -> DataFrame:
+    """Verified hits; a name whose anchor occurs again in a text comes again."""
+    out = ["name", *index.payload]
+    texts = texts.select(*ids, F.col(text).alias("_text"))
+    # Hashes make a cheaper join key than strings; verification settles collisions.
+    grams = _with_grams(texts, ids, index.gram_lengths).withColumn("gram", F.xxhash64("gram"))
     if index.broadcast:
-        # A name has one anchor and a gram is listed once per text, so each
-        # pair is found once.
         return (
-            chars.select(*ids, "_text", F.explode(grams).alias("gram"))
-            .join(F.broadcast(index.anchors), "gram")
+            grams.join(F.broadcast(index.anchors), "gram")
             .where(F.contains("_text", "name"))
             .select(*ids, *out)
         )
     # Frequent grams are spread over the salts by text; the texts themselves
     # travel once, for the candidates' verification.
     salt = F.pmod(F.xxhash64(*ids), F.lit(SALTS)).cast("int")
-    spread = chars.select(*ids, salt.alias("_salt"), F.explode(grams).alias("gram"))
+    spread = grams.select(*ids, salt.alias("_salt"), "gram")
     anchors = index.anchors.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
     candidates = spread.join(anchors, ["gram", "_salt"]).select(*ids, *out)
     return (
-        candidates.join(texts.select(*ids, F.col(text).alias("_text")), ids)
+        candidates.dropDuplicates([*ids, "name"])
+        .join(texts, ids)
         .where(F.contains("_text", "name"))
         .select(*ids, *out)
     )
@@ -174,13 +214,11 @@ def best_hits(texts: DataFrame, ids: Sequence[str], text: str, index: NameIndex)
     """``ids, name, payload``: the winning name of each text that has one."""
     ids, out = list(ids), ["name", *index.payload]
     if index.in_row:
-        hit = F.get(hits_in_row(F.col(text), index), 0)
-        return (
-            texts.select(*ids, hit.alias("hit"))
-            .where(F.col("hit").isNotNull())
-            .select(*ids, *[F.col(f"hit.{c}").alias(c) for c in out])
+        first = F.explode(F.slice(hits_in_row(F.col(text), index), 1, 1))
+        return texts.select(*ids, first.alias("hit")).select(
+            *ids, *[F.col(f"hit.{c}").alias(c) for c in out]
         )
-    hits = all_hits(texts, ids, text, index)
+    hits = _gram_hits(texts, ids, text, index)
     return (
         hits.groupBy(*ids)
         .agg(_best(out))
@@ -198,7 +236,12 @@ def best_per_article(
     ids, out = list(ids), ["name", *index.payload]
     each = texts.select(*ids, F.explode(array).alias("_each"))
     # The text is part of the id here: a row's texts are distinct.
-    hits = all_hits(each, [*ids, "_each"], "_each", index).repartition(*[F.col(c) for c in ids])
+    by_text = [*ids, "_each"]
+    hits = (
+        all_hits(each, by_text, "_each", index)
+        if index.in_row
+        else _gram_hits(each, by_text, "_each", index)
+    ).repartition(*[F.col(c) for c in ids])
     best = hits.groupBy(*ids, "_each").agg(_best(out))
     entry = F.struct(F.col("_each"), F.struct(*[F.col(f"_best.{c}").alias(c) for c in out]))
     return best.groupBy(*ids).agg(F.map_from_entries(F.collect_list(entry)).alias(name))

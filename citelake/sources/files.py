@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_binary(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
-    """``name, path, length, content`` of every file below ``path``."""
+    """``name, path, length, content`` of every file below ``path``.
+
+    Spark's file sources pass over files of no bytes, and a file may have 2 GB.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
