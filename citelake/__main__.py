@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     loads.append(step("load-xml", "path", "registry", "out", "run_id"))
     for sub in (enrich, loads[1]):
         sub.add_argument("--mode", choices=("fallback", "independent"), default="fallback")
+        sub.add_argument("--registry-layout", choices=("array", "lines"), default="array")
     for sub in (enrich, loads[0]):
         sub.add_argument("--layout", choices=("lines", "files"), default="lines")
     enrich.add_argument("--batch-size", type=int)
@@ -46,7 +47,14 @@ def main(argv: list[str] | None = None) -> None:
         load.convert_xml(spark, args.path, args.out)
     elif args.step == "enrich":
         bad = load.enrich_json(
-            spark, args.path, args.registry, args.out, args.mode, args.layout, args.batch_size
+            spark,
+            args.path,
+            args.registry,
+            args.out,
+            args.mode,
+            args.layout,
+            args.batch_size,
+            args.registry_layout,
         )
         bad.write.mode("append").json(f"{args.out}-quarantine")
     elif args.step == "load-json":
@@ -63,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
             args.mode,
             args.gate,
             args.min_year,
+            args.registry_layout,
         )
     elif args.step == "load-vocabulary":
         load.load_vocabulary(spark, args.path, args.out, args.run_id)

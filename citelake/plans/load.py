@@ -95,6 +95,7 @@ def enrich_json(
     mode: str = "fallback",
     layout: str = "lines",
     batch_size: int | None = None,
+    registry_layout: str = "array",
 ) -> DataFrame:
     """Enriched documents below ``out``; returns quarantine rows.
 
@@ -102,7 +103,8 @@ def enrich_json(
     counted before any is left out.
     """
     articles, unreadable = ingest_json(spark, path, layout)
-    indexes = registry_indexes(registries.read_registry(spark, registry_path))
+    entries = registries.read_registry(spark, registry_path, layout=registry_layout)
+    indexes = registry_indexes(entries)
     if batch_size is None:
         documents.write_documents(documents.article_json(enrich(articles, *indexes, mode)), out)
         return unreadable
@@ -137,10 +139,12 @@ def load_xml(
     mode: str = "fallback",
     gate: str = "any",
     min_year: int | None = None,
+    registry_layout: str = "array",
 ) -> bool:
     """XML files to tables without documents in between."""
     articles, quarantine = ingest_xml(spark, path)
-    indexes = registry_indexes(registries.read_registry(spark, registry_path))
+    entries = registries.read_registry(spark, registry_path, layout=registry_layout)
+    indexes = registry_indexes(entries)
     return store(enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine)
 
 

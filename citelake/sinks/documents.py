@@ -153,5 +153,5 @@ def article_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def write_registry(registry: DataFrame, path: str) -> None:
-    """A curated registry, one entry per line."""
-    registry.drop("pos").write.json(path)
+    """A curated registry, one entry per line with its place in the original."""
+    registry.write.json(path)

@@ -134,10 +134,10 @@ def read_articles(
     spark: SparkSession,
     path: str,
     inline_tags: Sequence[str] = INLINE_TAGS,
-    skip_corrupt_files: bool = False,
+    glob: str = "*.{xml,xml.gz}",
 ) -> DataFrame:
     """Article rows of every XML file below ``path``, with ``_malformed``."""
-    records = with_doc_ids(read_records(spark, path, skip_corrupt_files=skip_corrupt_files))
+    records = with_doc_ids(read_records(spark, path, glob=glob))
     return order_columns(parse_records(records, inline_tags))
 
 

@@ -8,13 +8,21 @@ from citelake import schemas
 from citelake.functions.text import jtrim, text_at
 
 
-def read_registry(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+def read_registry(
+    spark: SparkSession, path: str, whole: bool = False, layout: str = "array"
+) -> DataFrame:
     """Registry entries with their place in the file (``pos``).
 
     The default reads what the dictionaries need; ``whole`` keeps every field
-    of an entry, for writing a curated registry.
+    of an entry, for writing a curated registry. ``layout="lines"`` reads what
+    ``sinks.documents.write_registry`` wrote, places included.
     """
-    reader = spark.read.option("multiLine", "true")
+    if layout not in ("array", "lines"):
+        raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
+    reader = spark.read
+    if layout == "lines":
+        return (reader if whole else reader.schema(f"{schemas.REGISTRY}, pos bigint")).json(path)
+    reader = reader.option("multiLine", "true")
     if not whole:
         reader = reader.schema(schemas.REGISTRY)
     return reader.json(path).withColumn("pos", F.monotonically_increasing_id())

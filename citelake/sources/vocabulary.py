@@ -35,6 +35,8 @@ def parse_descriptors(records: DataFrame) -> DataFrame:
     )
 
 
-def read_descriptors(spark: SparkSession, path: str) -> DataFrame:
+def read_descriptors(
+    spark: SparkSession, path: str, glob: str = "*.{xml,xml.gz}"
+) -> DataFrame:
     """Vocabulary records of every XML file below ``path``, with ``_malformed``."""
-    return parse_descriptors(with_doc_ids(read_records(spark, path, tag=RECORD_TAG)))
+    return parse_descriptors(with_doc_ids(read_records(spark, path, tag=RECORD_TAG, glob=glob)))

@@ -18,6 +18,7 @@ def start_arrivals(
     handle: Callable[[DataFrame, DataFrame, str], object],
     name: str = "arrivals",
     max_files: int = 1000,
+    glob: str = "*.{xml,xml.gz}",
 ) -> StreamingQuery:
     """Run ``handle(articles, quarantine, run_id)`` over the files not seen before.
 
@@ -26,7 +27,7 @@ def start_arrivals(
     ``run_id``, so a handler that writes by run (``plans.load.store``) takes
     every file exactly once.
     """
-    records = read_records(spark, path, streaming=True, max_files=max_files)
+    records = read_records(spark, path, glob=glob, streaming=True, max_files=max_files)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         articles, quarantine = ingest_records(with_sequence(batch))

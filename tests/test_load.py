@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from citelake import schemas
 from citelake.__main__ import main
+from citelake.operators.dictionary import organisation_dictionary
 from citelake.plans import load
 from citelake.sinks import documents, tables
 from citelake.sources import articles as A
+from citelake.sources.registry import read_registry
 from citelake.streaming.arrivals import start_arrivals
 from tests import samples as S
 
@@ -114,6 +116,9 @@ def test_vocabulary_and_curation_and_cli(spark, put, inputs, monkeypatch):
     main(["curate", str(inputs / "reg"), str(inputs / "sheet.csv"), str(inputs / "curated")])
     left = spark.read.json(str(inputs / "curated"))
     assert sorted(r.id for r in left.collect()) == ["r2", "r3", "r4", "r5", "r6"]
+    again = read_registry(spark, str(inputs / "curated"), layout="lines")
+    orgs = {r.name: r.country_code for r in organisation_dictionary(again).collect()}
+    assert orgs == {"Univ X Hospital": "SU", "Dup": "XX", "Stateless Lab": ""}
 
 
 def test_each_arrival_once(spark, put, tmp_path):
