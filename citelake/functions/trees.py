@@ -15,12 +15,27 @@ def leaf(v: Column, path: str) -> Column:
     return F.try_variant_get(v, f"$.{path}", "string")
 
 
+def shape(v: Column, ddl: str) -> Column:
+    """Many paths in one pass: ``v`` as a struct, NULL where a part is missing or
+    of another kind. A field of type variant keeps its subtree as it is.
+    """
+    return F.try_variant_get(v, "$", ddl)
+
+
 def one_or_many(v: Column) -> Column:
-    """A group that is an array when it repeats and a bare value when it does not."""
+    """A group that is an array when it repeats and a bare value when it does not;
+    an empty array when it is missing.
+    """
     single = F.when(v.isNotNull() & ~F.is_variant_null(v), F.array(v))
-    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), single)
+    none = F.array().cast("array<variant>")
+    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), single, none)
 
 
 def members(v: Column, path: str) -> Column:
-    """All members of the group at ``path``; an empty array when it is missing."""
-    return F.coalesce(one_or_many(node(v, path)), F.array().cast("array<variant>"))
+    """All members of the group at ``path``."""
+    return one_or_many(node(v, path))
+
+
+def shaped_members(v: Column, ddl: str) -> Column:
+    """The members of group ``v``, each as a struct."""
+    return F.transform(one_or_many(v), lambda m: shape(m, ddl))

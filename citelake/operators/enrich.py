@@ -51,6 +51,16 @@ def _with_lookup(
     return rows.join(found, _IDS, "left"), lambda text: F.try_element_at(F.col(name), text)
 
 
+def _worked_out(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value`` as a column that is computed once per row.
+
+    Later filters and lambdas would otherwise each take in the expression
+    itself; the optimizer does not move it through a generator.
+    """
+    others = [c for c in rows.columns if c != name]
+    return rows.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def enrich(
     articles: DataFrame,
     organisations: NameIndex,
@@ -85,7 +95,7 @@ def enrich(
     marks = F.transform(
         "authors", lambda a: F.transform(F.coalesce(a["affiliations"], F.array()), marks_of)
     )
-    rows = rows.withColumn("_marks", marks)
+    rows = _worked_out(rows, "_marks", marks)
     if require_both:
         found = F.flatten("_marks")
         rows = rows.where(
@@ -120,4 +130,4 @@ def enrich(
             ),
         )
 
-    return rows.withColumn("authors", F.transform("authors", author)).select(*articles.columns)
+    return _worked_out(rows, "authors", F.transform("authors", author)).select(*articles.columns)

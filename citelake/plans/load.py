@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake.operators import flatten, gates, integrity, keys, vocabulary
 from citelake.operators.dictionary import country_dictionary, curate, organisation_dictionary
 from citelake.operators.enrich import country_index, enrich, organisation_index
 from citelake.operators.matching import NameIndex
-from citelake.session import stage
+from citelake.session import spread, stage
 from citelake.sinks import documents, tables
 from citelake.sources import articles as source
 from citelake.sources import files, registry as registries, vocabulary as vocabulary_source
@@ -32,14 +32,19 @@ def ingest_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Damaged gzip files are found first and their rows left out whole.
     """
     checked = stage(integrity.check_gzip(files.read_binary(spark, path)), "gzip")
-    records = source.read_records(spark, path, skip_corrupt_files=True)
+    # A gzip file is read by one task; parsing need not wait for it.
+    records = spread(source.read_records(spark, path, skip_corrupt_files=True))
     articles, malformed = ingest_records(integrity.without_corrupt(records, checked))
     return articles, malformed.unionByName(integrity.corrupt_files(checked))
 
 
 def ingest_json(spark: SparkSession, path: str, layout: str) -> tuple[DataFrame, DataFrame]:
-    trees, unreadable = source.split_unreadable(source.read_article_json(spark, path, layout))
-    return stage(source.articles_from_trees(trees), "articles"), unreadable
+    """Articles of all JSON files below ``path``, parsed once, and quarantine rows."""
+    trees = source.read_article_json(spark, path, layout)
+    marked = trees.withColumn("_readable", F.col("tree").isNotNull())
+    parsed = stage(source.articles_from_trees(marked), "articles")
+    good = parsed.where(F.col("_readable")).drop("_readable")
+    return good, source.unreadable(parsed.where(~F.col("_readable")))
 
 
 def registry_indexes(registry: DataFrame) -> tuple[NameIndex, NameIndex]:

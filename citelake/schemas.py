@@ -71,6 +71,38 @@ RAW_ARTICLE = (
     f"{CORRUPT} string"
 )
 
+# The same citation as a JSON tree: the groups stay variants, since a group is an
+# array only when it repeats.
+_LEAF = "struct<value:string>"
+TREE = (
+    "struct<MedlineCitation:struct<"
+    f"PMID:{_LEAF}, "
+    f"Article:struct<ArticleTitle:{_LEAF}, "
+    f"Journal:struct<Title:{_LEAF}, ISOAbbreviation:{_LEAF}, "
+    f"JournalIssue:struct<Volume:{_LEAF}, Issue:{_LEAF}, "
+    f"PubDate:struct<Year:{_LEAF}, Month:{_LEAF}, Day:{_LEAF}>>>, "
+    "AuthorList:struct<Author:variant>, "
+    "DataBankList:struct<CompleteYN:string, DataBank:variant>>, "
+    "MeshHeadingList:struct<MeshHeading:variant>, KeywordList:variant>, "
+    "PubmedData:struct<History:struct<PubMedPubDate:variant>, ReferenceList:variant>>"
+)
+TREE_AUTHOR = (
+    f"struct<ValidYN:string, LastName:{_LEAF}, ForeName:{_LEAF}, Initials:{_LEAF}, "
+    f"Suffix:{_LEAF}, Identifier:variant, AffiliationInfo:variant>"
+)
+TREE_IDENTIFIER = "struct<Source:string, value:string>"
+TREE_AFFILIATION = (
+    f"struct<Affiliation:{_LEAF}, institution_name:string, country_code:string, "
+    "country_name:string>"
+)
+TREE_DATE = f"struct<PubStatus:string, Year:{_LEAF}, Month:{_LEAF}, Day:{_LEAF}>"
+TREE_NAME = "struct<value:string, MajorTopicYN:string, UI:string>"
+TREE_HEADING = f"struct<DescriptorName:{TREE_NAME}, QualifierName:variant>"
+TREE_REFERENCE = f"struct<Citation:{_LEAF}, ArticleIdList:struct<ArticleId:variant>>"
+TREE_ARTICLE_ID = "struct<IdType:string, value:string>"
+TREE_BANK = f"struct<DataBankName:{_LEAF}, AccessionNumberList:struct<AccessionNumber:variant>>"
+TREE_LEAF = _LEAF
+
 # One vocabulary record.
 RAW_DESCRIPTOR = (
     "DescriptorUI string, DescriptorName struct<String:string>, "

@@ -62,3 +62,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Redistribute a scan that comes in fewer partitions than there are cores.
+
+    For costly work per row on few files. Large inputs come in many splits and
+    pass unchanged. Give it plain scans only: counting the partitions of a plan
+    with shuffles would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

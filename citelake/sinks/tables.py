@@ -8,22 +8,33 @@ so a run that dies half-way leaves nothing behind for them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake import schemas
 from citelake.operators.keys import ARTICLE_KEYS
 
 RUNS = "_runs"
+WRITERS = 4
 _RUN_SCHEMA = "run_id string, " + ", ".join(f"next_{k} bigint" for k in ARTICLE_KEYS)
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, run_id: str) -> None:
-    """Write every table of the run; repeating an unfinished run replaces its files."""
-    for name, df in tables.items():
+    """Write every table of the run; repeating an unfinished run replaces its files.
+
+    A few tables at a time, so that the last tasks of one leave no cores idle.
+    """
+
+    def write(table: tuple[str, DataFrame]) -> None:
+        name, df = table
         df.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
 
+    with ThreadPoolExecutor(WRITERS) as writers:
+        for _ in writers.map(write, tables.items()):
+            pass
+
 
 def publish(spark: SparkSession, out: str, run_id: str, next_numbers: DataFrame | None = None) -> None:
     """Record the run as finished. Written last, as one file."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from citelake import schemas
 from citelake.functions.text import INLINE_TAGS, strip_tags
-from citelake.functions.trees import leaf, members, node
+from citelake.functions.trees import leaf, node, one_or_many, shape, shaped_members
 
 RECORD_TAG = "PubmedArticle"
 
@@ -353,13 +353,17 @@ def read_article_json(spark: SparkSession, path: str, layout: str = "lines") ->
 
 def split_unreadable(trees: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable trees, quarantine rows)."""
-    bad = trees.where(F.col("tree").isNull()).select(
+    readable = F.col("tree").isNotNull()
+    return trees.where(readable), unreadable(trees.where(~readable))
+
+
+def unreadable(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("source_file").alias("source"),
         "doc_id",
         F.lit("read").alias("stage"),
         F.lit("unreadable json").alias("reason"),
     )
-    return trees.where(F.col("tree").isNotNull()), bad
 
 
 def articles_from_trees(trees: DataFrame, keep_tree: bool = False) -> DataFrame:
@@ -367,116 +371,133 @@ def articles_from_trees(trees: DataFrame, keep_tree: bool = False) -> DataFrame:
 
     ``keep_tree`` keeps the tree itself, with the fields articles leave out.
     """
-    tree = F.col("tree")
-    kept = ["doc_id", "source_file"]
-    extra = ["tree"] if keep_tree else []
-    return trees.select(*kept, *_columns_from_tree(tree), *extra)
+    kept = [c for c in trees.columns if keep_tree or c != "tree"]
+    shaped = trees.select(*kept, shape(F.col("tree"), schemas.TREE).alias("t"))
+    return order_columns(shaped.select(*kept, *_columns_from_tree(F.col("t"))))
 
 
 def _columns_from_tree(t: Column) -> list[Column]:
-    article = "MedlineCitation.Article"
-    journal = f"{article}.Journal"
-    issue = f"{journal}.JournalIssue"
+    citation, data = t["MedlineCitation"], t["PubmedData"]
+    article = citation["Article"]
+    journal = article["Journal"]
+    issue = journal["JournalIssue"]
+
+    def rows_of(group: Column, ddl: str, build: Callable[[Column], Column]) -> Column:
+        return F.transform(shaped_members(group, ddl), build)
+
+    def affiliation(f: Column) -> Column:
+        # An affiliation without text is still one: only a missing node is NULL.
+        text = F.when(
+            f["Affiliation"].isNotNull(), F.coalesce(f["Affiliation"]["value"], F.lit(""))
+        )
+        return F.struct(
+            text.alias("affiliation"),
+            f["institution_name"].alias("institution_name"),
+            f["country_code"].alias("country_code"),
+            f["country_name"].alias("country_name"),
+        )
 
     def author(a: Column) -> Column:
         # A repeated identifier: the first counts.
-        identifier = F.get(members(a, "Identifier"), 0)
+        identifier = F.get(shaped_members(a["Identifier"], schemas.TREE_IDENTIFIER), 0)
         return F.struct(
-            leaf(a, "ValidYN").alias("valid_yn"),
-            leaf(a, "LastName.value").alias("last_name"),
-            leaf(a, "ForeName.value").alias("fore_name"),
-            leaf(a, "Initials.value").alias("initials"),
-            leaf(a, "Suffix.value").alias("suffix"),
-            leaf(identifier, "Source").alias("identifier_source"),
-            leaf(identifier, "value").alias("identifier"),
-            F.transform(
-                members(a, "AffiliationInfo"),
-                lambda f: F.struct(
-                    # An affiliation without text is still one: only a missing node is NULL.
-                    F.when(
-                        node(f, "Affiliation").isNotNull(),
-                        F.coalesce(leaf(f, "Affiliation.value"), F.lit("")),
-                    ).alias("affiliation"),
-                    leaf(f, "institution_name").alias("institution_name"),
-                    leaf(f, "country_code").alias("country_code"),
-                    leaf(f, "country_name").alias("country_name"),
-                ),
-            ).alias("affiliations"),
+            a["ValidYN"].alias("valid_yn"),
+            a["LastName"]["value"].alias("last_name"),
+            a["ForeName"]["value"].alias("fore_name"),
+            a["Initials"]["value"].alias("initials"),
+            a["Suffix"]["value"].alias("suffix"),
+            identifier["Source"].alias("identifier_source"),
+            identifier["value"].alias("identifier"),
+            rows_of(a["AffiliationInfo"], schemas.TREE_AFFILIATION, affiliation).alias(
+                "affiliations"
+            ),
         )
 
     def heading(h: Column) -> Column:
         return F.struct(
-            leaf(h, "DescriptorName.value").alias("descriptor_name"),
-            leaf(h, "DescriptorName.MajorTopicYN").alias("descriptor_major_topic_yn"),
-            leaf(h, "DescriptorName.UI").alias("descriptor_ui"),
-            F.transform(
-                members(h, "QualifierName"),
+            h["DescriptorName"]["value"].alias("descriptor_name"),
+            h["DescriptorName"]["MajorTopicYN"].alias("descriptor_major_topic_yn"),
+            h["DescriptorName"]["UI"].alias("descriptor_ui"),
+            rows_of(
+                h["QualifierName"],
+                schemas.TREE_NAME,
                 lambda q: F.struct(
-                    leaf(q, "value").alias("name"),
-                    leaf(q, "MajorTopicYN").alias("major_topic_yn"),
-                    leaf(q, "UI").alias("ui"),
+                    q["value"].alias("name"),
+                    q["MajorTopicYN"].alias("major_topic_yn"),
+                    q["UI"].alias("ui"),
                 ),
             ).alias("qualifiers"),
         )
 
     def reference(r: Column) -> Column:
         return F.struct(
-            leaf(r, "Citation.value").alias("citation"),
-            F.transform(
-                members(r, "ArticleIdList.ArticleId"),
-                lambda i: F.struct(
-                    leaf(i, "IdType").alias("id_type"), leaf(i, "value").alias("value")
-                ),
+            r["Citation"]["value"].alias("citation"),
+            rows_of(
+                r["ArticleIdList"]["ArticleId"],
+                schemas.TREE_ARTICLE_ID,
+                lambda i: F.struct(i["IdType"].alias("id_type"), i["value"].alias("value")),
             ).alias("article_ids"),
         )
 
     def bank(b: Column) -> Column:
         return F.struct(
-            leaf(b, "DataBankName.value").alias("name"),
-            F.transform(
-                members(b, "AccessionNumberList.AccessionNumber"), lambda n: leaf(n, "value")
+            b["DataBankName"]["value"].alias("name"),
+            rows_of(
+                b["AccessionNumberList"]["AccessionNumber"],
+                schemas.TREE_LEAF,
+                lambda n: n["value"],
             ).alias("accession_numbers"),
         )
 
-    def lists_of(path: str, member: str) -> Column:
-        return F.flatten(F.transform(members(t, path), lambda g: members(g, member)))
+    def lists_of(group: Column, member: str) -> Column:
+        # The list itself may repeat, too.
+        lists = shaped_members(group, f"struct<{member}:variant>")
+        return F.flatten(F.transform(lists, lambda g: one_or_many(g[member])))
 
     return [
-        leaf(t, "MedlineCitation.PMID.value").alias("pmid"),
-        leaf(t, f"{article}.ArticleTitle.value").alias("title"),
+        citation["PMID"]["value"].alias("pmid"),
+        article["ArticleTitle"]["value"].alias("title"),
         F.struct(
-            leaf(t, f"{journal}.Title.value").alias("title"),
-            leaf(t, f"{journal}.ISOAbbreviation.value").alias("iso_abbreviation"),
-            leaf(t, f"{issue}.Volume.value").alias("volume"),
-            leaf(t, f"{issue}.Issue.value").alias("issue"),
-            leaf(t, f"{issue}.PubDate.Year.value").alias("pub_year"),
-            leaf(t, f"{issue}.PubDate.Month.value").alias("pub_month"),
-            leaf(t, f"{issue}.PubDate.Day.value").alias("pub_day"),
+            journal["Title"]["value"].alias("title"),
+            journal["ISOAbbreviation"]["value"].alias("iso_abbreviation"),
+            issue["Volume"]["value"].alias("volume"),
+            issue["Issue"]["value"].alias("issue"),
+            issue["PubDate"]["Year"]["value"].alias("pub_year"),
+            issue["PubDate"]["Month"]["value"].alias("pub_month"),
+            issue["PubDate"]["Day"]["value"].alias("pub_day"),
         ).alias("journal"),
-        F.transform(members(t, f"{article}.AuthorList.Author"), author).alias("authors"),
-        F.transform(
-            members(t, "PubmedData.History.PubMedPubDate"),
+        rows_of(article["AuthorList"]["Author"], schemas.TREE_AUTHOR, author).alias("authors"),
+        rows_of(
+            data["History"]["PubMedPubDate"],
+            schemas.TREE_DATE,
             lambda d: F.struct(
-                leaf(d, "PubStatus").alias("pub_status"),
-                leaf(d, "Year.value").alias("year"),
-                leaf(d, "Month.value").alias("month"),
-                leaf(d, "Day.value").alias("day"),
+                d["PubStatus"].alias("pub_status"),
+                d["Year"]["value"].alias("year"),
+                d["Month"]["value"].alias("month"),
+                d["Day"]["value"].alias("day"),
             ),
         ).alias("pub_dates"),
-        F.transform(members(t, "MedlineCitation.MeshHeadingList.MeshHeading"), heading).alias(
+        rows_of(citation["MeshHeadingList"]["MeshHeading"], schemas.TREE_HEADING, heading).alias(
             "headings"
         ),
-        F.transform(lists_of("PubmedData.ReferenceList", "Reference"), reference).alias(
-            "references"
-        ),
+        F.transform(
+            F.transform(
+                lists_of(data["ReferenceList"], "Reference"),
+                lambda r: shape(r, schemas.TREE_REFERENCE),
+            ),
+            reference,
+        ).alias("references"),
         F.struct(
-            leaf(t, f"{article}.DataBankList.CompleteYN").alias("complete_yn"),
-            F.transform(members(t, f"{article}.DataBankList.DataBank"), bank).alias("banks"),
+            article["DataBankList"]["CompleteYN"].alias("complete_yn"),
+            rows_of(article["DataBankList"]["DataBank"], schemas.TREE_BANK, bank).alias("banks"),
         ).alias("databanks"),
         F.transform(
-            lists_of("MedlineCitation.KeywordList", "Keyword"),
+            F.transform(
+                lists_of(citation["KeywordList"], "Keyword"),
+                lambda k: shape(k, schemas.TREE_NAME),
+            ),
             lambda k: F.struct(
-                leaf(k, "value").alias("keyword"), leaf(k, "MajorTopicYN").alias("major_topic_yn")
+                k["value"].alias("keyword"), k["MajorTopicYN"].alias("major_topic_yn")
             ),
         ).alias("keywords"),
     ]
