@@ -9,12 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalog import citations as C
+from citelake import schemas
 from citelake.functions.text import to_int
 from citelake.functions.trees import leaf, members
 from citelake.operators import dictionary, flatten, gates, integrity, keys, matching, vocabulary
 from citelake.operators.enrich import country_index, enrich, organisation_index
 from citelake.plans import load
-from citelake.session import stage, stage_path
+from citelake.session import stage_path
 from citelake.sinks import documents, tables
 from citelake.sources import articles as A, files, registry
 from citelake.sources.vocabulary import read_descriptors
@@ -147,7 +148,7 @@ def pubdate_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def affiliation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched and gated articles: authors joined to their affiliations by number."""
     kept = gates.gate_any(_enriched(spark, sf_dir, "fallback"))
-    numbered = stage(keys.number_articles(kept), "numbered")
+    numbered = keys.number_articles(kept, staged=True)
     return (
         flatten.author_affiliation(numbered)
         .join(flatten.author(numbered).select("author_no", "lastname"), "author_no")
@@ -169,9 +170,8 @@ def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.read_table(spark, out, name)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("name"), "n")
-        for name in flatten.flatten_articles(
-            keys.number_articles(C.articles(spark, sf_dir))
-        )
+        for name in schemas.TABLE_COLUMNS
+        if name not in ("pub_mesh_desc_list", "pub_mesh_trees")
     ]
     result = counts[0]
     for count in counts[1:]:

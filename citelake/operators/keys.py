@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from citelake.session import stage
+
 
 def bucket_of(keys: Sequence[str], digits: int) -> Column:
     """The first hex digits of the key's MD5: a pure function of the row."""
@@ -19,22 +21,44 @@ def with_bases(
     keys: Sequence[str],
     start: Mapping[str, int] | None = None,
     digits: int = 3,
+    staged: bool = False,
 ) -> DataFrame:
     """Give every row a block of ``sizes[x]`` numbers beginning at ``x_base``.
 
     Blocks follow each other without gaps in the order (bucket, keys), where a
     row's bucket comes from a hash of ``keys``. The keys must be unique, so
-    buckets are even and the numbers are the same whenever the rows are. One
-    shuffle by bucket; the first pass sums sizes only, and its result holds at
-    most ``16 ** digits`` rows, which bounds both the broadcast and the running
-    total over buckets. Use more digits for more than some 10^9 rows.
+    buckets are even and the numbers are the same whenever the rows are.
+
+    Rows are shuffled once, by bucket, for running totals inside it. The totals
+    per bucket are a table of at most ``16 ** digits`` rows, which bounds both
+    its broadcast and the running total over buckets. Use more digits for more
+    than some 10^9 rows. ``df`` is evaluated twice; with ``staged`` once, being
+    written in between, which also makes every later use of the result a scan.
     """
     if not 1 <= digits <= 4:
         raise ValueError("digits must be between 1 and 4")
     start = start or {}
-    bucket = bucket_of(keys, digits)
-    totals = df.groupBy(bucket.alias("_bucket")).agg(
-        *[F.sum(size.cast("bigint")).alias(f"_total_{x}") for x, size in sizes.items()]
+    sized = df.select(
+        "*",
+        bucket_of(keys, digits).alias("_bucket"),
+        *[size.cast("bigint").alias(f"_size_{x}") for x, size in sizes.items()],
+    )
+    inside = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    placed = sized.select(
+        *df.columns,
+        "_bucket",
+        *[f"_size_{x}" for x in sizes],
+        *[
+            F.coalesce(F.sum(f"_size_{x}").over(inside), F.lit(0)).alias(f"_inside_{x}")
+            for x in sizes
+        ],
+    )
+    if staged:
+        placed = stage(placed, "placed")
+    totals = (placed if staged else sized).groupBy("_bucket").agg(
+        *[F.sum(f"_size_{x}").alias(f"_total_{x}") for x in sizes]
     )
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -46,21 +70,10 @@ def with_bases(
             for x in sizes
         ],
     )
-    inside = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    bases = [
-        (
-            F.col(f"_offset_{x}")
-            + F.coalesce(F.sum(size.cast("bigint")).over(inside), F.lit(0))
-        ).alias(f"{x}_base")
-        for x, size in sizes.items()
-    ]
-    return (
-        df.withColumn("_bucket", bucket)
-        .join(F.broadcast(offsets), "_bucket")
-        .select(*df.columns, *bases)
-    )
+    if staged:
+        offsets = stage(offsets, "offsets")
+    bases = [(F.col(f"_offset_{x}") + F.col(f"_inside_{x}")).alias(f"{x}_base") for x in sizes]
+    return placed.join(F.broadcast(offsets), "_bucket").select(*df.columns, *bases)
 
 
 def dense_numbers(
@@ -98,37 +111,38 @@ def affiliation_total(authors: Column) -> Column:
 ARTICLE_KEYS = ("author", "affiliation", "reference", "heading", "keyword")
 
 
+def _article_sizes() -> dict[str, Column]:
+    return {
+        "author": _members(F.col("authors")),
+        "affiliation": affiliation_total(F.col("authors")),
+        "reference": _members(F.col("references")),
+        "heading": _members(F.col("headings")),
+        "keyword": _members(F.col("keywords")),
+    }
+
+
 def number_articles(
-    articles: DataFrame, start: Mapping[str, int] | None = None, digits: int = 3
+    articles: DataFrame,
+    start: Mapping[str, int] | None = None,
+    digits: int = 3,
+    staged: bool = False,
 ) -> DataFrame:
     """Reserve the numbers of all members of an article at once.
 
     The flatteners add a member's position to the article's base, so parents
     and links agree without a join and all flatteners are narrow.
     """
-    sizes = {
-        "author": _members(F.col("authors")),
-        "affiliation": affiliation_total(F.col("authors")),
-        "reference": _members(F.col("references")),
-        "heading": _members(F.col("headings")),
-        "keyword": _members(F.col("keywords")),
-    }
-    return with_bases(articles, sizes, ["doc_id", "source_file"], start, digits)
+    return with_bases(
+        articles, _article_sizes(), ["doc_id", "source_file"], start, digits, staged
+    )
 
 
 def next_numbers(numbered: DataFrame, start: Mapping[str, int] | None = None) -> DataFrame:
     """One row: the first free number of each kind after ``numbered``."""
     start = start or {}
-    sizes = {
-        "author": _members(F.col("authors")),
-        "affiliation": affiliation_total(F.col("authors")),
-        "reference": _members(F.col("references")),
-        "heading": _members(F.col("headings")),
-        "keyword": _members(F.col("keywords")),
-    }
     return numbered.agg(
         *[
             F.coalesce(F.max(F.col(f"{x}_base") + size), F.lit(start.get(x, 1))).alias(x)
-            for x, size in sizes.items()
+            for x, size in _article_sizes().items()
         ]
     )

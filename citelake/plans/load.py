@@ -76,7 +76,7 @@ def store(
     if min_year is not None:
         kept = gates.gate_year(kept, min_year)
     start = tables.start_numbers(spark, out)
-    numbered = stage(keys.number_articles(kept, start), "numbered")
+    numbered = keys.number_articles(kept, start, staged=True)
     result = flatten.flatten_articles(numbered, min_year)
     if quarantine is not None:
         result["quarantine"] = quarantine
