@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import argparse
 
+from citelake.operators.integrity import failed_files
 from citelake.plans import load
-from citelake.session import get_spark
+from citelake.session import get_spark, stage
 from citelake.sinks.tables import run_totals
 
 
@@ -19,7 +20,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(argument)
         return sub
 
-    step("verify", "path")
+    step("verify", "path").add_argument("--failed", help="where to write the failed files")
     step("convert", "path", "out")
     enrich = step("enrich", "path", "registry", "out")
     loads = [step("load-json", "path", "out", "run_id")]
@@ -42,7 +43,10 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = get_spark()
     if args.step == "verify":
-        run_totals(load.verify_files(spark, args.path)).show()
+        statuses = stage(load.verify_files(spark, args.path), "statuses")
+        run_totals(statuses).show()
+        if args.failed:
+            failed_files(statuses).write.mode("append").json(args.failed)
     elif args.step == "convert":
         load.convert_xml(spark, args.path, args.out)
     elif args.step == "enrich":

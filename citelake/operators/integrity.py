@@ -46,6 +46,16 @@ def verified(statuses: DataFrame) -> DataFrame:
     return statuses.where(F.col("status") == "ok").select("name")
 
 
+def failed_files(statuses: DataFrame) -> DataFrame:
+    """Quarantine rows of the files that did not pass ``verify_md5``."""
+    return statuses.where(F.col("status") != "ok").select(
+        F.col("name").alias("source"),
+        F.lit(None).cast("string").alias("doc_id"),
+        F.lit("checksum").alias("stage"),
+        F.col("status").alias("reason"),
+    )
+
+
 def _gzip_fault(data: bytes) -> str | None:
     """None when the bytes are a whole gzip file. Members may follow each other;
     bytes after the last one that start no new member are ignored.

@@ -19,9 +19,13 @@ def write_documents(documents: DataFrame, path: str, per_file: int = PER_FILE) -
 
 
 def write_batches(documents: DataFrame, path: str) -> None:
-    """As ``write_documents``, in a folder per value of ``batch``."""
+    """As ``write_documents``, in a folder per value of ``batch``.
+
+    A batch has a bounded number of documents, so it may be one task's work.
+    """
     (
         documents.select("batch", "doc_id", F.try_parse_json("json").alias("article"))
+        .repartition("batch")
         .write.partitionBy("batch")
         .json(path)
     )

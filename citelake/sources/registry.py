@@ -34,6 +34,8 @@ def read_review_sheet(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema("action string, no string, name string")
         .option("header", "true")
         .option("enforceSchema", "true")
+        .option("escape", '"')
+        .option("multiLine", "true")
         .csv(path)
         .select(
             jtrim(text_at(F.col("action"))).alias("action"),

@@ -60,9 +60,11 @@ def test_dictionaries(spark, put, tmp_path):
 
 
 def test_curate_keeps_all_fields(spark, put, tmp_path):
-    sheet = put("sheet.csv", 'MP,NO,"Name1"\ndelete,1,UNIV X\n Delete ,2, Dup \nKeep,3,Univ X Hospital\nDelete,4,\n,5,Stateless Lab\n')
+    sheet = put("sheet.csv", 'MP,NO,"Name1"\ndelete,1,UNIV X\n Delete ,2, Dup \nKeep,3,Univ X Hospital\nDelete,4,\n,5,Stateless Lab\nDelete,6,"A ""b""\nc",more\n')
     entries = registry_rows(spark, put, tmp_path, whole=True)
-    left = D.curate(entries, registry.read_review_sheet(spark, sheet))
+    rows = registry.read_review_sheet(spark, sheet)
+    assert rows.where(F.col("name") == 'A "b"\nc').count() == 1
+    left = D.curate(entries, rows)
     assert sorted(r.id for r in left.collect()) == ["r2", "r5", "r6"]
     assert "country" in left.columns
 
@@ -245,6 +247,8 @@ def test_md5(spark, put, tmp_path):
     path = str(tmp_path / "in")
     got = integrity.verify_md5(files.read_binary(spark, path), files.read_sidecars(spark, path))
     assert {r.name: r.status for r in got.collect()} == {f"{n}.gz": s for n, (_, s) in cases.items()}
+    failed = {(r.source, r.stage, r.reason) for r in integrity.failed_files(got).collect()}
+    assert len(failed) == 6 and ("none.gz", "checksum", "no_sidecar") in failed
     remote = spark.createDataFrame([("eq.gz",), ("wrong.gz",), ("new.gz",), ("x.txt",)], "name string")
     todo = files.new_files(remote, integrity.verified(got))
     assert sorted(r.name for r in todo.collect()) == ["new.gz", "wrong.gz"]
@@ -266,3 +270,23 @@ def test_gzip(spark, put, tmp_path):
     good = {"whole.gz", "members.gz", "trailing.gz", "empty_member.gz"}
     assert {r.name for r in got if r.ok} == good and len(got) == len(cases)
     assert all((r.reason is None) == r.ok for r in got)
+
+
+def test_hot_keys(spark):
+    """A third of all rows under one name, one text or one file."""
+    entries = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), "id")).alias("name"),
+        F.col("id").cast("string").alias("v"), F.col("id").alias("pos"))
+    best = D.last_wins(entries, "name", "pos", ["v"])
+    assert best.count() == 20_001 and best.where("name = 'hot'").first().v == "29997"
+    names = spark.range(500).select(F.concat(F.lit("Institute No "), "id").alias("name"))
+    from citelake.operators import matching
+
+    index = matching.build_index(names)
+    texts = spark.range(6_000).select("id", F.when(F.col("id") % 3 == 0, "at Institute No 7, X").otherwise(
+        F.concat(F.lit("Institute No "), F.col("id") % 700)).alias("text"))
+    hits = matching.best_hits(texts, ["id"], "text", index)
+    assert hits.where("name = 'Institute No 7'").count() >= 2_000
+    # Every 700..: only shorter names may match there.
+    want = texts.where("id % 3 = 0 or id % 700 < 500").count()
+    assert hits.where("id % 3 = 0 or id % 700 < 500").count() == want
