@@ -41,14 +41,14 @@ def affiliation_texts(authors: Column) -> Column:
 
 
 def _with_lookup(
-    rows: DataFrame, articles: DataFrame, index: NameIndex, name: str
+    rows: DataFrame, articles: DataFrame, index: NameIndex, name: str, how: str
 ) -> tuple[DataFrame, Callable[[Column], Column]]:
     """Rows able to look a text up, and the lookup itself."""
     if index.in_row:
         return rows, lambda text: F.get(hits_in_row(text, index), 0)
     texts = articles.select(*_IDS, affiliation_texts(F.col("authors")).alias("_texts"))
     found = best_per_article(texts, _IDS, "_texts", index, name)
-    return rows.join(found, _IDS, "left"), lambda text: F.try_element_at(F.col(name), text)
+    return rows.join(found, _IDS, how), lambda text: F.try_element_at(F.col(name), text)
 
 
 def _worked_out(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -82,8 +82,12 @@ def enrich(
     if require_both is None:
         require_both = mode == "independent"
 
-    rows, find_organisation = _with_lookup(articles, articles, organisations, "_organisations")
-    rows, find_country = _with_lookup(rows, articles, countries, "_countries")
+    # Where both must match, an article without hits need not pass the join.
+    how = "inner" if require_both else "left"
+    rows, find_organisation = _with_lookup(
+        articles, articles, organisations, "_organisations", how
+    )
+    rows, find_country = _with_lookup(rows, articles, countries, "_countries", how)
 
     def marks_of(f: Column) -> Column:
         usable = is_usable(f["affiliation"])

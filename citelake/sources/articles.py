@@ -328,7 +328,9 @@ def read_article_json(spark: SparkSession, path: str, layout: str = "lines") ->
     text gives a NULL ``tree``.
 
     ``layout="files"``: one object per ``*.json`` file, named by the file.
-    ``layout="lines"``: the lines written by ``sinks.documents.write_documents``.
+    ``layout="lines"``: the lines written by ``sinks.documents.write_documents``;
+    ``source_file`` tells lines of one file apart, so copies of a document stay
+    rows of their own.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
     if layout == "files":
@@ -342,7 +344,9 @@ def read_article_json(spark: SparkSession, path: str, layout: str = "lines") ->
         raise ValueError(f"layout must be 'files' or 'lines', not {layout!r}")
     lines = reader.text(path).select(
         F.try_parse_json("value").alias("line"),
-        F.col("_metadata.file_path").alias("source_file"),
+        F.concat_ws(
+            "#", F.col("_metadata.file_path"), F.monotonically_increasing_id().cast("string")
+        ).alias("source_file"),
     )
     return lines.select(
         leaf(F.col("line"), "doc_id").alias("doc_id"),

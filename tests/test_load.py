@@ -106,6 +106,19 @@ def test_article_json_round_trip(spark, inputs):
     assert order(back) == order(articles)
 
 
+def test_copies_of_a_document_stay_apart(spark, put, tmp_path):
+    tree = {"MedlineCitation": {"PMID": {"value": "7"}, "Article": {"AuthorList": {"Author": {
+        "AffiliationInfo": {"Affiliation": {"value": "x"}, "country_code": "C", "institution_name": "I"}}}}}}
+    line = json.dumps({"doc_id": "same", "article": tree})
+    put("docs/part.json", "\n".join([line] * 50 + ["{bad"]) + "\n")
+    out = str(tmp_path / "out")
+    load.load_json(spark, str(tmp_path / "docs"), out, "r")
+    assert sorted(r[1] for r in rows(spark, out, "pub_author")) == list(range(1, 51))
+    links = rows(spark, out, "pub_author_affiliation")
+    assert len({r[1] for r in links}) == len({r[2] for r in links}) == 50
+    assert len(rows(spark, out, "quarantine")) == 1
+
+
 def test_vocabulary_and_curation_and_cli(spark, put, inputs, monkeypatch):
     put("mesh/desc.xml", S.MESH)
     put("sheet.csv", "a,n,name\nDelete,1,univ x\n")
