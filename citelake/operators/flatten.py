@@ -69,7 +69,9 @@ def author(articles: DataFrame) -> DataFrame:
 def _affiliation_rows(articles: DataFrame) -> DataFrame:
     def of_author(a: Column, i: Column) -> Column:
         return F.transform(
-            F.filter(F.coalesce(a["affiliations"], F.array()), lambda f: f["affiliation"].isNotNull()),
+            F.filter(
+                F.coalesce(a["affiliations"], F.array()), lambda f: f["affiliation"].isNotNull()
+            ),
             lambda f: F.struct(
                 i.alias("author_pos"),
                 a["identifier_source"].alias("identifier_source"),

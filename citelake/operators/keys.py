@@ -89,7 +89,8 @@ def batch_numbers(
 ) -> DataFrame:
     """Spread rows over batches 1, 2, … of ``size`` rows each."""
     numbered = dense_numbers(df, keys, "_n")
-    return numbered.withColumn(name, F.floor((F.col("_n") - 1) / size).cast("bigint") + 1).drop("_n")
+    batch = F.expr(f"(_n - 1) div {int(size)} + 1")
+    return numbered.withColumn(name, batch).drop("_n")
 
 
 def _members(c: Column) -> Column:

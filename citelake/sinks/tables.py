@@ -36,7 +36,9 @@ def write_tables(tables: Mapping[str, DataFrame], out: str, run_id: str) -> None
             pass
 
 
-def publish(spark: SparkSession, out: str, run_id: str, next_numbers: DataFrame | None = None) -> None:
+def publish(
+    spark: SparkSession, out: str, run_id: str, next_numbers: DataFrame | None = None
+) -> None:
     """Record the run as finished. Written last, as one file."""
     numbers = next_numbers if next_numbers is not None else spark.range(1).select()
     present = set(numbers.columns)

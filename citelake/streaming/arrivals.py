@@ -25,7 +25,8 @@ def start_arrivals(
     Stops when all present files are done. A whole file is always in one
     micro-batch. After a failure the same micro-batch comes again under the same
     ``run_id``, so a handler that writes by run (``plans.load.store``) takes
-    every file exactly once.
+    every file exactly once. Let only verified files into the folder: a damaged
+    gzip stops the stream.
     """
     records = read_records(spark, path, glob=glob, streaming=True, max_files=max_files)
 

@@ -1,8 +1,8 @@
+import gzip
 import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from citelake import schemas
 from citelake.__main__ import main
@@ -19,8 +19,6 @@ from tests import samples as S
 def inputs(put, tmp_path):
     put("xml/a.xml", S.article_set(S.FULL, S.BROKEN, S.BARE))
     put("xml/b.xml.gz", S.article_set(S.SINGLE))
-    import gzip
-
     put("xml/cut.xml.gz", gzip.compress(S.article_set(*[S.FULL] * 50).encode())[:150])
     put("reg/orgs.json", S.REGISTRY)
     return tmp_path

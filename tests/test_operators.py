@@ -1,6 +1,5 @@
 import gzip
 import hashlib
-import json
 
 import pytest
 from pyspark.sql import functions as F

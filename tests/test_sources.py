@@ -1,4 +1,3 @@
-import gzip
 import json
 
 from pyspark.sql import functions as F
