@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake.llm.mixing import mix
+from citelake.llm.near_dups import near_duplicates
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
 from citelake.session import stage_path
@@ -14,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("f")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "tokens")
     write_tokens(_table(spark, sf_dir, "documents"), path)
@@ -30,6 +35,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_near_dups": op6_near_dups,
     "op7_token_files": op7_token_files,
     "op9_mix_sources": op9_mix_sources,
     "op10_top_k": op10_top_k,
