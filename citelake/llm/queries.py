@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from citelake.llm.decontaminate import overlaps
 from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
 from citelake.llm.token_files import token_index, write_tokens
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("f")
 
@@ -35,6 +40,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op6_near_dups": op6_near_dups,
     "op7_token_files": op7_token_files,
     "op9_mix_sources": op9_mix_sources,
