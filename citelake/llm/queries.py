@@ -9,6 +9,7 @@ from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
+from citelake.llm.toxicity import score_toxicity
 from citelake.session import stage_path
 
 
@@ -30,6 +31,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op6_near_dups": op6_near_dups,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_top_k": op10_top_k,
 }
