@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from citelake.llm.decontaminate import overlaps
 from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
+from citelake.llm.quality import score_quality
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
 from citelake.llm.toxicity import score_toxicity
@@ -21,6 +22,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("f")
 
@@ -46,6 +51,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op4_quality": op4_quality,
     "op6_near_dups": op6_near_dups,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
