@@ -10,7 +10,7 @@ wanted document.
 
 A text is encoded in pieces cut where a word ends before white space. The
 pre-tokenizer of byte-level BPE never joins text across such a place, so the
-ids are those of the whole text, and a repeated piece is encoded once a task.
+ids are those of the whole text, and a repeated piece need not be encoded again.
 
 Null texts count as empty: one end id. Null ids come first; rows with equal
 ids follow each other by the hash of their text, equal rows in any order. An
@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from citelake.llm.common import bounded, column_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Distinct pieces whose ids a task remembers.
-PIECES = 400_000
+#: Distinct pieces in a generation of those whose ids a process remembers.
+PIECES = 500_000
 #: Documents encoded at once.
 BATCH = 512
 
@@ -52,8 +54,12 @@ FILE_SCHEMA = T.StructType(
 #: White space as the pre-tokenizer knows it: Python's without the four separators.
 _SPACE = r"[^\S\x1c-\x1f]"
 _PIECE = re.compile(rf"{_SPACE}*(?:\S|[\x1c-\x1f])+|{_SPACE}+")
+#: Punctuation behind letters: the pre-tokenizer cuts between the two.
+_CLOSING = ".,;:!?"
 #: A blank beside other white space or at the end: then cutting at single blanks is not enough.
 _IRREGULAR = re.compile(r" \s|\s | \Z")
+#: White space of ASCII besides blank and line feed.
+_UNUSUAL = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -65,34 +71,102 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def pieces_of(text: str) -> list[str]:
     """Pieces whose encodings, one after another, are the encoding of ``text``."""
-    if _IRREGULAR.search(text):
+    if not text.isascii() or any(c in text for c in _UNUSUAL):
+        irregular = _IRREGULAR.search(text) is not None
+    else:
+        irregular = "  " in text or " \n" in text or "\n " in text or text.endswith(" ")
+    if irregular:
         return _PIECE.findall(text)
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + word for word in rest]
 
 
-def encoder(vocabulary: str, end_id: int = END_ID, most: int = PIECES) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids, the end id last, as little-endian 32-bit integers."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """Texts to ids, the end id last, as little-endian 32-bit integers.
 
-    tokenizer = Tokenizer.from_file(vocabulary)
-    known: dict[str, bytes] = {}
-    end = np.array([end_id], dtype="<u4").tobytes()
+    Pieces are remembered in two generations: when the younger is full it
+    becomes the elder, whose pieces come back as they occur again. A new piece of
+    letters and closing punctuation is put together from its two halves. New
+    words with a blank before them are encoded many at once, one a line: the
+    line feed between them is a token of its own.
+    """
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def __init__(self, vocabulary: str, end_id: int = END_ID, most: int = PIECES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.end = np.array([end_id], dtype="<u4").tobytes()
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
+        self.line = self._ids(["\n"])[0]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_new(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of pieces not met before."""
+        out: dict[str, bytes] = {}
+        lines = [piece for piece in new if piece[0] == " " and piece[1:].isalpha()]
+        for at in range(0, len(lines) if len(self.line) == 1 else 0, 500):
+            some = lines[at : at + 500]
+            ids = np.array(self._ids(["\n".join(some)])[0], dtype="<u4")
+            ends = np.nonzero(ids == self.line[0])[0].tolist()
+            if len(ends) == len(some) - 1:
+                raw, begin = ids.tobytes(), 0
+                for piece, end in zip(some, [*ends, len(ids)]):
+                    out[piece] = raw[4 * begin : 4 * end]
+                    begin = end + 1
+        rest = [piece for piece in new if piece not in out]
+        for at in range(0, len(rest), 5000):
+            some = rest[at : at + 5000]
+            for piece, ids in zip(some, self._ids(some)):
+                out[piece] = np.array(ids, dtype="<u4").tobytes()
+        return out
+
+    def _meet(self, pieces: set[str]) -> None:
+        """Have all these pieces in the younger generation."""
+        new = pieces - self.young.keys()
+        if len(self.young) + 2 * len(new) > self.most:
+            self.elder, self.young, new = self.young, {}, pieces
+        young, elder = self.young, self.elder
+        halves, missing = [], set()
+        for piece in new:
+            ids = elder.get(piece)
+            if ids is not None:
+                young[piece] = ids
+                continue
+            word = piece.rstrip(_CLOSING)
+            if word is not piece and (word[1:] if word[:1] == " " else word).isalpha():
+                halves.append((piece, word, piece[len(word) :]))
+            else:
+                missing.add(piece)
+        for _, word, mark in halves:
+            for part in (word, mark):
+                if part not in young:
+                    ids = elder.get(part)
+                    if ids is None:
+                        missing.add(part)
+                    else:
+                        young[part] = ids
+        young.update(self._encode_new(list(missing)))
+        for piece, word, mark in halves:
+            young[piece] = young[word] + young[mark]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [pieces_of(text) for text in texts]
-        new = list({piece for pieces in cut for piece in pieces if piece not in known})
-        if len(known) + len(new) > most:
-            known.clear()
-            new = list({piece for pieces in cut for piece in pieces})
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for piece, got in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[piece] = np.array(got.ids, dtype="<u4").tobytes()
-        return [b"".join([known[piece] for piece in pieces]) + end for pieces in cut]
-
-    return encode
+        self._meet(set().union(*cut))
+        return [b"".join(map(self.young.__getitem__, pieces)) + self.end for pieces in cut]
+
+
+def encoder(vocabulary: str, end_id: int = END_ID) -> Encoder:
+    """The encoder of this process: a worker's next tasks find the pieces of those before."""
+    held = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders")).__dict__
+    key = f"{vocabulary} {end_id}"
+    if key not in held:
+        held[key] = Encoder(vocabulary, end_id)
+    return held[key]
 
 
 def write_tokens(

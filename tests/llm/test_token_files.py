@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given as over, settings, strategies as st
 from tokenizers import Tokenizer
 
-from citelake.llm.token_files import encoder, read_documents, read_tokens, token_index, tokenizer_path, write_tokens
+from citelake.llm.token_files import Encoder, read_documents, read_tokens, token_index, tokenizer_path, write_tokens
 from tests.llm.tables import ODD_ROWS, SF, documents, given, widened
 
 
@@ -32,7 +32,7 @@ TEXTS = st.lists(
 def test_pieces_encode_like_the_whole(text):
     if not hasattr(test_pieces_encode_like_the_whole, "held"):
         path = tokenizer_path()
-        test_pieces_encode_like_the_whole.held = (Tokenizer.from_file(path), encoder(path, most=50))
+        test_pieces_encode_like_the_whole.held = (Tokenizer.from_file(path), Encoder(path, most=50))
     whole, encode = test_pieces_encode_like_the_whole.held
     assert np.frombuffer(encode([text])[0], "<u4").tolist() == ids(whole, text)
 
