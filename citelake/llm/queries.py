@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from citelake.llm.decontaminate import overlaps
 from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
+from citelake.llm.pages import extract_text
 from citelake.llm.quality import score_quality
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
 from citelake.llm.toxicity import score_toxicity
+from citelake.llm.urls import filter_urls
 from citelake.session import stage_path
 
 
@@ -22,10 +24,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2).drop("f")
 
@@ -51,7 +61,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
+    "op5_page_text": op5_page_text,
     "op6_near_dups": op6_near_dups,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
@@ -60,12 +72,32 @@ QUERIES = {
 }
 
 ORACLE = {
+    # The given pages hold their article in one element, with headings and paragraphs only.
+    "op5_page_text": r"""
+WITH inside AS (
+    SELECT page_id, url, regexp_replace(
+        regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '\s+', ' ', 'g') AS a
+    FROM pages
+), lines AS (
+    SELECT page_id, url, string_split(regexp_replace(regexp_replace(
+        replace(a, '<br>', ' '), '</?(p|h1)>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)) AS l
+    FROM inside
+), decoded AS (
+    SELECT page_id, url, list_filter(list_transform(l, lambda x: trim(regexp_replace(
+        replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)),
+            '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS l
+    FROM lines
+)
+SELECT page_id, url, array_to_string(l, chr(10)) AS text,
+       CAST(length(array_to_string(l, chr(10))) AS BIGINT) AS n_chars
+FROM decoded
+""",
     "op10_top_k": """
 WITH sound AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
            CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
