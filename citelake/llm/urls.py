@@ -1,12 +1,12 @@
 """URL filter: rules first, else a ratio of two character language models.
 
-Host rules: a rule fits its host and all subdomains, if the path starts with
-the rule's; the longest fitting host decides, then the longest path. URLs that
-rules or a block word decide train two variable-order Markov models over characters, one
-of accepted and one of rejected URLs. A model's chance of a character given the
-four before it is interpolated with that given three, two, one and none, by
-the share of distinct followers (Witten-Bell), so rare contexts lean on shorter ones. A
-URL without rule is blocked if the difference of the two log-likelihoods, per
+A rule fits its host and all subdomains, if the path starts with the rule's;
+the longest rule decides, host and path together. Two variable-order Markov
+models over characters are trained: on rejected URLs, those with a block word,
+and on accepted ones, all others that no rule blocks. A model's chance of a
+character given the four before it is interpolated with that given three, two,
+one and none, by the share of distinct followers (Witten-Bell), so rare contexts
+lean on shorter ones; a URL's own counts are left out of its score. A URL without rule is blocked if the difference of the two log-likelihoods, per
 character, is below a threshold, calibrated so that at most
 ``ACCEPTED_LOST`` of the accepted training URLs would be.
 
@@ -50,7 +50,7 @@ RULES = (
 # Parts of hosts and paths that mark a training URL as rejected.
 BLOCK_WORDS = (
     "spam", "casino", "pills", "viagra", "porn", "xxx", "bets", "betting", "lottery", "ads-", "adserver", "track",
-    "malware", "phish", "cheap-", "free-",
+    "malware", "phish", "adult", "cheap-", "free-",
 )
 
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789/.-_?=&%:~"
@@ -66,7 +66,7 @@ def path_of(url: Column) -> Column:
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """Struct (rule, verdict) of the longest rule that fits; null without one."""
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for verdict, domain, start in sorted(rules, key=lambda r: (len(r[1]), len(r[2]))):
+    for verdict, domain, start in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]))):
         below = (host == domain) | host.endswith("." + domain)
         fits = below & path.startswith(start)
         out = F.when(fits, F.struct(F.lit(domain + start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
@@ -81,7 +81,9 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> D
     marked = F.lit(False)
     for word in BLOCK_WORDS:
         marked = marked | F.concat("host", "path").contains(word)
-    known = F.when(marked | (F.col("ruled.verdict") == "block"), 0).when(F.col("ruled.verdict") == "allow", 1)
+    blocked = F.coalesce(F.col("ruled.verdict") == "block", F.lit(False))
+    empty = (F.col("host") == "") & (F.col("path") == "")
+    known = F.when(marked, 0).when(~blocked & ~empty, 1)
     return found.withColumn("known", known)
 
 
@@ -109,22 +111,30 @@ class Models(NamedTuple):
     counts: np.ndarray
     threshold: float
 
-    def differences(self, urls: list[str]) -> np.ndarray:
-        """Mean log-likelihood difference, accepted minus rejected, of each URL."""
+    def differences(self, urls: list[str], trained: np.ndarray | None = None) -> np.ndarray:
+        """Mean log-likelihood difference, accepted minus rejected, of each URL.
+
+        ``trained`` says which model counted a URL (0, 1 or neither); its own
+        share in those counts is left out.
+        """
         flat, cells, ends = contexts(urls)
         if not len(flat):
             return np.zeros(len(urls))
+        starts = np.concatenate([[0], ends[:-1]])
+        sizes = ends - starts
+        by_symbol = np.full(len(flat), -1) if trained is None else np.repeat(trained, sizes)
         logs = []
-        for counts in self.counts:
+        for kind, counts in enumerate(self.counts):
+            own = (by_symbol == kind).astype(np.int64)
             chance = np.full(len(flat), 1 / SYMBOLS)
             for order in range(ORDER + 1):
                 rows = counts[order, cells[order]]
-                total, kinds = rows.sum(axis=1), (rows > 0).sum(axis=1)
                 seen = rows[np.arange(len(flat)), flat]
+                kinds = (rows > 0).sum(axis=1) - (own & (seen == 1))
+                total, seen = np.maximum(rows.sum(axis=1) - own, 0), np.maximum(seen - own, 0)
                 chance = np.where(total > 0, (seen + kinds * chance) / np.maximum(total + kinds, 1), chance)
             logs.append(np.log(chance))
-        starts = np.concatenate([[0], ends[:-1]])
-        return np.add.reduceat(logs[1] - logs[0], starts) / np.diff(np.concatenate([[0], ends]))
+        return np.add.reduceat(logs[1] - logs[0], starts) / sizes
 
 
 def _counted(known: DataFrame) -> np.ndarray:
@@ -151,17 +161,19 @@ def _counted(known: DataFrame) -> np.ndarray:
 
 
 def _differences(rows: DataFrame, models: Models) -> DataFrame:
-    """``rows`` with their column ``url`` replaced by ``difference``."""
+    """``rows`` with their columns ``known, url`` replaced by ``difference``."""
     held = rows.sparkSession.sparkContext.broadcast(models)
-    names = [c for c in rows.columns if c != "url"]
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+    names = [c for c in rows.columns if c not in ("url", "known")]
+    fields = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in names)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in column_batches(batches, BATCH):
-            scores = held.value.differences(batch.column(len(names)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*names, "difference"])
+            trained = batch.column(len(names)).to_numpy()
+            scores = held.value.differences(batch.column(len(names) + 1).to_pylist(), trained)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(scores)], names=[*names, "difference"])
 
-    return rows.select(*names, "url").mapInArrow(measure, f"{fields}, difference double")
+    known = F.coalesce("known", F.lit(-1)).alias("known")
+    return rows.select(*names, known, "url").mapInArrow(measure, f"{fields}difference double")
 
 
 def fit(found: DataFrame) -> Models | None:
@@ -172,7 +184,7 @@ def fit(found: DataFrame) -> Models | None:
         return None
     models = Models(counts, 0.0)
     step = (MOST - LEAST) / BINS
-    accepted = _differences(known.where("known = 1").select("url"), models)
+    accepted = _differences(known.where("known = 1"), models)
     bins = accepted.groupBy(
         F.least(F.greatest(F.floor((F.col("difference") - LEAST) / step), F.lit(0)), F.lit(BINS)).alias("bin")
     ).count()
@@ -190,7 +202,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     """``page_id, host, path, rule, verdict, difference`` of every row of ``pages``."""
     found = judged(pages, rules)
     models = fit(found)
-    rows = found.select("page_id", "host", "path", "ruled", F.concat("host", "path").alias("url"))
+    rows = found.select("page_id", "host", "path", "ruled", "known", F.concat("host", "path").alias("url"))
     if models is None:
         scored, threshold = rows.withColumn("difference", F.lit(0.0)), 0.0
     else:
