@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake.llm.decontaminate import overlaps
+from citelake.llm.licenses import scan_licenses
 from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
 from citelake.llm.pages import extract_text
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +65,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
