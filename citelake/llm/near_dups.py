@@ -47,6 +47,10 @@ PERCENT = 80
 #: Stars in a list up to which all of them are paired; longer lists are refined first.
 LONG = 64
 RUNS = (2, 3, 4)
+#: Overlap count that a candidate needs: a shared run of 2, 3, 4 neighbours counts 1, 2, 3. Sets of up to 64
+#: shingles that are similar enough share at least n / 5 - 3 places with a run of four; of larger sets fewer than one
+#: pair in a million has less than this.
+OVERLAP = 6
 #: Hashes under which lists have a head.
 HEADS = 3
 #: Estimates below which 64 values rule out a similarity of 0.8, 0.6 and 0.4 (chance below 1e-9).
@@ -262,6 +266,7 @@ def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> DataF
                 F.col("s").alias("a"),
                 F.col("_s").alias("b"),
                 F.greatest("low", "_low").alias("n"),
+                F.lit(run - 1).alias("votes"),
                 (F.col("wide").cast("int") + F.col("_wide").cast("int")).alias("wide"),
             )
         )
@@ -277,8 +282,8 @@ def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> DataF
     return (
         reduce(DataFrame.union, found)
         .groupBy("a", "b")
-        .agg(F.count("*").alias("votes"), F.max("n").alias("n"), F.max("wide").alias("wide"))
-        .where((F.col("votes") > 1) | (F.col("n") <= K))
+        .agg(F.sum("votes").alias("votes"), F.min("n").alias("n"), F.max("wide").alias("wide"))
+        .where(F.col("votes") >= F.least(F.lit(OVERLAP), F.greatest(F.lit(1), F.floor(F.col("n") / 5) - 3)))
         .select("a", "b", least.alias("least"))
     )
 
@@ -396,3 +401,54 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
         "f",
     )
+
+
+def one_of_each_group(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``documents`` without near-duplicates: of each group the one with the smallest id.
+
+    All columns are kept. Of repeated rows with that id and equal sets one stays; rows
+    without id or words all stay.
+    """
+    groups = near_duplicates(documents, width)
+    dropped = stage(groups.where(~F.col("kept")).select("doc_id", "f").distinct(), "dropped")
+    packed = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+    )
+    # An id may stand in several rows: only then does the set say which one is meant.
+    repeated = stage(
+        documents.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids",
+    )
+    once = packed.join(repeated, "doc_id", "left_anti").join(
+        dropped.select("doc_id").distinct(), "doc_id", "left_anti"
+    )
+    if repeated.isEmpty():
+        return once.select("_row.*")
+    several = packed.join(repeated, "doc_id", "left_semi")
+    marked = _with_fingerprint(several, width).join(dropped, ["doc_id", "f"], "left_anti")
+    wordless = marked.where("n = 0").select("_row")
+    rest = marked.where("n > 0").groupBy("doc_id", "f").agg(F.first("_row").alias("_row")).select("_row")
+    return once.select("_row").union(wordless).union(rest).select("_row.*")
+
+
+def _with_fingerprint(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` (with ``text``) and ``n, f``."""
+    place = rows.columns.index("text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in column_batches(batches, BATCH):
+            sets = [shingle_set(text, width, hashes) for text in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array([len(one) for one in sets], type=pa.int64()),
+                    pa.array([_fingerprint(one) for one in sets], type=pa.binary()),
+                ],
+                names=[*batch.schema.names, "n", "f"],
+            )
+
+    return rows.mapInArrow(add, f"{fields}, n long, f binary")

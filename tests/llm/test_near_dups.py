@@ -108,3 +108,17 @@ def test_components(spark):
     df = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in edges], "a binary, b binary")
     got = {r.f[0]: r.root[0] for r in components(df).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 200: 0, 100: 100, 101: 100, 102: 100}
+
+
+def test_one_of_each_group(spark):
+    from citelake.llm.near_dups import one_of_each_group
+
+    rows = [*ODD_ROWS, (9, "a b c d e f g h i j k l", "s"), (9, "z y x w v u t", "s"), (10, "A b c d e f g h i j k l m", "s")]
+    wide = widened(documents(spark, rows))
+    out = one_of_each_group(wide)
+    assert out.columns == wide.columns
+    got = sorted(((r.doc_id or -1), len(r.text or "")) for r in out.collect())
+    want = [(i or -1, len(t or "")) for i, t, _ in rows if i not in (6, 10)]
+    assert got == sorted(want)
+    twice = documents(spark, [(1, "a b c d e f", "s")] * 3 + [(2, "a b c d e f", "s"), (3, "q", "s")])
+    assert sorted(r.doc_id for r in one_of_each_group(twice).collect()) == [1, 3]
