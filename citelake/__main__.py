@@ -48,7 +48,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.failed:
             failed_files(statuses).write.mode("append").json(args.failed)
     elif args.step == "convert":
-        load.convert_xml(spark, args.path, args.out)
+        bad = load.convert_xml(spark, args.path, args.out)
+        bad.write.mode("append").json(f"{args.out}-quarantine")
     elif args.step == "enrich":
         bad = load.enrich_json(
             spark,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -36,6 +38,33 @@ def members(v: Column, path: str) -> Column:
     return one_or_many(node(v, path))
 
 
+def changed(v: Column, name: str, change: Callable[[Column], Column]) -> Column:
+    """Object ``v`` with ``change`` applied to its member ``name``; as it is without such a member."""
+    held = F.try_variant_get(v, "$", "map<string,variant>")
+    new = F.transform_values(held, lambda k, x: F.when(k == name, change(x)).otherwise(x))
+    return F.when(F.map_contains_key(held, name), F.to_variant_object(new)).otherwise(v)
+
+
+def changed_members(v: Column, change: Callable[[Column, Column], Column]) -> Column:
+    """``change(member, place)`` for the members of an array, or for a bare value with place 0."""
+    held = F.try_variant_get(v, "$", "array<variant>")
+    each = F.to_variant_object(F.transform(held, lambda x, i: change(x, i)))
+    return F.when(held.isNotNull(), each).otherwise(change(v, F.lit(0)))
+
+
+def with_texts(v: Column, texts: dict[str, Column]) -> Column:
+    """Object ``v`` with these texts as members; a NULL text leaves ``v`` as it was there."""
+    held = F.try_variant_get(v, "$", "map<string,variant>")
+    pairs = F.filter(
+        F.array(*[F.struct(F.lit(k).alias("key"), t.alias("value")) for k, t in texts.items()]),
+        lambda p: p["value"].isNotNull(),
+    )
+    names = F.transform(pairs, lambda p: p["key"])
+    kept = F.map_filter(held, lambda k, x: ~F.array_contains(names, k))
+    new = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["key"], p["value"].cast("variant"))))
+    return F.when(held.isNotNull(), F.to_variant_object(F.map_concat(kept, new))).otherwise(v)
+
+
 def shaped_members(v: Column, ddl: str) -> Column:
     """The members of group ``v``, each as a struct."""
     return F.transform(one_or_many(v), lambda m: shape(m, ddl))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citelake.operators import flatten, gates, integrity, keys, vocabulary
 from citelake.operators.dictionary import country_dictionary, curate, organisation_dictionary
@@ -26,30 +29,53 @@ def ingest_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return source.split_malformed(source.order_columns(source.with_doc_ids(parsed)))
 
 
+def sound_records(
+    spark: SparkSession, path: str, tag: str = source.RECORD_TAG
+) -> tuple[DataFrame, DataFrame]:
+    """Records of the files below ``path`` that are not damaged, and quarantine rows of those that are.
+
+    Every gzip file is read through first. If all are whole, the folder is read
+    as it is; else only the plain files and the whole gzip files, by name (the
+    driver lists the names of a folder in any case).
+    """
+    checked = stage(integrity.check_gzip(files.read_binary(spark, path)), "gzip")
+    bad = integrity.corrupt_files(checked)
+    if bad.isEmpty():
+        return source.read_records(spark, path, tag), bad
+    records = source.read_records(spark, path, tag, glob="*.xml")
+    whole = [r.path for r in checked.where("ok AND endswith(name, '.xml.gz')").select("path").collect()]
+    if whole:
+        records = records.unionByName(source.read_records(spark, whole, tag))
+    return records, bad
+
+
 def ingest_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Articles of all XML files below ``path``, and quarantine rows.
 
-    Damaged gzip files are found first and their rows left out whole.
+    Damaged gzip files are found first and never read for records.
     """
-    checked = stage(integrity.check_gzip(files.read_binary(spark, path)), "gzip")
+    records, damaged = sound_records(spark, path)
     # A gzip file is read by one task; parsing need not wait for it.
-    records = spread(source.read_records(spark, path, skip_corrupt_files=True))
-    articles, malformed = ingest_records(integrity.without_corrupt(records, checked))
-    return articles, malformed.unionByName(integrity.corrupt_files(checked))
+    articles, malformed = ingest_records(spread(records))
+    return articles, malformed.unionByName(damaged)
 
 
-def ingest_json(spark: SparkSession, path: str, layout: str) -> tuple[DataFrame, DataFrame]:
+def ingest_json(
+    spark: SparkSession, path: str, layout: str, keep_tree: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Articles of all JSON files below ``path``, parsed once, and quarantine rows."""
     trees = source.read_article_json(spark, path, layout)
     marked = trees.withColumn("_readable", F.col("tree").isNotNull())
-    parsed = stage(source.articles_from_trees(marked), "articles")
+    parsed = stage(source.articles_from_trees(marked, keep_tree), "articles")
     good = parsed.where(F.col("_readable")).drop("_readable")
     return good, source.unreadable(parsed.where(~F.col("_readable")))
 
 
 def registry_indexes(registry: DataFrame) -> tuple[NameIndex, NameIndex]:
-    """(organisations, countries) from one staged read of the registry."""
+    """(organisations, countries) from one staged read of the registry, which must not be empty."""
     entries = stage(registry.select("name", "country", "pos"), "registry")
+    if entries.isEmpty():
+        raise ValueError("the registry has no entries")
     return (
         organisation_index(organisation_dictionary(entries)),
         country_index(country_dictionary(entries)),
@@ -85,11 +111,31 @@ def store(
     return True
 
 
-def convert_xml(spark: SparkSession, path: str, out: str) -> None:
-    """Every citation as a JSON document with all its fields."""
-    records = stage(source.read_records(spark, path), "records")
-    trees = source.record_trees(source.with_doc_ids(records))
+def arrivals_handler(
+    registry: DataFrame,
+    out: str,
+    mode: str = "fallback",
+    gate: str = "any",
+    min_year: int | None = None,
+) -> Callable[[DataFrame, DataFrame, str], bool]:
+    """A handler for ``streaming.arrivals``: enrich each micro-batch, then store it as a run.
+
+    The registry is read and indexed once, before the first batch.
+    """
+    indexes = registry_indexes(registry)
+
+    def handle(articles: DataFrame, quarantine: DataFrame, run_id: str) -> bool:
+        return store(enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine)
+
+    return handle
+
+
+def convert_xml(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """Every citation as a JSON document with all its fields; returns quarantine rows of damaged files."""
+    records, damaged = sound_records(spark, path)
+    trees = source.record_trees(source.with_doc_ids(stage(records, "records")))
     documents.write_documents(trees, out)
+    return damaged
 
 
 def enrich_json(
@@ -102,22 +148,22 @@ def enrich_json(
     batch_size: int | None = None,
     registry_layout: str = "array",
 ) -> DataFrame:
-    """Enriched documents below ``out``; returns quarantine rows.
+    """Enriched documents below ``out``, otherwise as they were; returns quarantine rows.
 
     With ``batch_size`` the documents go to folders of that many inputs each,
     counted before any is left out.
     """
-    articles, unreadable = ingest_json(spark, path, layout)
+    articles, unreadable = ingest_json(spark, path, layout, keep_tree=True)
     entries = registries.read_registry(spark, registry_path, layout=registry_layout)
     indexes = registry_indexes(entries)
     if batch_size is None:
-        documents.write_documents(documents.article_json(enrich(articles, *indexes, mode)), out)
+        documents.write_documents(documents.enriched_json(enrich(articles, *indexes, mode)), out)
         return unreadable
     batches = keys.batch_numbers(
         articles.select("doc_id", "source_file"), ["doc_id", "source_file"], batch_size
     )
     enriched = enrich(articles, *indexes, mode).join(batches, ["doc_id", "source_file"])
-    documents.write_batches(documents.article_json(enriched, ["batch"]), out)
+    documents.write_batches(documents.enriched_json(enriched, ["batch"]), out)
     return unreadable
 
 
@@ -157,10 +203,13 @@ def load_vocabulary(spark: SparkSession, path: str, out: str, run_id: str) -> bo
     """The two vocabulary tables."""
     if tables.is_finished(spark, out, run_id):
         return False
-    parsed = stage(vocabulary_source.read_descriptors(spark, path), "descriptors")
+    records, damaged = sound_records(spark, path, vocabulary_source.RECORD_TAG)
+    parsed = stage(
+        vocabulary_source.parse_descriptors(source.with_doc_ids(records)), "descriptors"
+    )
     good, bad = source.split_malformed(parsed)
     result = vocabulary.flatten_descriptors(good)
-    result["quarantine"] = bad
+    result["quarantine"] = bad.unionByName(damaged)
     tables.write_tables(result, out, run_id)
     tables.publish(spark, out, run_id)
     return True

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from citelake.functions import trees
+
 PER_FILE = 100_000
 
 
@@ -31,6 +33,41 @@ def write_batches(documents: DataFrame, path: str) -> None:
     )
 
 
+def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, json`` and ``extra`` columns: each article's own ``tree`` with what enrichment found.
+
+    Only the three names of an affiliation are set, where they were found;
+    everything else of the document stays as it was.
+    """
+
+    def affiliation(info: Column, found: Column) -> Column:
+        names = ("institution_name", "country_code", "country_name")
+        return trees.with_texts(info, {name: found[name] for name in names})
+
+    def author(tree: Column, place: Column) -> Column:
+        found = F.get(F.col("authors"), place)["affiliations"]
+        return trees.changed(
+            tree,
+            "AffiliationInfo",
+            lambda group: trees.changed_members(group, lambda info, i: affiliation(info, F.get(found, i))),
+        )
+
+    new = trees.changed(
+        F.col("tree"),
+        "MedlineCitation",
+        lambda m: trees.changed(
+            m,
+            "Article",
+            lambda a: trees.changed(
+                a,
+                "AuthorList",
+                lambda l: trees.changed(l, "Author", lambda g: trees.changed_members(g, author)),
+            ),
+        ),
+    )
+    return articles.select("doc_id", F.to_json(new).alias("json"), *extra)
+
+
 def _value(c: Column, name: str) -> Column:
     return F.when(c.isNotNull(), F.struct(c.alias("value"))).alias(name)
 

@@ -7,6 +7,7 @@ so a run that dies half-way leaves nothing behind for them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,15 +19,25 @@ from citelake.operators.keys import ARTICLE_KEYS
 
 RUNS = "_runs"
 WRITERS = 4
+_RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 _RUN_SCHEMA = "run_id string, " + ", ".join(f"next_{k} bigint" for k in ARTICLE_KEYS)
 
 
+def checked_run_id(run_id: str) -> str:
+    """A run id becomes a folder name, so only letters, digits, dot, hyphen and underscore may be in it."""
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"not a run id: {run_id!r}")
+    return run_id
+
+
 def write_tables(tables: Mapping[str, DataFrame], out: str, run_id: str) -> None:
     """Write every table of the run; repeating an unfinished run replaces its files.
 
     A few tables at a time, so that the last tasks of one leave no cores idle.
     """
 
+    checked_run_id(run_id)
+
     def write(table: tuple[str, DataFrame]) -> None:
         name, df = table
         df.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
@@ -40,6 +51,7 @@ def publish(
     spark: SparkSession, out: str, run_id: str, next_numbers: DataFrame | None = None
 ) -> None:
     """Record the run as finished. Written last, as one file."""
+    checked_run_id(run_id)
     numbers = next_numbers if next_numbers is not None else spark.range(1).select()
     present = set(numbers.columns)
     columns = [
@@ -63,7 +75,7 @@ def finished_runs(spark: SparkSession, out: str) -> DataFrame:
 
 
 def is_finished(spark: SparkSession, out: str, run_id: str) -> bool:
-    return not finished_runs(spark, out).where(F.col("run_id") == run_id).isEmpty()
+    return not finished_runs(spark, out).where(F.col("run_id") == checked_run_id(run_id)).isEmpty()
 
 
 def start_numbers(spark: SparkSession, out: str) -> dict[str, int]:

@@ -20,39 +20,46 @@ RECORD_TAG = "PubmedArticle"
 
 def read_records(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     tag: str = RECORD_TAG,
     glob: str = "*.{xml,xml.gz}",
     streaming: bool = False,
-    skip_corrupt_files: bool = False,
     max_files: int = 1000,
 ) -> DataFrame:
     """One row per ``tag`` element below ``path``: its XML text and where it stood.
 
     The text reader cuts files at the closing tag, so a large uncompressed file
     is read by many tasks; gzip files are opened directly. Other elements of
-    the file are ignored. With ``skip_corrupt_files`` a damaged gzip does not
-    end the job: drop its rows with the outcome of ``check_gzip``. A stream
-    takes up to ``max_files`` files at a time.
+    the file are ignored. What lies between two closing tags is cut again at
+    every opening one, so a lost closing tag costs its own record only: that comes without
+    the tag and is malformed. A damaged gzip ends the job (see
+    ``plans.load.sound_records``). A stream takes up to ``max_files`` files at a time.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", max_files) if streaming else spark.read
     lines = (
         reader.option("lineSep", f"</{tag}>")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
         .format("text")
         .schema("value string")
         .load(path)
         .where(F.col("value").rlike(rf"<{tag}[\s>]"))
         .select(
-            F.concat(
-                F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0), F.lit(f"</{tag}>")
-            ).alias("record"),
+            F.split("value", rf"(?=<{tag}[\s>])").alias("pieces"),
             F.col("_metadata.file_path").alias("source_file"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("block"),
         )
+        .select("*", F.posexplode("pieces").alias("place", "piece"))
+        .where(F.col("piece").rlike(rf"\A<{tag}[\s>]"))
+        .select(
+            F.when(
+                F.col("place") == F.size("pieces") - 1, F.concat("piece", F.lit(f"</{tag}>"))
+            ).otherwise(F.col("piece")).alias("record"),
+            "source_file",
+            "file_name",
+            "block",
+        )
     )
     # The row number inside a scan task; a stream adds it per micro-batch.
     return lines if streaming else with_sequence(lines)

@@ -25,13 +25,14 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """``name, checksum``: the text of every ``*.md5`` file and the file it speaks of."""
+    """``name, path, checksum``: the text of every ``*.md5`` file and the file it speaks of."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.md5")
         .text(path, wholetext=True)
         .select(
             F.regexp_replace("_metadata.file_name", r"\.md5$", "").alias("name"),
+            F.regexp_replace("_metadata.file_path", r"\.md5$", "").alias("path"),
             F.col("value").alias("checksum"),
         )
     )

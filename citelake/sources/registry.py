@@ -19,7 +19,8 @@ def read_registry(
     """
     if layout not in ("array", "lines"):
         raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
-    reader = spark.read
+    # An entry that does not parse ends the read: a broken registry is not an empty one.
+    reader = spark.read.option("mode", "FAILFAST")
     if layout == "lines":
         return (reader if whole else reader.schema(f"{schemas.REGISTRY}, pos bigint")).json(path)
     reader = reader.option("multiLine", "true")
