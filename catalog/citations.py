@@ -163,8 +163,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second supplier, and for every tenth a longer name as well."""
-    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 2 == 0)
+    """Every supplier, and for every tenth a longer name as well."""
+    suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
     plain = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_name").alias("name"),

@@ -29,7 +29,7 @@ affiliation AS (
 _ORGANISATIONS = """
 plain AS (
   SELECT s_suppkey, s_name AS name, 'C' || s_nationkey AS country_code, n_name AS country_name
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 org AS (
   SELECT name, country_code, country_name FROM plain
   UNION ALL
@@ -157,7 +157,12 @@ FROM documents d JOIN (SELECT text, min(item_id) AS item_id FROM benchmark
                        WHERE text <> '' GROUP BY text) b
   ON contains(d.text, b.text)""",
     "enrich_fallback": _with(*_FALLBACK) + f"SELECT {_FIELDS} FROM enriched",
+    "enrich_fallback_indexed": _with(*_FALLBACK) + f"SELECT {_FIELDS} FROM enriched",
     "enrich_independent": _with(*_INDEPENDENT) + f"""
+SELECT {_FIELDS} FROM enriched WHERE doc_id IN (
+  SELECT doc_id FROM enriched GROUP BY doc_id
+  HAVING count(org_hit) > 0 AND count(place_hit) > 0)""",
+    "enrich_independent_shuffled": _with(*_INDEPENDENT) + f"""
 SELECT {_FIELDS} FROM enriched WHERE doc_id IN (
   SELECT doc_id FROM enriched GROUP BY doc_id
   HAVING count(org_hit) > 0 AND count(place_hit) > 0)""",

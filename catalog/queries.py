@@ -65,11 +65,11 @@ def passage_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- enrichment
 
-def _enriched(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str, mode: str, **limits: int) -> DataFrame:
     return enrich(
         C.articles(spark, sf_dir),
-        organisation_index(C.organisations(spark, sf_dir)),
-        country_index(C.countries(spark, sf_dir)),
+        organisation_index(C.organisations(spark, sf_dir), **limits),
+        country_index(C.countries(spark, sf_dir), **limits),
         mode,
     )
 
@@ -78,6 +78,15 @@ def enrich_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.affiliation_rows(_enriched(spark, sf_dir, "fallback"))
 
 
+def enrich_fallback_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.affiliation_rows(_enriched(spark, sf_dir, "fallback", in_row_names=0))
+
+
+def enrich_independent_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _enriched(spark, sf_dir, "independent", in_row_names=0, broadcast_names=0)
+    return C.affiliation_rows(rows)
+
+
 def enrich_independent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.affiliation_rows(_enriched(spark, sf_dir, "independent"))
 
@@ -342,6 +351,8 @@ QUERIES: dict[str, Query] = {
     "passage_match": passage_match,
     "enrich_fallback": enrich_fallback,
     "enrich_independent": enrich_independent,
+    "enrich_fallback_indexed": enrich_fallback_indexed,
+    "enrich_independent_shuffled": enrich_independent_shuffled,
     "dictionary_last_wins": dictionary_last_wins,
     "country_last_wins": country_last_wins,
     "dictionary_curate": dictionary_curate,
