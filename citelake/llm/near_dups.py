@@ -53,8 +53,8 @@ RUNS = (2, 3, 4)
 OVERLAP = 6
 #: Hashes under which lists have a head.
 HEADS = 3
-#: Estimates below which 64 values rule out a similarity of 0.8, 0.6 and 0.4 (chance below 1e-9).
-LEAST = (0.44, 0.2, 0.03)
+#: Estimates below which 64 values rule out a similarity of 0.8, 0.6 and 0.4 (chance below one in ten million).
+LEAST = (0.5, 0.22, 0.06)
 BATCH = 256
 
 
