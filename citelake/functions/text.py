@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Tags that may stand inside a text and carry only its looks.
-INLINE_TAGS = ("i", "b", "u", "sub", "sup")
+# Tags that may stand inside a text and carry only its looks. The last is a pattern: formulas in
+# MathML have all their elements under this prefix.
+INLINE_TAGS = ("i", "b", "u", "sub", "sup", r"mml:\w+")
 
 _NUMBER = r"^[\x00-\x20]*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?[\x00-\x20]*$"
 

@@ -151,3 +151,14 @@ def test_enriched_documents_keep_everything_else(spark, put, tmp_path):
     first = got["many"]["MedlineCitation"]["Article"]["AuthorList"]["Author"][0]["AffiliationInfo"]
     assert not added & set(first[0]) and first[1]["institution_name"] == "Univ X Hospital"
     assert first[1]["country_code"] != "old"
+
+
+def test_formulas_read_the_same_on_both_ways(spark, put, tmp_path):
+    title = ('Value of <mml:math xmlns:mml="http://www.w3.org/1998/Math/MathML" display="inline"><mml:mi>x</mml:mi>'
+             "<mml:mspace/></mml:math> &lt; 3 <i>now</i>")
+    put("in/a.xml", S.article_set(f"<PubmedArticle><MedlineCitation><PMID>1</PMID><Article><ArticleTitle>{title}"
+                                  "</ArticleTitle></Article></MedlineCitation></PubmedArticle>"))
+    typed, _ = load.ingest_xml(spark, str(tmp_path / "in"))
+    load.convert_xml(spark, str(tmp_path / "in"), str(tmp_path / "json"))
+    trees, _ = load.ingest_json(spark, str(tmp_path / "json"), "lines")
+    assert [r.title for r in typed.collect()] == [r.title for r in trees.collect()] == ["Value of x < 3 now"]
