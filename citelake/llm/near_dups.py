@@ -9,7 +9,7 @@ group is what links connect.
 2. Inverted lists: each class stands under every two neighbours of its sketch
    in hash order. Two classes with a similarity of 0.8 share such a pair of
    neighbours: always while the sets have up to 64 shingles, else with a
-   chance of a miss below 1e-15. Sets of four to nine shingles that may differ
+   chance of a miss below 1e-18. Sets of four to nine shingles that may differ
    in one only are found by leaving out each shingle in turn.
 3. Stars: each class is compared with a few list heads (the class with the
    smallest hash in a list, under several hashes). That is linear in the lists
@@ -48,8 +48,8 @@ PERCENT = 80
 LONG = 64
 RUNS = (2, 3, 4)
 #: Overlap count that a candidate needs: a shared run of 2, 3, 4 neighbours counts 1, 2, 3. Sets of up to 64
-#: shingles that are similar enough share at least n / 5 - 3 places with a run of four; of larger sets fewer than one
-#: pair in a million has less than this.
+#: shingles that are similar enough share at least n / 5 - 3 places with a run of four. Of pairs of larger sets with a
+#: similarity of 0.8, 3e-13 have less than this if their lists are short, 8e-6 if all of them are long.
 OVERLAP = 6
 #: Hashes under which lists have a head.
 HEADS = 3
