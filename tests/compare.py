@@ -59,7 +59,7 @@ if __name__ == "__main__":
     session.sparkContext.setLogLevel("ERROR")
     base = connect(sf_dir)
     bad = 0
-    for key in sys.argv[2:] or queries():
+    for key in sys.argv[2:] or oracle_sql():
         try:
             diff, took, n = differences(session, base, sf_dir, key)
         except Exception as error:  # report and go on
