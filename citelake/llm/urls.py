@@ -10,8 +10,12 @@ lean on shorter ones; a URL's own counts are left out of its score. A URL withou
 character, is below a threshold, calibrated so that at most
 ``ACCEPTED_LOST`` of the accepted training URLs would be.
 
-Counts cover every URL of the table. Contexts are hashed into a fixed number of
-cells, so the models have the same bounded size whatever the table's.
+Counts cover every URL of the table and every context of it: a window, five
+characters of a URL, is counted exactly and the counts of shorter contexts are
+sums of those. Up to ``NEAR_WINDOWS`` different windows the counts are
+broadcast. Beyond, each window's chances come from joins of the counts, the
+``HEAD_WINDOWS`` most frequent ones are broadcast, and the others, none of
+which can be a hot key then, are joined. Both ways give the same scores.
 
 Null urls and urls without ``://`` have empty host and path and no rule; an
 empty string is allowed. Repeated rows count again. With training URLs of one
@@ -25,15 +29,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citelake.llm.common import column_batches
 from citelake.llm.pages import host_of
+from citelake.session import stage
 
 ORDER = 4
-#: Cells of hashed contexts for each order, and symbols.
-CELLS = 1 << 13
 SYMBOLS = 48
+#: Characters of a context: the symbols and the place before the start.
+BASE = SYMBOLS + 1
+#: Different windows up to which all counts are broadcast, and windows whose chances are broadcast if there are more.
+NEAR_WINDOWS, HEAD_WINDOWS = 100_000, 1_000_000
 ACCEPTED_LOST = 0.01
 #: Bins of the difference in which the accepted URLs are counted for the threshold.
 BINS, LEAST, MOST = 4000, -10.0, 10.0
@@ -88,27 +95,55 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> D
 
 
 def contexts(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all URLs, each followed by an end; their contexts' cells by order; the URLs' ends."""
+    """Symbols of all URLs, each followed by an end; the codes of their contexts by order; the URLs' ends."""
     raw = [np.append(_CODE[np.frombuffer(u.lower().encode(), dtype=np.uint8)], 0) for u in urls]
     ends = np.cumsum([len(r) for r in raw])
     flat = np.concatenate(raw) if raw else np.empty(0, dtype=np.int64)
     place = np.arange(len(flat)) - np.repeat(ends - [len(r) for r in raw], [len(r) for r in raw])
     cells = np.zeros((ORDER + 1, len(flat)), dtype=np.int64)
-    value = np.zeros(len(flat), dtype=np.uint64)
     for back in range(1, ORDER + 1):
-        before = np.zeros(len(flat), dtype=np.uint64)
+        before = np.zeros(len(flat), dtype=np.int64)
         before[back:] = flat[:-back] + 1
         before[place < back] = 0
-        value = value * np.uint64(0x9E3779B97F4A7C15) + before * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = value ^ (value >> np.uint64(31))
-        cells[back] = (mixed * np.uint64(0x7FB5D329728EA185) >> np.uint64(51)).astype(np.int64)
+        cells[back] = cells[back - 1] + before * BASE ** (back - 1)
     return flat, cells, ends
 
 
+class Counts:
+    """Counts as an array (kind, order, context, symbol) would hold them; contexts that are not in the table have none."""
+
+    def __init__(self, cells: list[np.ndarray], rows: list[np.ndarray]):
+        self.cells, self.rows = cells, rows
+
+    @classmethod
+    def of(cls, windows: np.ndarray, numbers: np.ndarray) -> "Counts":
+        """From windows and their counts by kind (2, windows)."""
+        cells, rows = [], []
+        for order in range(ORDER + 1):
+            held, at = np.unique(windows // SYMBOLS % BASE**order, return_inverse=True)
+            sums = np.zeros((2, len(held) + 1, SYMBOLS), dtype=np.int64)
+            for kind in (0, 1):
+                np.add.at(sums[kind], (at, windows % SYMBOLS), numbers[kind])
+            cells.append(held)
+            rows.append(sums)
+        return cls(cells, rows)
+
+    def __getitem__(self, at):
+        if not isinstance(at, tuple):
+            return Counts(self.cells, [r[at] for r in self.rows])
+        *kind, order, cell = at
+        held = self.cells[order]
+        place = np.minimum(np.searchsorted(held, cell), len(held) - 1)
+        return self.rows[order][(*kind, np.where(held[place] == cell, place, len(held)))]
+
+    def sum(self) -> int:
+        return sum(int(r.sum()) for r in self.rows)
+
+
 class Models(NamedTuple):
-    """log-chance tables by kind (rejected, accepted): counts (order, cell, symbol), and the threshold."""
+    """The counts (kind, order, context, symbol), kinds being rejected and accepted, and the threshold."""
 
-    counts: np.ndarray
+    counts: Counts
     threshold: float
 
     def differences(self, urls: list[str], trained: np.ndarray | None = None) -> np.ndarray:
@@ -123,6 +158,11 @@ class Models(NamedTuple):
         starts = np.concatenate([[0], ends[:-1]])
         sizes = ends - starts
         by_symbol = np.full(len(flat), -1) if trained is None else np.repeat(trained, sizes)
+        # A window is worked out once for all its places.
+        _, one, where = np.unique(
+            (cells[ORDER] * SYMBOLS + flat) * 3 + by_symbol + 1, return_index=True, return_inverse=True
+        )
+        flat, cells, by_symbol = flat[one], cells[:, one], by_symbol[one]
         logs = []
         for kind, counts in enumerate(self.counts):
             own = (by_symbol == kind).astype(np.int64)
@@ -134,30 +174,61 @@ class Models(NamedTuple):
                 total, seen = np.maximum(rows.sum(axis=1) - own, 0), np.maximum(seen - own, 0)
                 chance = np.where(total > 0, (seen + kinds * chance) / np.maximum(total + kinds, 1), chance)
             logs.append(np.log(chance))
-        return np.add.reduceat(logs[1] - logs[0], starts) / sizes
+        return np.add.reduceat((logs[1] - logs[0])[where], starts) / sizes
 
 
-def _counted(known: DataFrame) -> np.ndarray:
-    """Counts over all training URLs; the cells are bounded, so that is what reaches the driver."""
-    width = (ORDER + 1) * CELLS * SYMBOLS
+def url_windows(rows: DataFrame) -> DataFrame:
+    """``window, n0, n1, n`` over all ``url``: how often in rejected, accepted and all rows (``known`` 0, 1, any)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(2 * width, dtype=np.int64)
         for batch in column_batches(batches, BATCH):
-            kinds = batch.column(1).to_numpy()
-            for kind in (0, 1):
-                urls = [u for u, k in zip(batch.column(0).to_pylist(), kinds) if k == kind]
-                flat, cells, _ = contexts(urls)
-                for order in range(ORDER + 1):
-                    where = (order * CELLS + cells[order]) * SYMBOLS + flat + kind * width
-                    np.add.at(sums, where, 1)
-        held = np.nonzero(sums)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(sums[held])], names=["cell", "n"])
+            flat, cells, ends = contexts(batch.column(0).to_pylist())
+            known = np.repeat(batch.column(1).to_numpy(), np.diff(ends, prepend=0))
+            held, at = np.unique(cells[ORDER] * SYMBOLS + flat, return_inverse=True)
+            sums = [np.bincount(at[where], minlength=len(held)) for where in (known == 0, known == 1, slice(None))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (held, *sums)], names=["window", "n0", "n1", "n"])
+
+    found = rows.select("url", F.coalesce("known", F.lit(-1)).alias("known"))
+    return found.mapInArrow(count, "window long, n0 long, n1 long, n long").groupBy("window").agg(
+        *[F.sum(c).alias(c) for c in ("n0", "n1", "n")]
+    )
 
-    rows = known.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * width, dtype=np.int32)
-    out[rows.column("cell").to_numpy()] = np.minimum(rows.column("n").to_numpy(), (1 << 31) - 1)
-    return out.reshape(2, ORDER + 1, CELLS, SYMBOLS)
+
+def window_differences(windows: DataFrame) -> DataFrame:
+    """``window, n, d0, d1, d``: difference of the log-chances of each window, by the model that counted it (d: neither)."""
+    below = None
+    for order in range(ORDER + 1):
+        size = BASE**order * SYMBOLS
+        level = windows.groupBy((F.col("window") % size).alias("key")).agg(
+            *[F.sum(c).alias(c) for c in ("n0", "n1", "n")]
+        )
+        context = Window.partitionBy(F.floor(F.col("key") / SYMBOLS))
+        for kind in (0, 1):
+            level = level.withColumn(f"total{kind}", F.sum(f"n{kind}").over(context)).withColumn(
+                f"kinds{kind}", F.count(F.when(F.col(f"n{kind}") > 0, 1)).over(context)
+            )
+        if below is None:
+            level = level.select("*", *[F.lit(1 / SYMBOLS).alias(f"p{k}{o}") for k in (0, 1) for o in (0, 1)])
+        else:
+            level = level.withColumn("short", F.col("key") % (BASE ** (order - 1) * SYMBOLS)).join(below, "short")
+        chances = []
+        for kind in (0, 1):
+            for own in (0, 1):
+                n, before = F.col(f"n{kind}"), F.col(f"p{kind}{own}")
+                seen, total = F.greatest(n - own, F.lit(0)), F.greatest(F.col(f"total{kind}") - own, F.lit(0))
+                kinds = F.col(f"kinds{kind}") - F.when(n == own, own).otherwise(0)
+                chance = (seen + kinds * before) / F.greatest(total + kinds, F.lit(1))
+                chances.append(F.when(total > 0, chance).otherwise(before).alias(f"p{kind}{own}"))
+        level = level.select("key", "n", *chances)
+        names = [f"p{k}{o}" for k in (0, 1) for o in (0, 1)]
+        below = level.select(F.col("key").alias("short"), *names)
+    return level.select(
+        F.col("key").alias("window"),
+        "n",
+        (F.log("p10") - F.log("p01")).alias("d0"),
+        (F.log("p11") - F.log("p00")).alias("d1"),
+        (F.log("p10") - F.log("p00")).alias("d"),
+    )
 
 
 def _differences(rows: DataFrame, models: Models) -> DataFrame:
@@ -176,37 +247,100 @@ def _differences(rows: DataFrame, models: Models) -> DataFrame:
     return rows.select(*names, known, "url").mapInArrow(measure, f"{fields}difference double")
 
 
-def fit(found: DataFrame) -> Models | None:
-    """The two models and the threshold from the rows of ``judged``; None without both kinds of URLs."""
-    known = found.where("known IS NOT NULL").select(F.concat("host", "path").alias("url"), "known")
-    counts = _counted(known)
-    if not counts[0].any() or not counts[1].any():
-        return None
-    models = Models(counts, 0.0)
+def joined_differences(rows: DataFrame, windows: DataFrame, most: int = HEAD_WINDOWS) -> DataFrame:
+    """As ``_differences``, by tables of any size: ``most`` windows are broadcast, the others joined.
+
+    A window that is not among the most frequent ones has at most one part in
+    ``most`` of all characters, so neither it nor a URL that holds it is hot.
+    """
+    scores = stage(window_differences(windows), "window-differences")
+    head = scores.orderBy(F.desc("n"), "window").limit(most).select("window", "d0", "d1", "d").toArrow()
+    order = np.argsort(head.column("window").to_numpy())
+    table = tuple(head.column(c).to_numpy()[order] for c in ("window", "d0", "d1", "d"))
+    held = rows.sparkSession.sparkContext.broadcast((table[0], np.stack(table[1:])))
+    names = rows.columns
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, by_kind = held.value
+        for batch in column_batches(batches, BATCH):
+            flat, cells, ends = contexts(batch.column(names.index("url")).to_pylist())
+            known = batch.column(names.index("known")).fill_null(2).to_numpy()
+            sizes = np.diff(ends, prepend=0)
+            windows = cells[ORDER] * SYMBOLS + flat
+            place = np.minimum(np.searchsorted(codes, windows), len(codes) - 1)
+            here = codes[place] == windows
+            found = np.where(here, by_kind[np.repeat(known, sizes), place], 0.0)
+            sums = np.add.reduceat(found, ends - sizes) if len(ends) else np.empty(0)
+            offsets = np.concatenate([[0], np.cumsum(~here)])[np.concatenate([[0], ends]).astype(np.int64)]
+            left = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(windows[~here]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sums), pa.array(sizes), left], names=[*names, "_sum", "_size", "_left"]
+            )
+
+    partial = rows.mapInArrow(measure, f"{fields}_sum double, _size long, _left array<long>")
+    partial = stage(partial, "url-sums")
+    out = [c for c in names if c not in ("url", "known")]
+    rest = partial.where(F.size("_left") > 0)
+    more = (
+        rest.select("url", "known", "_left").dropDuplicates(["url"])
+        .select("url", "known", F.explode("_left").alias("window"))
+        .join(scores, "window")
+        .groupBy("url")
+        .agg(F.sum(F.when(F.col("known") == 0, F.col("d0")).when(F.col("known") == 1, F.col("d1")).otherwise(F.col("d"))).alias("_more"))
+    )
+    whole = partial.where(F.size("_left") == 0).select(*out, (F.col("_sum") / F.col("_size")).alias("difference"))
+    return whole.union(
+        rest.join(more, "url").select(*out, ((F.col("_sum") + F.col("_more")) / F.col("_size")).alias("difference"))
+    )
+
+
+def threshold_of(accepted: DataFrame) -> float:
+    """Difference below which at most ``ACCEPTED_LOST`` of the accepted training URLs are, never above 0."""
     step = (MOST - LEAST) / BINS
-    accepted = _differences(known.where("known = 1"), models)
     bins = accepted.groupBy(
         F.least(F.greatest(F.floor((F.col("difference") - LEAST) / step), F.lit(0)), F.lit(BINS)).alias("bin")
     ).count()
     tally = sorted((r["bin"], r["count"]) for r in bins.collect())
-    allowed, threshold = ACCEPTED_LOST * sum(n for _, n in tally), 0.0
+    allowed = ACCEPTED_LOST * sum(n for _, n in tally)
     for place, n in tally:
         allowed -= n
         if allowed < 0:
-            threshold = min(0.0, LEAST + place * step)
-            break
-    return models._replace(threshold=threshold)
+            return min(0.0, LEAST + place * step)
+    return 0.0
+
+
+def _scored(rows: DataFrame, near: int = NEAR_WINDOWS, head: int = HEAD_WINDOWS) -> tuple[DataFrame, float, Models | None]:
+    """``rows`` (``url, known`` among them) with ``difference``, the threshold, and the models if they are broadcast."""
+    windows = stage(url_windows(rows), "url-windows")
+    size = windows.agg(F.count("*").alias("t"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not size["n0"] or not size["n1"]:
+        return rows.drop("url", "known").withColumn("difference", F.lit(0.0)), 0.0, None
+    if size["t"] <= near:
+        table = windows.toArrow()
+        numbers = np.stack([table.column(c).to_numpy() for c in ("n0", "n1")])
+        models = Models(Counts.of(table.column("window").to_numpy(), numbers), 0.0)
+        threshold = threshold_of(_differences(rows.select("url", "known").where("known = 1"), models))
+        return _differences(rows, models), threshold, models._replace(threshold=threshold)
+    scored = stage(joined_differences(rows.withColumn("_known", F.col("known")), windows, head), "url-differences")
+    return scored.drop("_known"), threshold_of(scored.where("_known = 1")), None
+
+
+def fit(found: DataFrame) -> Models | None:
+    """The two models and the threshold from the rows of ``judged``; None without both kinds of URLs or too large to gather."""
+    return _scored(found.select(F.concat("host", "path").alias("url"), "known"))[2]
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def filter_urls(
+    pages: DataFrame,
+    rules: Sequence[tuple[str, str, str]] = RULES,
+    near: int = NEAR_WINDOWS,
+    head: int = HEAD_WINDOWS,
+) -> DataFrame:
     """``page_id, host, path, rule, verdict, difference`` of every row of ``pages``."""
     found = judged(pages, rules)
-    models = fit(found)
     rows = found.select("page_id", "host", "path", "ruled", "known", F.concat("host", "path").alias("url"))
-    if models is None:
-        scored, threshold = rows.withColumn("difference", F.lit(0.0)), 0.0
-    else:
-        scored, threshold = _differences(rows, models), models.threshold
+    scored, threshold, _ = _scored(rows, near, head)
     by_model = F.when((F.col("url_empty")) | (F.col("difference") >= threshold), "allow").otherwise("block")
     return scored.withColumn("url_empty", (F.col("host") == "") & (F.col("path") == "")).select(
         "page_id",

@@ -95,3 +95,24 @@ def test_odd_rows(spark):
     assert all((r.host, r.path, r.verdict) == ("", "", "allow") for r in got if r.page_id in (1, 2, 3))
     assert [(r.host, r.path, r.rule) for r in got if r.page_id == 6] == [("É.org", "/ü\n", "org/")]
     assert filter_urls(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_no_two_contexts_share_a_count():
+    """More contexts of each order than a table of fixed size could hold apart."""
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    urls = [a + b + c + d for a in signs[:12] for b in signs for c in signs for d in signs[-12:]]
+    flat, cells, ends = contexts(urls)
+    assert len(set(cells[4][ends - 1].tolist())) == len(urls)
+    assert len(set(cells[3][ends - 1].tolist())) == len({u[1:] for u in urls})
+
+
+def test_joined_counts_score_as_broadcast_ones(spark):
+    odd = [(9000, None, None), (9001, "a://b/" + "q" * 3000, None), (9002, "http://m.example.org/es/never-seen-before", None)]
+    df = spark.createDataFrame(made() + odd, PAGES)
+    want = {r.page_id: r for r in filter_urls(df).collect()}
+    for head in (1, 60, 1_000_000):
+        got = {r.page_id: r for r in filter_urls(df, near=0, head=head).collect()}
+        assert got.keys() == want.keys()
+        for i, r in want.items():
+            assert abs(got[i].difference - r.difference) < 1e-9
+            assert got[i].asDict() | {"difference": 0} == r.asDict() | {"difference": 0}
