@@ -3,13 +3,17 @@
 Pages are read into blocks of text with the path of their elements. The words
 of all blocks outside ``article`` and ``main`` form one stream per page and
 path. In the suffix array of a host's streams, suffixes that agree in their
-first ``RUN`` words stand side by side; here they meet in a group by (host,
-path, hash of those words), which Spark combines before it shuffles, so a host
+first ``RUN`` words stand side by side; here they meet in a group by the hash of
+host and words, which Spark combines before it shuffles, so a host
 with a third of all pages needs no sorting in one place. A run that groups at
-least two pages of different content is a repeated substring. A path of a
-host is boilerplate if at least ``COVERED`` of its runs repeat, once the host
-has ``HOST_PAGES`` pages with it; paths of smaller hosts go by all hosts
-together. The blocks of such paths are removed, all others are unique runs and kept.
+least two pages of different text is a repeated substring, whatever the size of the
+host. Repeated runs that overlap or touch make up maximal spans of a stream; a block whose
+words all lie in spans is removed, and a block with a word outside them is
+a unique run and kept whole. A stream shorter than ``RUN`` words is one run, which
+has to repeat under the same path.
+
+Up to ``NEAR_RUNS`` repeated runs are broadcast; beyond, the most frequent ones
+are and the rest is joined, with the same result.
 
 An exact check on the markup follows: elements that HTML or their class or
 role name as menus, headers, footers, asides, forms, notices, adverts or comments go
@@ -18,14 +22,14 @@ taken for boilerplate because it repeats (pages may be copies of each other);
 and if a page has such an element with text, only text inside it is kept.
 
 Null or empty html, and pages of markup only, have empty text. Null urls share
-one host. Repeated rows each give a row; equal pages count as one page. Unclosed and
+one host. Repeated rows each give a row; pages of one text count as one page. Unclosed and
 stray tags are borne. Texts are whole, whatever their length.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import numpy as np
@@ -33,14 +37,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citelake.llm.common import WordHashes, bounded, column_batches, ordered_pair
+from citelake.llm.common import WordHashes, column_batches, ordered_pair
 from citelake.session import stage
 
 RUN = 5
-COVERED = 0.5
-HOST_PAGES, ALL_PAGES = 8, 40
-#: Hosts up to which their boilerplate paths are broadcast.
-BROADCAST_HOSTS = 50_000
+#: Repeated runs that are broadcast.
+NEAR_RUNS = 1_000_000
 BATCH = 128
 
 # Element and class names as HTML and common practice have them.
@@ -170,90 +172,172 @@ def host_of(url: Column) -> Column:
     return F.translate(found, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def host_runs(pages: DataFrame) -> DataFrame:
-    """``host, path, run, page, first``: the runs of ``RUN`` words of each page and path outside its article.
+def streams_of(
+    blocks: list[tuple[str, str, bool, bool]], host: int, hashes: WordHashes
+) -> list[tuple[np.ndarray, list[tuple[int, int, int]]]]:
+    """Of each path outside the article: hashes of the runs from each word on, and (block, start, end) in words."""
+    words: dict[str, list[bytes]] = {}
+    places: dict[str, list[tuple[int, int, int]]] = {}
+    for i, (path, text, _, content) in enumerate(blocks):
+        if not content:
+            held = words.setdefault(path, [])
+            start = len(held)
+            held.extend(text.encode().lower().split())
+            places.setdefault(path, []).append((i, start, len(held)))
+    out = []
+    for path, held in words.items():
+        grams = hashes.of(held)
+        count = max(1, len(grams) - RUN + 1)
+        runs = grams[:count].copy()
+        for shift in range(1, min(RUN, len(grams))):
+            runs = ordered_pair(runs, grams[shift : shift + count])
+        if len(grams) < RUN:
+            runs = ordered_pair(runs, np.array([path_hash(path)]).view(np.uint64))
+        runs = ordered_pair(np.full(count, host, dtype=np.int64).view(np.uint64), runs)
+        out.append((runs.view(np.int64), places[path]))
+    return out
+
+
+def covered_blocks(
+    streams: list[tuple[np.ndarray, list[tuple[int, int, int]]]], repeats: Callable[[np.ndarray], np.ndarray]
+) -> set[int]:
+    """Blocks all of whose words lie in spans of the runs that ``repeats`` says are repeated."""
+    out = set()
+    for runs, places in streams:
+        hits = np.nonzero(repeats(runs))[0]
+        if len(hits):
+            size = places[-1][2]
+            steps = np.zeros(size + 1, dtype=np.int64)
+            np.add.at(steps, hits, 1)
+            np.add.at(steps, np.minimum(hits + RUN, size), -1)
+            outside = np.concatenate([[0], np.cumsum(np.cumsum(steps)[:size] == 0)])
+            out.update(block for block, start, end in places if outside[start] == outside[end])
+    return out
+
+
+def _among(table: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Which of ``runs`` are in the sorted ``table``."""
+    if not len(table):
+        return np.zeros(len(runs), dtype=bool)
+    return table[np.minimum(np.searchsorted(table, runs), len(table) - 1)] == runs
+
+
+def _source(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        F.col("html").cast("string").alias("html"),
+        F.xxhash64(host_of(F.col("url"))).alias("host"),
+    )
 
-    A stream shorter than that is one run. ``first`` is 1 for the first run of a page and path.
-    """
+
+def repeated_runs(source: DataFrame) -> DataFrame:
+    """``run, n``: runs on at least two pages of a host with different texts, and on how many rows."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in column_batches(batches, BATCH):
-            columns = [[], [], [], [], []]
+            runs, texts = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                streams: dict[str, list[bytes]] = {}
-                for path, text, _, content in blocks_of(html):
-                    if not content:
-                        streams.setdefault(path, []).extend(text.encode().lower().split())
-                page = xxhash.xxh3_64_intdigest(html or "") - (1 << 63)
-                for path, words in streams.items():
-                    grams = hashes.of(words)
-                    count = max(1, len(grams) - RUN + 1)
-                    runs = grams[:count].copy()
-                    for shift in range(1, min(RUN, len(grams))):
-                        runs = ordered_pair(runs, grams[shift : shift + count])
-                    columns[0].append(np.full(count, host, dtype=np.int64))
-                    columns[1].append(np.full(count, path_hash(path), dtype=np.int64))
-                    columns[2].append(runs.view(np.int64))
-                    columns[3].append(np.full(count, page, dtype=np.int64))
-                    columns[4].append((np.arange(count) == 0).astype(np.int64))
-            joined = [np.concatenate(c) if c else np.empty(0, dtype=np.int64) for c in columns]
+                blocks = blocks_of(html)
+                streams = streams_of(blocks, host, hashes)
+                if streams:
+                    runs.append(np.unique(np.concatenate([r for r, _ in streams])))
+                    text = xxhash.xxh3_64_intdigest("\n".join(b[1] for b in blocks)) - (1 << 63)
+                    texts.append(np.full(len(runs[-1]), text, dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in joined], names=["host", "path", "run", "page", "first"]
+                [pa.array(np.concatenate(runs)), pa.array(np.concatenate(texts))], names=["run", "page"]
             )
 
-    return pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), F.col("html").cast("string")).mapInArrow(
-        read, "host long, path long, run long, page long, first long"
+    found = source.select("host", "html").mapInArrow(read, "run long, page long")
+    grouped = found.groupBy("run").agg(F.min("page").alias("low"), F.max("page").alias("high"), F.count("*").alias("n"))
+    return grouped.where("low <> high").select("run", "n")
+
+
+def _with_runs(source: DataFrame, most: int) -> tuple[DataFrame, np.ndarray]:
+    """``source`` with ``more``, its repeated runs that are not in the sorted table beside it."""
+    repeated = stage(repeated_runs(source), "repeated-runs")
+    few = repeated.limit(most + 1).count() <= most
+    head = repeated if few else repeated.orderBy(F.desc("n"), "run").limit(most)
+    table = np.sort(head.select("run").toArrow().column("run").to_numpy())
+    if few:
+        return source.withColumn("more", F.lit(None).cast("array<long>")), table
+    held = source.sparkSession.sparkContext.broadcast(table)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in column_batches(batches, BATCH):
+            asked = []
+            for host, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                runs = [r for r, _ in streams_of(blocks_of(html), host, hashes)]
+                runs = np.unique(np.concatenate(runs)) if runs else np.empty(0, dtype=np.int64)
+                asked.append(runs[~_among(held.value, runs)])
+            lists = pa.array(asked, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["copy", "runs"])
+
+    # A run outside the table is on few pages of different text, so it is no hot key; copies ask once.
+    marked = source.withColumn("copy", F.md5(F.concat_ws("|", F.col("host").cast("string"), "html").cast("binary")))
+    asked = marked.select("copy", "host", "html").mapInArrow(ask, "copy string, runs array<long>")
+    more = (
+        asked.dropDuplicates(["copy"])
+        .select("copy", F.explode("runs").alias("run"))
+        .join(repeated, "run")
+        .groupBy("copy")
+        .agg(F.collect_list("run").alias("more"))
     )
+    return marked.join(stage(more, "page-runs"), "copy", "left").drop("copy"), table
+
+
+def _covered(
+    html: str | None, host: int, more: list[int] | None, table: np.ndarray, hashes: WordHashes
+) -> tuple[list[tuple[str, str, bool, bool]], set[int]]:
+    """The blocks of a page and which of them are covered."""
+    blocks = blocks_of(html)
+    own = np.sort(np.array(more or [], dtype=np.int64))
+    return blocks, covered_blocks(streams_of(blocks, host, hashes), lambda r: _among(table, r) | _among(own, r))
 
 
 def boilerplate_paths(pages: DataFrame) -> DataFrame:
-    """``host, paths``: hashes of the paths whose text repeats over the pages of a host."""
-    runs = (
-        host_runs(pages)
-        .groupBy("host", "path", "run")
-        .agg(F.min("page").alias("low"), F.max("page").alias("high"), F.count("*").alias("n"), F.sum("first").alias("first"))
-    )
-    repeated = F.sum(F.when(F.col("low") != F.col("high"), F.col("n")).otherwise(0))
-    by_host = stage(
-        runs.groupBy("host", "path").agg(repeated.alias("repeated"), F.sum("n").alias("n"), F.sum("first").alias("pages")),
-        "host-paths",
-    )
-    over_all = by_host.groupBy("path").agg(
-        (F.sum("repeated") >= COVERED * F.sum("n")).alias("often"), F.sum("pages").alias("everywhere")
-    )
-    own = F.col("repeated") >= COVERED * F.col("n")
-    decided = F.when(F.col("pages") >= HOST_PAGES, own).otherwise(F.col("often") & (F.col("everywhere") >= ALL_PAGES))
-    return by_host.join(over_all, "path").where(decided).groupBy("host").agg(F.collect_set("path").alias("paths"))
+    """``host, paths``: hashes of the paths of covered blocks, to look into what repeats on a host."""
+    rows, table = _with_runs(_source(pages), NEAR_RUNS)
+    held = pages.sparkSession.sparkContext.broadcast(table)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in column_batches(batches, BATCH):
+            found = set()
+            for html, host, more in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                blocks, covered = _covered(html, host, more, held.value, hashes)
+                found |= {(host, path_hash(blocks[i][0])) for i in covered}
+            columns = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "path"])
+
+    found = rows.select("html", "host", "more").mapInArrow(read, "host long, path long")
+    return found.groupBy("host").agg(F.collect_set("path").alias("paths"))
 
 
-def main_text(blocks: list[tuple[str, str, bool, bool]], repeated: set[int]) -> str:
-    """The blocks that are kept, one a line."""
-    left = [b for b in blocks if b[3] or path_hash(b[0]) not in repeated] if repeated else blocks
-    left = [b for b in left if not b[2]]
+def main_text(blocks: list[tuple[str, str, bool, bool]], covered: set[int]) -> str:
+    """The blocks that are kept, one a line; ``covered`` has the places of those that repeat."""
+    left = [b for i, b in enumerate(blocks) if not b[2] and i not in covered]
     inside = [b for b in left if b[3]]
     return "\n".join(b[1] for b in inside or left)
 
 
-def extract_text(pages: DataFrame) -> DataFrame:
+def extract_text(pages: DataFrame, most: int = NEAR_RUNS) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``."""
-    paths = bounded(stage(boilerplate_paths(pages), "boilerplate"), BROADCAST_HOSTS)
-    source = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        F.col("html").cast("string").alias("html"),
-        F.xxhash64(host_of(F.col("url"))).alias("host"),
-    )
+    rows, table = _with_runs(_source(pages), most)
+    held = pages.sparkSession.sparkContext.broadcast(table)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in column_batches(batches, BATCH):
-            rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            texts = [main_text(blocks_of(html), set(repeated or ())) for html, repeated in rows]
+            found = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+            texts = [main_text(*_covered(html, host, more, held.value, hashes)) for html, host, more in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return source.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(
+    return rows.select("page_id", "url", "html", "host", "more").mapInArrow(
         read, "page_id long, url string, text string, n_chars long"
     )

@@ -84,3 +84,31 @@ def test_host(spark):
     urls = {None: "", "no scheme/x": "", "http://A.b/c": "a.b", "x://É.ORG#f": "É.org", "a\n://h?x": "h", "p://": "", "http://a://b/": "a:"}
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     assert {r.url: r.h for r in df.select("url", host_of(F.col("url")).alias("h")).collect()} == urls
+
+
+def shared_path(n, host, unique=3):
+    """Article and notice in the same kind of element; ``unique`` paragraphs of each page are its own."""
+    notice = "<div><p>All of our offers end when the week does</p></div>"
+    own = [[" ".join(f"{host}w{i}x{j}x{k}" for k in range(12)) for j in range(unique)] for i in range(n)]
+    return [(i, f"http://{host}.org/{i}", f"<body>{notice}{''.join(f'<div><p>{p}</p></div>' for p in own[i])}</body>") for i in range(n)], own
+
+
+def test_only_covered_blocks_of_a_path_go(spark):
+    """The path's share of repeated runs is below and above a half; near copies leave other pages alone."""
+    few, own_few = shared_path(20, "few", 3)
+    most, own_most = shared_path(20, "most", 0)
+    most = [(100 + i, u, h.replace("</body>", f"<div><p>short{i} but all its own words</p></div></body>")) for i, u, h in most]
+    near = [(200 + i, "http://few.org/n", f"<body><div><p>{own_few[0][0]}</p></div><div><p>seen {i} times by a reader</p></div></body>") for i in range(30)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(few + most + near, PAGES)).collect()}
+    for i in range(1, 20):
+        assert got[i] == "\n".join(own_few[i])
+        assert got[100 + i] == f"short{i} but all its own words"
+    assert got[0] == "\n".join(own_few[0][1:]) and got[205] == "seen 5 times by a reader"
+
+
+def test_joined_runs_give_the_same_texts(spark):
+    rows = shared_path(9, "a")[0] + hosted(12) + [(50, None, None), (51, None, "<p>x</p>")]
+    df = spark.createDataFrame(rows + rows[:3], PAGES)
+    want = sorted(extract_text(df).collect(), key=str)
+    for most in (0, 3, 11):
+        assert sorted(extract_text(df, most).collect(), key=str) == want
