@@ -106,6 +106,15 @@ def test_only_covered_blocks_of_a_path_go(spark):
     assert got[0] == "\n".join(own_few[0][1:]) and got[205] == "seen 5 times by a reader"
 
 
+def test_small_hosts_go_by_their_own_pages(spark):
+    """Two pages are enough, and other hosts are no evidence."""
+    two, own = shared_path(2, "two")
+    lone = [(1000 + i, f"http://lone{i}.org/", f"<body><div><p>All of our offers end when the week does</p></div></body>") for i in range(50)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(two + lone, PAGES)).collect()}
+    assert [got[i] for i in (0, 1)] == ["\n".join(own[i]) for i in (0, 1)]
+    assert all(got[1000 + i] == "All of our offers end when the week does" for i in range(50))
+
+
 def test_joined_runs_give_the_same_texts(spark):
     rows = shared_path(9, "a")[0] + hosted(12) + [(50, None, None), (51, None, "<p>x</p>")]
     df = spark.createDataFrame(rows + rows[:3], PAGES)
