@@ -8,8 +8,8 @@ group is what links connect.
 1. Documents with equal sets are one class, so copies are never paired.
 2. Inverted lists: each class stands under every two neighbours of its sketch
    in hash order. Two classes with a similarity of 0.8 share such a pair of
-   neighbours: always while the sets have up to 64 shingles, else with a
-   chance of a miss below 1e-18. Sets of four to nine shingles that may differ
+   neighbours: always while the sets have up to 64 shingles (8 to 19: see 5 for
+   long lists), else with a chance of a miss below 1e-18. Sets of four to nine shingles that may differ
    in one only are found by leaving out each shingle in turn.
 3. Stars: each class is compared with a few list heads (the class with the
    smallest hash in a list, under several hashes). That is linear in the lists
@@ -21,6 +21,11 @@ group is what links connect.
    similarity on full sets decides. If two star centres miss the threshold,
    members of the stars are compared as far as the triangle inequality of the
    Jaccard distance allows a link.
+5. Sets of 8 to 19 shingles need not share a run of four, so a long list may
+   miss them. They are indexed under their rarest n - ceil(0.8 n) + 1 shingles, of
+   which two that are similar enough share one, and meet in all lists of any
+   length, unless they are in one group already or the places of the shingle in
+   the two sets rule a link out.
 
 Documents without words, and rows without id, are linked with nothing. A
 document with fewer words than ``width`` has its whole word sequence as one
@@ -38,7 +43,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citelake.llm.common import WordHashes, column_batches, mix64, ordered_pair
+from citelake.llm.common import WordHashes, bounded, column_batches, mix64, ordered_pair
 from citelake.session import stage
 
 K = 64
@@ -47,6 +52,10 @@ PERCENT = 80
 #: Stars in a list up to which all of them are paired; longer lists are refined first.
 LONG = 64
 RUNS = (2, 3, 4)
+#: Sizes of sets that are paired exactly by their rarest shingles: a union of less than 20 need not share a run of four.
+SHORT = (8, 19)
+#: Frequent shingles up to which they are broadcast.
+OFTEN = 100_000
 #: Overlap count that a candidate needs: a shared run of 2, 3, 4 neighbours counts 1, 2, 3. Sets of up to 64
 #: shingles that are similar enough share at least n / 5 - 3 places with a run of four. Of pairs of larger sets with a
 #: similarity of 0.8, 3e-13 have less than this if their lists are short, 8e-6 if all of them are long.
@@ -288,6 +297,44 @@ def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> DataF
     )
 
 
+def _short_pairs(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a, b``: all links between groups whose sets have ``SHORT`` sizes, by prefixes in order of frequency."""
+    least, most = SHORT
+    short = classes.where(F.col("n").between(least, most))
+    items = short.select("f", "n", F.explode("sketch").alias("item"))
+    often = stage(items.groupBy("item").agg(F.count("*").alias("t")).where(F.col("t") > LONG), "often-items")
+    ordered = (
+        items.join(bounded(often, OFTEN), "item", "left")
+        .groupBy("f", "n")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("t", F.lit(0)).alias("t"), "item"))).alias("items"))
+    )
+    size = (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")
+    prefixes = ordered.select("f", "n", F.posexplode(F.slice("items", F.lit(1), size)).alias("p", "one"))
+    entries = stage(_with_root(prefixes.select("f", "n", "p", "one.item"), roots, "f", "root"), "prefixes")
+    mixed = entries.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    entries = stage(entries.join(mixed.select("item"), "item", "left_semi"), "mixed-prefixes")
+    # The first common shingle leaves room for enough common ones behind it.
+    places = [(n, p) for n in range(least, most + 1) for p in range(n + (-n * PERCENT // 100) + 1)]
+    fits = [
+        (n, p, m, q)
+        for n, p in places
+        for m, q in places
+        if (n, p) <= (m, q) and min(n - p, m - q) * (100 + PERCENT) >= PERCENT * (n + m)
+    ]
+    fits = classes.sparkSession.createDataFrame(fits, "n long, p int, m long, q int")
+    other = entries.select("item", *[F.col(c).alias(d) for c, d in (("f", "g"), ("n", "m"), ("p", "q"), ("root", "other"))])
+    pairs = (
+        entries.join(F.broadcast(fits), ["n", "p"])
+        .join(other, ["item", "m", "q"])
+        .where("root <> other AND (n <> m OR p <> q OR f < g)")
+        .select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"))
+        .distinct()
+        .withColumn("least", F.lit(PERCENT / 100))
+    )
+    # Sketches of these sets are the sets, so the estimate is the similarity.
+    return _estimated(pairs, classes)
+
+
 def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """``f, root`` of all classes that are linked; ``rows`` is ``sketches`` staged."""
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -352,6 +399,10 @@ def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     second = _similar(pairs, rows, documents, width, "stars")
     edges = met.select("a", "b").union(second.where(_linked()).select("a", "b"))
     roots = components(edges)
+    short = stage(_short_pairs(classes, roots), "short-pairs")
+    if not short.isEmpty():
+        edges = edges.union(short)
+        roots = components(edges)
 
     # Centres that are too far apart: members may still be near enough.
     reach = (100 - PERCENT) / 100

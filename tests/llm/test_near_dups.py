@@ -122,3 +122,15 @@ def test_one_of_each_group(spark):
     assert got == sorted(want)
     twice = documents(spark, [(1, "a b c d e f", "s")] * 3 + [(2, "a b c d e f", "s"), (3, "q", "s")])
     assert sorted(r.doc_id for r in one_of_each_group(twice).collect()) == [1, 3]
+
+
+def test_short_template_in_long_lists(spark):
+    """Every text that adds two own words to the eight of a template is linked with it, though each list is long."""
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    texts = [" ".join(words)] + [" ".join([*words, f"own{i}", f"too{i}"]) for i in range(1, 300)]
+    # Nine words of which eight are common, and no template among them.
+    nine = [" ".join([f"n{j}" for j in range(8)] + [f"last{i}"]) for i in range(200)]
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)] + [(1000 + i, t, "b") for i, t in enumerate(nine)])
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, width=1).collect()}
+    assert {got[i] for i in range(300)} == {0}
+    assert {got[1000 + i] for i in range(200)} == {1000}
