@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -81,9 +82,10 @@ def text_features(text: str | None, lexicon: Lexicon) -> tuple[float, ...]:
     n = len(words)
     places = [i for i, w in enumerate(words) if w in lexicon.words]
     stems = sum(w[:STEM] in lexicon.stems for w in words)
-    near = sum(
-        any(w in SECOND_PERSON for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in places[:1000]
-    )
+    near = 0
+    if places:
+        before = [0, *accumulate(w in SECOND_PERSON for w in words)]
+        near = sum(before[min(n, i + _NEAR + 1)] > before[max(0, i - _NEAR)] for i in places)
     hidden = odd = 0
     if _ODD.search(lower):
         for token in _TOKEN.findall(lower):

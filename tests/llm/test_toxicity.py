@@ -79,3 +79,12 @@ def test_remainder(spark):
     rows = spark.range(50).select(remainder(F.col("id"), 5).alias("r"), "id").collect()
     assert all(r.r == held(r.id, 5) for r in rows)
     assert given("labels")
+
+
+def test_second_person_is_counted_near_all_hits():
+    lexicon = Lexicon(frozenset({"fool"}), frozenset())
+    apart = " and so on it goes for quite a while "
+    text = ("fool" + apart) * 1500 + ("you fool" + apart) * 500
+    assert text_features(text, lexicon)[4] == 500.0
+    assert text_features("fool" + " a" * 6 + " you", lexicon)[4] == 0.0
+    assert text_features("you" + " a" * 5 + " fool", lexicon)[4] == 1.0
