@@ -6,8 +6,9 @@ Hashes of all windows of the benchmark meet those of all windows of the
 documents; around each hit the two texts are laid over each other without
 gaps, and the longest stretch of at least ``LEAST_WORDS`` words with at
 least 80 % of them equal counts as an overlap. The first mask hits every
-stretch of 13 words with up to two substitutions, so every such overlap is
-found. Benchmark items with fewer words must overlap as a whole, and have
+stretch of 13 words with up to two substitutions, and the three together every
+stretch of 13 to 24 words with up to a fifth of them substituted (enumerated in
+the tests), so every such overlap is found. Benchmark items with fewer words must overlap as a whole, and have
 hashes of their own: of runs so short that the allowed substitutions spare one.
 
 The benchmark is a stated set: it comes in blocks of bounded size, each
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from citelake.llm.common import WordHashes, column_batches, mix64
 
-MASKS = ("11010011", "1111001")
+MASKS = ("11010011", "1111001", "11100010111")
 LEAST_WORDS = 13
 #: Equal words of a hundred in an overlap.
 PERCENT = 80

@@ -111,3 +111,13 @@ def test_odd_rows(spark):
     none = spark.createDataFrame([], BENCH)
     assert overlaps(wide, none).collect() == [] and clean_documents(wide, none).count() == len(ODD_ROWS)
     assert overlaps(documents(spark, []), bench).collect() == []
+
+
+def test_masks_hit_every_overlap_of_up_to_24_words():
+    ones = [([i for i, c in enumerate(m) if c == "1"], len(m)) for m in MASKS]
+    for n in range(LEAST_WORDS, 25):
+        windows = [sum(1 << (at + i) for i in places) for places, span in ones for at in range(n - span + 1)]
+        for k in range(n // 5 + 1):
+            for changed in itertools.combinations(range(n), k):
+                held = sum(1 << i for i in changed)
+                assert any(not held & w for w in windows), (n, changed)
