@@ -36,7 +36,6 @@ from citelake.session import stage
 #: Bound of the labelled rows used for fitting.
 SAMPLE = 20_000
 TREES, DEPTH = 12, 3
-RULES = 120
 PENALTY = 0.002
 SEED = 5
 THRESHOLD = 0.7
@@ -166,7 +165,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemb
         featuresCol="_vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=3,
         featureSubsetStrategy="onethird",
     ).fit(vectors)
-    rules = tree_rules(forest.toDebugString)[:RULES]
+    rules = tree_rules(forest.toDebugString)
     flags = rows.select("label", *names, *[r.column().cast("double").alias(f"_r{i}") for i, r in enumerate(rules)])
     columns = [f"_r{i}" for i in range(len(rules))] + names
     lasso = LogisticRegression(

@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from citelake.llm.quality import STATISTICS, fit, score_quality, text_statistics, tree_rules
+from citelake.llm import quality
+from citelake.llm.quality import STATISTICS, Rule, fit, score_quality, text_statistics, tree_rules
 from tests.llm.tables import ODD_ROWS, documents, widened
 from tests.llm.test_toxicity import LABELS, held
 
@@ -74,3 +75,13 @@ def test_tree_paths():
         ((2, False, 0.5),), ((0, True, 1.5), (2, False, 0.5)), ((0, False, 1.5), (2, False, 0.5)), ((2, True, 0.5),),
     ]
     assert set(text_statistics(" ")) == {0.0} and len(text_statistics("a b")) == len(STATISTICS)
+
+
+def test_every_path_reaches_the_lasso(spark, monkeypatch):
+    """150 rules, of which the last one alone tells the labels apart."""
+    docs, labels = made(400)
+    useless = [Rule(((0, True, 1e9 + i),)) for i in range(149)]
+    last = Rule(((STATISTICS.index("twice"), True, 0.3),))
+    monkeypatch.setattr(quality, "tree_rules", lambda text: [*useless, last])
+    model = fit(documents(spark, docs), spark.createDataFrame(labels, LABELS))
+    assert [rule for _, rule in model.rules] == [last]
