@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake.llm.decontaminate import overlaps
+from citelake.llm.divergence import quality_rules
 from citelake.llm.licenses import scan_licenses
 from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
@@ -64,6 +65,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The two divergences are sums of logarithms: left out, so that the rows are exact.
+    return quality_rules(_table(spark, sf_dir, "documents")).drop("word_js", "class_js")
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
@@ -75,6 +81,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_top_k": op10_top_k,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 ORACLE = {
@@ -115,5 +122,84 @@ WITH sound AS (
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op12_quality_rules": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce('+' || lang, '-') AS l FROM documents
+), w AS (
+    SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), windows AS (
+    SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM w, unnest(range(1, len(w) - 1)) AS u(i)
+), again AS (
+    SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1
+), repeated AS (
+    SELECT rid, count(DISTINCT i + s) AS n FROM again, range(3) AS k(s) GROUP BY rid
+), lines AS (
+    SELECT rid, count(*) - count(DISTINCT line) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
+), classes AS (
+    SELECT rid, doc_id, l, t, strlen(t) AS size, length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) AS c0,
+           length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS c1,
+           length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS c2,
+           length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS c3,
+           length(t) - length(regexp_replace(t, '[.,;:!?''"()-]', '', 'g')) AS c4,
+           length(regexp_replace(t, '[^\x00-\x7F]', '', 'g')) AS ascii
+    FROM d
+), base AS (
+    SELECT rid, doc_id, l, size, [c0, c1, c2, c3, c4, ascii - c0 - c1 - c2 - c3 - c4, size - ascii] AS c,
+           CAST(len(w) AS BIGINT) AS n_words, CAST(length(t) - c3 AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+    FROM classes JOIN w USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN repeated USING (rid)
+), terms AS (
+    SELECT rid, l, term, count(*) AS n
+    FROM (SELECT rid, l, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL
+), doc AS (
+    SELECT rid, l, sum(n) AS n, substr(md5(max(term)), 1, 1) AS shard FROM terms GROUP BY ALL
+), lang AS (
+    SELECT l, sum(n) AS n FROM doc GROUP BY l HAVING sum(n) >= 10000
+), common AS (
+    SELECT l, term FROM terms JOIN lang USING (l) GROUP BY l, term HAVING sum(terms.n) * 2000 >= any_value(lang.n)
+), shards AS (
+    SELECT l, shard, sum(doc.n) AS n, sum(size) AS size, [sum(c[1]), sum(c[2]), sum(c[3]), sum(c[4]), sum(c[5]), sum(c[6]), sum(c[7])] AS c
+    FROM doc JOIN (SELECT rid, c, size FROM base) USING (rid) JOIN (SELECT l FROM lang) USING (l) GROUP BY ALL
+), held AS (
+    SELECT terms.l, shard, terms.term, sum(terms.n) AS n FROM terms JOIN doc USING (rid) JOIN common ON common.l = terms.l AND common.term = terms.term
+    GROUP BY ALL
+), shares AS (
+    SELECT common.l, common.term, quantile_disc((coalesce(held.n, 0) * 1000000000) // shards.n, 0.5) AS r
+    FROM common JOIN shards ON shards.l = common.l
+    LEFT JOIN held ON held.l = common.l AND held.term = common.term AND held.shard = shards.shard GROUP BY ALL
+), word_sizes AS (
+    SELECT l, sum(r) AS held, greatest(1000000000 - sum(r), 0) AS other FROM shares GROUP BY l
+), q AS (
+    SELECT l, term, r / (held + other) AS q, other / (held + other) AS qo FROM shares JOIN word_sizes USING (l)
+), class_shares AS (
+    SELECT l, k, quantile_disc((c[k] * 1000000000) // size, 0.5) AS r FROM shards, range(1, 8) AS u(k) GROUP BY ALL
+), p AS (
+    SELECT terms.rid, sum(terms.n) AS known, sum(q) AS there, any_value(qo) AS qo,
+           sum((terms.n / doc.n * log2(2 * (terms.n / doc.n) / (terms.n / doc.n + q))
+              + CASE WHEN q > 0 THEN q * log2(2 * q / (terms.n / doc.n + q)) ELSE 0 END) / 2) AS js
+    FROM terms JOIN doc USING (rid) JOIN q ON q.l = terms.l AND q.term = terms.term GROUP BY terms.rid
+), word_js AS (
+    SELECT doc.rid, doc.n, coalesce(js, 0) + greatest(1 - o - coalesce(there, 0), 0) / 2
+        + (CASE WHEN doc.n > coalesce(known, 0) THEN (1 - coalesce(known, 0) / doc.n)
+               * log2(2 * (1 - coalesce(known, 0) / doc.n) / (1 - coalesce(known, 0) / doc.n + o)) ELSE 0 END
+           + CASE WHEN o > 0 THEN o * log2(2 * o / (1 - coalesce(known, 0) / doc.n + o)) ELSE 0 END) / 2 AS js
+    FROM doc JOIN (SELECT l, other / (held + other) AS o FROM word_sizes) USING (l) LEFT JOIN p USING (rid)
+    WHERE doc.n >= 50
+), class_js AS (
+    SELECT rid, size, sum(((CASE WHEN c[k] > 0 THEN c[k] / size * log2(2 * (c[k] / size) / (c[k] / size + cq)) ELSE 0 END)
+        + (CASE WHEN cq > 0 THEN cq * log2(2 * cq / (c[k] / size + cq)) ELSE 0 END)) / 2) AS js
+    FROM base JOIN (SELECT l, k, r / sum(r) OVER (PARTITION BY l) AS cq FROM class_shares) USING (l)
+    WHERE size >= 200 GROUP BY rid, size
+), verdict AS (
+    SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           coalesce(word_js.js > 0.1 + 30.0 / word_js.n, false) OR coalesce(class_js.js > 0.05 + 25.0 / class_js.size, false) AS far
+    FROM base LEFT JOIN word_js USING (rid) LEFT JOIN class_js USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept
+FROM verdict
 """,
 }
