@@ -11,6 +11,7 @@ from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
 from citelake.llm.pages import extract_text
 from citelake.llm.quality import score_quality
+from citelake.llm.source_audit import source_audit
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
 from citelake.llm.toxicity import score_toxicity
@@ -65,6 +66,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The two divergences are sums of logarithms: left out, so that the rows are exact.
     return quality_rules(_table(spark, sf_dir, "documents")).drop("word_js", "class_js")
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_top_k": op10_top_k,
+    "op11_source_audit": op11_source_audit,
     "op12_quality_rules": op12_quality_rules,
 }
 
@@ -122,6 +128,43 @@ WITH sound AS (
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op11_source_audit": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), terms AS (
+    SELECT rid, l, s, term, count(*) AS n
+    FROM (SELECT rid, l, s, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL
+), kept AS (
+    SELECT l, term, CAST(sum(n) AS HUGEINT) AS n FROM terms GROUP BY l, term HAVING count(*) >= 3
+), langs AS (
+    SELECT l, count(*) AS v, sum(n) AS n FROM kept GROUP BY l
+), cells AS (
+    SELECT l, s, term, CAST(sum(terms.n) AS HUGEINT) AS n FROM terms JOIN kept USING (l, term) GROUP BY ALL
+), sources AS (
+    SELECT l, s, CAST(coalesce(sum(n), 0) AS HUGEINT) AS n FROM (SELECT DISTINCT l, s FROM d) LEFT JOIN cells USING (l, s) GROUP BY l, s
+), weights AS (
+    SELECT sources.l, sources.s, kept.term, coalesce(cells.n, 0) AS n,
+           1 + (1000000000 * (coalesce(cells.n, 0) + 1)) // (sources.n + v) AS p,
+           1 + (1000000000 * (kept.n + 1)) // (langs.n + v) AS q
+    FROM sources JOIN kept ON kept.l = sources.l JOIN langs ON langs.l = sources.l
+    LEFT JOIN cells ON cells.l = sources.l AND cells.s = sources.s AND cells.term = kept.term
+), sums AS (
+    SELECT a.l, a.s, b.s AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM weights a JOIN weights b ON a.l = b.l AND a.term = b.term AND a.s <> b.s GROUP BY ALL
+), parts AS (
+    SELECT a.l, a.s, 'pair' AS part, b.s AS item, coalesce(value, 0) AS value
+    FROM sources a JOIN sources b ON a.l = b.l AND a.s <> b.s
+    LEFT JOIN sums ON sums.l = a.l AND sums.s = a.s AND sums.item = b.s
+    UNION ALL
+    SELECT l, s, 'term', term, ((p - q) * (p - q)) // q FROM weights WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY l, s, part ORDER BY value DESC, item) AS r FROM parts
+)
+SELECT l AS lang, s AS source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 200
 """,
     "op12_quality_rules": r"""
 WITH d AS (
