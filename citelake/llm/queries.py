@@ -11,6 +11,7 @@ from citelake.llm.mixing import mix
 from citelake.llm.near_dups import near_duplicates
 from citelake.llm.pages import extract_text
 from citelake.llm.quality import score_quality
+from citelake.llm.repair import repair_conversations
 from citelake.llm.source_audit import source_audit
 from citelake.llm.token_files import token_index, write_tokens
 from citelake.llm.top_k import exact_top_k
@@ -75,6 +76,10 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("word_js", "class_js")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
@@ -88,6 +93,7 @@ QUERIES = {
     "op10_top_k": op10_top_k,
     "op11_source_audit": op11_source_audit,
     "op12_quality_rules": op12_quality_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
@@ -244,5 +250,76 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept
 FROM verdict
+""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), hashed AS (
+    -- CRC-32 bit by bit, over the key's ASCII codes.
+    SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+        CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hashed, range(2) AS copies(c) WHERE kind <> 0 AND (c = 0 OR kind = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+        sha256(length(role) || ':' || role || text)) AS i
+    FROM damaged
+), seen AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS time,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM placed
+), r AS (
+    SELECT conv_id, i, turn, role, text, substr(role, 1, 1) AS s,
+           CASE WHEN body = '' THEN 3 WHEN time > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault
+    FROM seen
+), sizes AS (
+    SELECT conv_id, count(*) AS n FROM r GROUP BY conv_id
+), inserts(a, b, cost, letters, lines) AS (
+    VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+           (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (3, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']),
+           (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:'])
+), moves(a, b, letter, role, cost) AS (
+    VALUES (0, 0, 'D', '', 2), (1, 1, 'D', '', 2), (2, 2, 'D', '', 2), (3, 3, 'D', '', 2),
+           (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0),
+           (0, 2, 'R', 'user', 1), (1, 2, 'R', 'user', 1), (3, 2, 'R', 'user', 1), (2, 3, 'R', 'assistant', 1)
+), paths AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM sizes
+    UNION ALL
+    SELECT conv_id, i, state, cost, audit, lines FROM (
+        SELECT p.conv_id, r.i, m.b AS state,
+               CAST(p.cost + t.cost + m.cost + CASE WHEN letter <> 'D' AND fault = 1 THEN 5 ELSE 0 END AS BIGINT) AS cost,
+               audit || letters || letter AS audit,
+               list_concat(list_concat(p.lines, t.lines), CASE letter WHEN 'D' THEN CAST([] AS VARCHAR[])
+                   WHEN 'K' THEN [r.role || ':' || text] ELSE [m.role || ':' || text] END) AS lines,
+               row_number() OVER (PARTITION BY p.conv_id, m.b ORDER BY p.cost + t.cost + m.cost
+                   + CASE WHEN letter <> 'D' AND fault = 1 THEN 5 ELSE 0 END, audit || letters || letter) AS best
+        FROM paths p JOIN inserts t ON t.a = p.state JOIN moves m ON m.a = t.b
+        JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+        WHERE letter = 'D' OR fault < 2 AND (letter = 'R' OR m.role = r.s)
+    ) WHERE best = 1
+), ends AS (
+    SELECT p.conv_id, p.cost + t.cost AS cost, audit || letters AS audit, list_concat(p.lines, t.lines) AS lines,
+           row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + t.cost, audit || letters) AS best
+    FROM paths p JOIN sizes ON sizes.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = n JOIN inserts t ON t.a = p.state WHERE t.b IN (0, 3)
+), pairs AS (
+    SELECT *, lag(s) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM r
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+           count(*) FILTER (i > 1 AND before || s NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM pairs GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id AND best = 1
 """,
 }
