@@ -237,6 +237,25 @@ SELECT row_number() OVER (ORDER BY bucket, doc_id, pos) AS keyword_index, pmid,
 SELECT o_orderkey, CAST((n - 1) // 1000 + 1 AS BIGINT) AS batch FROM (
   SELECT o_orderkey, row_number() OVER (
     ORDER BY substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 3), o_orderkey) AS n FROM orders)""",
+    "two_loaders": _with(*_BASE, _KEYWORDS, """
+counts AS (
+  SELECT 'author' AS kind, count(*) AS n FROM author
+  UNION ALL SELECT 'affiliation', count(*) FROM affiliation WHERE affiliation IS NOT NULL
+  UNION ALL SELECT 'reference', CAST(sum(o_orderkey % 3) AS BIGINT) FROM o
+  UNION ALL SELECT 'keyword', count(*) FROM keyword)""") + """
+SELECT kind, n, n AS numbers, CAST(1 AS BIGINT) AS first, n AS last FROM counts""",
+    "load_totals": _with(*_INDEPENDENT, _DATES, """
+matched AS (
+  SELECT doc_id, bool_or(coalesce(trim(country_code), '') <> '')
+           AND bool_or(coalesce(trim(institution_name), '') <> '') AS passed
+  FROM enriched GROUP BY doc_id HAVING bool_or(org_hit IS NOT NULL) AND bool_or(place_hit IS NOT NULL)),
+recent AS (SELECT DISTINCT doc_id FROM dated WHERE year >= 1995),
+outcomes AS (
+  SELECT CASE WHEN m.doc_id IS NULL THEN 'unmatched' WHEN NOT passed THEN 'gate'
+              WHEN r.doc_id IS NULL THEN 'year' ELSE 'stored' END AS outcome
+  FROM o LEFT JOIN matched m USING (doc_id) LEFT JOIN recent r USING (doc_id)
+  UNION ALL SELECT 'parse' FROM orders WHERE o_orderkey % 10 = 0)""") + """
+SELECT 'run' AS run_id, outcome, count(*) AS n FROM outcomes GROUP BY outcome""",
     "table_store": _with(
         _ORDERS, _DATES,
         "\nkept AS (SELECT DISTINCT o.* FROM o JOIN dated USING (doc_id) WHERE year >= 2000)",

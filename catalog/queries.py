@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -188,6 +190,46 @@ def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def two_loaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs stored at the same time: of each kind of number, how many rows and different numbers, and the range."""
+    out = stage_path(spark, "tables")
+    rows = C.articles(spark, sf_dir)
+    half = F.regexp_extract("doc_id", r"(\d+)$", 1).cast("bigint") % 2
+
+    def run(part: int) -> None:
+        load.store(rows.where(half == part), out, f"run-{part}", gate="none")
+
+    with ThreadPoolExecutor(2) as loaders:
+        for _ in loaders.map(run, (0, 1)):
+            pass
+    kinds = {
+        "author": ("pub_author", "author_no"), "affiliation": ("pub_affiliation", "affiliation_no"),
+        "reference": ("pub_reference", "ref_no"), "keyword": ("pub_keyword_list", "keyword_index"),
+    }
+    counts = [
+        tables.read_table(spark, out, name).agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct(number).alias("numbers"),
+            F.min(number).alias("first"), F.max(number).alias("last"),
+        ).select(F.lit(kind).alias("kind"), "*")
+        for kind, (name, number) in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the articles and malformed records of one load, from its run record."""
+    out = stage_path(spark, "tables")
+    articles = C.articles(spark, sf_dir)
+    path = C.write_order_citations(spark, sf_dir, malformed=True)
+    _, bad = A.split_malformed(A.read_articles(spark, path, glob=TEXT_FILES))
+    enriched = enrich(
+        articles, organisation_index(C.organisations(spark, sf_dir)), country_index(C.countries(spark, sf_dir)),
+        "independent",
+    )
+    load.store(enriched, out, "run", "any", 1995, bad, articles.count())
+    return tables.load_totals(spark, out)
+
+
 # ----------------------------------------------------------------- vocabulary
 
 def mesh_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "keywords": _of_numbered(flatten.keyword_list),
     "batch_number": batch_number,
     "table_store": table_store,
+    "two_loaders": two_loaders,
+    "load_totals": load_totals,
     "mesh_terms": mesh_terms,
     "mesh_trees": mesh_trees,
     "xml_articles": xml_articles,

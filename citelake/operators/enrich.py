@@ -51,7 +51,7 @@ def _with_lookup(
     return rows.join(found, _IDS, how), lambda text: F.try_element_at(F.col(name), text)
 
 
-def _worked_out(rows: DataFrame, name: str, value: Column) -> DataFrame:
+def worked_out(rows: DataFrame, name: str, value: Column) -> DataFrame:
     """Add ``value`` as a column that is computed once per row.
 
     Later filters and lambdas would otherwise each take in the expression
@@ -99,7 +99,7 @@ def enrich(
     marks = F.transform(
         "authors", lambda a: F.transform(F.coalesce(a["affiliations"], F.array()), marks_of)
     )
-    rows = _worked_out(rows, "_marks", marks)
+    rows = worked_out(rows, "_marks", marks)
     if require_both:
         found = F.flatten("_marks")
         rows = rows.where(
@@ -134,4 +134,4 @@ def enrich(
             ),
         )
 
-    return _worked_out(rows, "authors", F.transform("authors", author)).select(*articles.columns)
+    return worked_out(rows, "authors", F.transform("authors", author)).select(*articles.columns)

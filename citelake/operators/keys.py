@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,7 +19,7 @@ def with_bases(
     df: DataFrame,
     sizes: Mapping[str, Column],
     keys: Sequence[str],
-    start: Mapping[str, int] | None = None,
+    start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
     digits: int = 3,
     staged: bool = False,
 ) -> DataFrame:
@@ -34,10 +34,14 @@ def with_bases(
     its broadcast and the running total over buckets. Use more digits for more
     than some 10^9 rows. ``df`` is evaluated twice; with ``staged`` once, being
     written in between, which also makes every later use of the result a scan.
+
+    ``start`` has the first number of each kind, or is told how many are needed
+    and then gives them (``staged`` only).
     """
     if not 1 <= digits <= 4:
         raise ValueError("digits must be between 1 and 4")
-    start = start or {}
+    if callable(start) and not staged:
+        raise ValueError("numbers can be asked for only once the rows are staged")
     sized = df.select(
         "*",
         bucket_of(keys, digits).alias("_bucket"),
@@ -60,6 +64,11 @@ def with_bases(
     totals = (placed if staged else sized).groupBy("_bucket").agg(
         *[F.sum(f"_size_{x}").alias(f"_total_{x}") for x in sizes]
     )
+    if callable(start):
+        totals = stage(totals, "totals")
+        needed = totals.agg(*[F.coalesce(F.sum(f"_total_{x}"), F.lit(0)).alias(x) for x in sizes]).first()
+        start = start(needed.asDict())
+    start = start or {}
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_bucket",
@@ -124,7 +133,7 @@ def _article_sizes() -> dict[str, Column]:
 
 def number_articles(
     articles: DataFrame,
-    start: Mapping[str, int] | None = None,
+    start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
     digits: int = 3,
     staged: bool = False,
 ) -> DataFrame:
@@ -136,14 +145,3 @@ def number_articles(
     return with_bases(
         articles, _article_sizes(), ["doc_id", "source_file"], start, digits, staged
     )
-
-
-def next_numbers(numbered: DataFrame, start: Mapping[str, int] | None = None) -> DataFrame:
-    """One row: the first free number of each kind after ``numbered``."""
-    start = start or {}
-    return numbered.agg(
-        *[
-            F.coalesce(F.max(F.col(f"{x}_base") + size), F.lit(start.get(x, 1))).alias(x)
-            for x, size in _article_sizes().items()
-        ]
-    )

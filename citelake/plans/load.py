@@ -4,23 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citelake import schemas
 from citelake.operators import flatten, gates, integrity, keys, vocabulary
 from citelake.operators.dictionary import country_dictionary, curate, organisation_dictionary
-from citelake.operators.enrich import country_index, enrich, organisation_index
+from citelake.operators.enrich import country_index, enrich, organisation_index, worked_out
 from citelake.operators.matching import NameIndex
 from citelake.session import spread, stage
-from citelake.sinks import documents, tables
+from citelake.sinks import documents, runlog, tables
 from citelake.sources import articles as source
 from citelake.sources import files, registry as registries, vocabulary as vocabulary_source
 
 GATES = {
-    "none": lambda articles: articles,
-    "any": gates.gate_any,
-    "with_affiliation": gates.gate_with_affiliation,
+    "none": lambda authors: F.lit(True),
+    "any": gates.has_recognised,
+    "with_affiliation": lambda authors: gates.has_recognised(authors, need_text=True),
 }
+STORED = "stored"
+
+
+def outcome(gate: str, min_year: int | None) -> Column:
+    """What becomes of an article: stored, or left out by the gate or the year."""
+    passed = GATES[gate](F.col("authors"))
+    recent = F.lit(True) if min_year is None else gates.has_year(F.col("pub_dates"), min_year)
+    return F.when(~passed, "gate").when(~recent, "year").otherwise(STORED)
 
 
 def ingest_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,26 +98,42 @@ def store(
     gate: str = "any",
     min_year: int | None = None,
     quarantine: DataFrame | None = None,
+    received: int | None = None,
 ) -> bool:
     """Gate, number and unfold enriched articles into tables below ``out``.
 
     All tables of a run become visible together. A run already published is
-    left alone (False), so a repeated batch adds nothing.
+    left alone (False), so a repeated batch adds nothing. Any number of loaders
+    may store at a time: each reserves its numbers once it knows how many.
+
+    The run's record tells what became of its inputs: ``stored``, ``gate``,
+    ``year``, with ``received`` (articles before enrichment) also ``unmatched``,
+    and the quarantine rows by stage. They are counted in what was written, so
+    tasks that ran twice count once.
     """
     spark = articles.sparkSession
     if tables.is_finished(spark, out, run_id):
         return False
-    kept = GATES[gate](articles)
-    if min_year is not None:
-        kept = gates.gate_year(kept, min_year)
-    start = tables.start_numbers(spark, out)
-    numbered = keys.number_articles(kept, start, staged=True)
-    result = flatten.flatten_articles(numbered, min_year)
+    first = ["doc_id", "source_file"]
+    judged = worked_out(articles, "_outcome", outcome(gate, min_year))
+    # An article left out goes on as its name and outcome only.
+    kept = F.col("_outcome") == STORED
+    slim = judged.select(
+        *first, "_outcome", *[F.when(kept, F.col(c)).alias(c) for c in articles.columns if c not in first]
+    )
+    log = runlog.RunLog(spark, out)
+    placed = keys.number_articles(slim, lambda sizes: log.reserve(run_id, sizes), staged=True)
+    result = flatten.flatten_articles(placed.where(kept).drop("_outcome"), min_year)
     if quarantine is not None:
         result["quarantine"] = quarantine
-    tables.write_tables(result, out, run_id)
-    tables.publish(spark, out, run_id, keys.next_numbers(numbered, start))
-    return True
+    attempt = tables.write_tables(result, out, run_id)
+    totals = {r[0]: r[1] for r in placed.groupBy("_outcome").count().collect()}
+    if received is not None:
+        totals["unmatched"] = received - sum(totals.values())
+    if quarantine is not None:
+        written = spark.read.schema(schemas.QUARANTINE).parquet(tables.attempt_path(out, "quarantine", run_id, attempt))
+        totals |= {r[0]: r[1] for r in written.groupBy("stage").count().collect()}
+    return tables.publish(spark, out, run_id, attempt, totals)
 
 
 def arrivals_handler(
@@ -125,7 +150,9 @@ def arrivals_handler(
     indexes = registry_indexes(registry)
 
     def handle(articles: DataFrame, quarantine: DataFrame, run_id: str) -> bool:
-        return store(enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine)
+        return store(
+            enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine, articles.count()
+        )
 
     return handle
 
@@ -196,7 +223,9 @@ def load_xml(
     articles, quarantine = ingest_xml(spark, path)
     entries = registries.read_registry(spark, registry_path, layout=registry_layout)
     indexes = registry_indexes(entries)
-    return store(enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine)
+    return store(
+        enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine, articles.count()
+    )
 
 
 def load_vocabulary(spark: SparkSession, path: str, out: str, run_id: str) -> bool:
@@ -210,9 +239,7 @@ def load_vocabulary(spark: SparkSession, path: str, out: str, run_id: str) -> bo
     good, bad = source.split_malformed(parsed)
     result = vocabulary.flatten_descriptors(good)
     result["quarantine"] = bad.unionByName(damaged)
-    tables.write_tables(result, out, run_id)
-    tables.publish(spark, out, run_id)
-    return True
+    return tables.publish(spark, out, run_id, tables.write_tables(result, out, run_id))
 
 
 def curate_registry(spark: SparkSession, registry_path: str, sheet_path: str, out: str) -> None:

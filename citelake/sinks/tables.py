@@ -1,26 +1,23 @@
 """Write the tables of one run so that they appear together or not at all.
 
-Layout below the output folder: ``<table>/run_id=<id>/*.parquet`` and one
-record per finished run in ``_runs``. Readers see only runs that have a record,
-so a run that dies half-way leaves nothing behind for them.
+Layout below the output folder: ``<table>/run_id=<id>/attempt=<id>/*.parquet`` and the log of ``sinks.runlog``. Readers
+see only attempts that the log names, so a run that dies half-way, or is loaded twice at a time, leaves nothing behind.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citelake import schemas
-from citelake.operators.keys import ARTICLE_KEYS
+from citelake.sinks.runlog import RunLog
 
-RUNS = "_runs"
 WRITERS = 4
 _RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
-_RUN_SCHEMA = "run_id string, " + ", ".join(f"next_{k} bigint" for k in ARTICLE_KEYS)
 
 
 def checked_run_id(run_id: str) -> str:
@@ -30,72 +27,55 @@ def checked_run_id(run_id: str) -> str:
     return run_id
 
 
-def write_tables(tables: Mapping[str, DataFrame], out: str, run_id: str) -> None:
-    """Write every table of the run; repeating an unfinished run replaces its files.
+def attempt_path(out: str, name: str, run_id: str, attempt: str) -> str:
+    return f"{out}/{name}/run_id={run_id}/attempt={attempt}"
+
+
+def write_tables(tables: Mapping[str, DataFrame], out: str, run_id: str) -> str:
+    """Write every table of the run; returns the attempt, to be published.
 
     A few tables at a time, so that the last tasks of one leave no cores idle.
     """
-
     checked_run_id(run_id)
+    attempt = uuid.uuid4().hex
 
     def write(table: tuple[str, DataFrame]) -> None:
         name, df = table
-        df.write.mode("overwrite").parquet(f"{out}/{name}/run_id={run_id}")
+        df.write.parquet(attempt_path(out, name, run_id, attempt))
 
     with ThreadPoolExecutor(WRITERS) as writers:
         for _ in writers.map(write, tables.items()):
             pass
+    return attempt
 
 
 def publish(
-    spark: SparkSession, out: str, run_id: str, next_numbers: DataFrame | None = None
-) -> None:
-    """Record the run as finished. Written last, as one file."""
-    checked_run_id(run_id)
-    numbers = next_numbers if next_numbers is not None else spark.range(1).select()
-    present = set(numbers.columns)
-    columns = [
-        (F.col(k) if k in present else F.lit(None)).cast("bigint").alias(f"next_{k}")
-        for k in ARTICLE_KEYS
-    ]
-    record = numbers.select(F.lit(run_id).alias("run_id"), *columns)
-    record.coalesce(1).write.mode("overwrite").json(f"{out}/{RUNS}/run={run_id}")
-
-
-def finished_runs(spark: SparkSession, out: str) -> DataFrame:
-    """One row per finished run, with the first free numbers after it."""
-    try:
-        return spark.read.schema(_RUN_SCHEMA).option("recursiveFileLookup", "true").json(
-            f"{out}/{RUNS}"
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _RUN_SCHEMA)
+    spark: SparkSession, out: str, run_id: str, attempt: str, totals: Mapping[str, int] | None = None
+) -> bool:
+    """Make the attempt visible, with what became of its inputs; False if another attempt of the run came first."""
+    return RunLog(spark, out).finish(checked_run_id(run_id), attempt, totals)
 
 
 def is_finished(spark: SparkSession, out: str, run_id: str) -> bool:
-    return not finished_runs(spark, out).where(F.col("run_id") == checked_run_id(run_id)).isEmpty()
-
-
-def start_numbers(spark: SparkSession, out: str) -> dict[str, int]:
-    """The first free number of each kind: one row, whatever the number of runs."""
-    row = finished_runs(spark, out).agg(
-        *[F.coalesce(F.max(f"next_{k}"), F.lit(1)).alias(k) for k in ARTICLE_KEYS]
-    ).first()
-    return row.asDict()
+    return RunLog(spark, out).is_finished(checked_run_id(run_id))
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
     """Rows of the finished runs."""
     schema = schemas.QUARANTINE if name == "quarantine" else schemas.TABLE_COLUMNS[name]
     rows = (
-        spark.read.schema(f"{schema}, run_id string")
+        spark.read.schema(f"{schema}, run_id string, attempt string")
         .option("basePath", f"{out}/{name}")
         .parquet(f"{out}/{name}")
     )
-    runs = finished_runs(spark, out).select("run_id").distinct()
-    return rows.join(runs, "run_id", "left_semi").drop("run_id")
+    runs = RunLog(spark, out).finished_runs().select("run_id", "attempt")
+    return rows.join(runs, ["run_id", "attempt"], "left_semi").drop("run_id", "attempt")
+
+
+def load_totals(spark: SparkSession, out: str) -> DataFrame:
+    """``run_id, outcome, n``: how many inputs of every finished run were stored, left out or set aside, and why."""
+    runs = RunLog(spark, out).finished_runs()
+    return runs.select("run_id", F.explode("totals").alias("outcome", "n"))
 
 
 def write_jdbc(

@@ -202,13 +202,6 @@ def test_tables(spark, stored):
         (101, "alpha", "N"), (101, "beta", "Y"), (102, "gamma", "N")}
 
 
-def test_next_numbers(spark, stored):
-    row = keys.next_numbers(stored, {"author": 100}).first().asDict()
-    assert row == {"author": 103, "affiliation": 4, "reference": 4, "heading": 4, "keyword": 4}
-    empty = keys.next_numbers(stored.limit(0), {"author": 5}).first().asDict()
-    assert empty["author"] == 5 and empty["keyword"] == 1
-
-
 def test_staged_numbers_are_the_same_and_flatteners_do_not_shuffle(spark, stored):
     articles = stored.drop(*[f"{k}_base" for k in keys.ARTICLE_KEYS])
     staged = keys.number_articles(articles, {"author": 100}, staged=True)

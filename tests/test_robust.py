@@ -46,7 +46,7 @@ def test_run_ids_are_plain(spark, tmp_path):
         with pytest.raises(ValueError):
             tables.is_finished(spark, str(tmp_path), bad)
         with pytest.raises(ValueError):
-            tables.publish(spark, str(tmp_path), bad)
+            tables.publish(spark, str(tmp_path), bad, "a")
     assert not os.listdir(tmp_path)
 
 
@@ -57,7 +57,7 @@ def test_a_broken_registry_stops_the_load(spark, put, tmp_path):
         out = str(tmp_path / f"out{n}")
         with pytest.raises(Exception):
             load.load_xml(spark, str(tmp_path / "xml"), str(tmp_path / f"reg{n}"), out, "r")
-        assert not os.path.exists(f"{out}/_runs")
+        assert not os.path.exists(f"{out}/_log")
 
 
 def test_a_lost_end_tag_costs_one_article(spark, put, tmp_path):

@@ -1,0 +1,170 @@
+import json
+import os
+import threading
+
+import pytest
+
+from citelake.operators import keys
+from citelake.plans import load
+from citelake.sinks import runlog, tables
+from citelake.sources import articles as A
+from tests import samples as S
+
+
+def log_of(spark, tmp_path):
+    return runlog.RunLog(spark, str(tmp_path / "out"))
+
+
+def test_ranges_never_overlap(spark, tmp_path):
+    """Many loaders reserve at once; every conflict ends in another entry."""
+    taken, lock = [], threading.Lock()
+
+    def loader(n):
+        log = log_of(spark, tmp_path)
+        for i in range(6):
+            start = log.reserve(f"r{n}", {"author": n + 1, "keyword": 2})
+            with lock:
+                taken.append((start["author"], n + 1, start["keyword"]))
+
+    threads = [threading.Thread(target=loader, args=(n,)) for n in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    numbers = [i for start, size, _ in taken for i in range(start, start + size)]
+    assert sorted(numbers) == list(range(1, 6 * sum(range(1, 9)) + 1))
+    assert sorted(k for *_, k in taken) == list(range(1, 2 * 48, 2))
+    names = os.listdir(tmp_path / "out" / "_log")
+    assert sum(n.endswith(".json") and n[0] == "0" for n in names) == 48
+
+
+def test_create_happens_once(spark, tmp_path):
+    folder = runlog.Folder(spark, str(tmp_path / "x"))
+    assert folder.read("a.json") is None and folder.last(lambda n: f"{n}.json") == 0
+    made = []
+    threads = [threading.Thread(target=lambda n=n: made.append(folder.create("a.json", {"n": n}))) for n in range(12)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert made.count(True) == 1 and folder.read("a.json")["n"] in range(12)
+    assert [n for n in os.listdir(tmp_path / "x") if not n.endswith(".crc")] == ["a.json"]
+    for n in range(1, 40):
+        assert folder.create(f"{n}.json", {}) and folder.last(lambda n: f"{n}.json") == n
+
+
+def test_rename_does_not_replace(spark, tmp_path):
+    """The way for file systems that are not local, on the local one."""
+    folder = runlog.Folder(spark, str(tmp_path / "x"))
+    folder._local = False
+    assert folder.create("a.json", {"n": 1}) and not folder.create("a.json", {"n": 2})
+    assert folder.read("a.json") == {"n": 1} and "a.json" in os.listdir(tmp_path / "x")
+
+
+def test_first_attempt_counts(spark, tmp_path):
+    log = log_of(spark, tmp_path)
+    assert not log.is_finished("r")
+    assert log.finish("r", "one", {"stored": 3}) and not log.finish("r", "two", {"stored": 4})
+    assert [tuple(r) for r in log.finished_runs().collect()] == [("r", "one", {"stored": 3})]
+
+
+def test_a_run_that_lost_its_entry_is_announced(spark, tmp_path):
+    """The loader died after the record and before the entry."""
+    log = log_of(spark, tmp_path)
+    assert log.folder.create("run=r.json", {"run_id": "r", "attempt": "one", "totals": {}})
+    assert log.finished_runs().count() == 0
+    assert log.is_finished("r") and log.is_finished("r")
+    assert [r.run_id for r in log.finished_runs().collect()] == ["r"]
+
+
+def test_ten_thousand_runs_open_few_files(spark, tmp_path, monkeypatch):
+    log = log_of(spark, tmp_path)
+    log.reserve("r", {"author": 9})
+    first = {k: 1 for k in keys.ARTICLE_KEYS} | {"author": 10}
+    for n in range(2, 10_001):  # as 9,999 loaders would have left them
+        entry = {"kind": "finish", "run_id": f"r{n}", "attempt": "a", "totals": {}, "next": first}
+        (tmp_path / "out" / "_log" / f"{n:012d}.json").write_text(json.dumps(entry))
+    runs = spark.range(2, 10_001).selectExpr("concat('r', id) run_id", "'a' attempt", "cast(map() as map<string,bigint>) totals")
+    runs.write.parquet(f"{log.path}/folded/x")
+    for n in range(1, 10_000 // runlog.FOLD + 1):
+        (tmp_path / "out" / "_log" / runlog.folded_name(n)).write_text(json.dumps({"path": "folded/x"}))
+    opened, read = [], runlog.Folder.read
+    monkeypatch.setattr(runlog.Folder, "read", lambda self, name: opened.append(name) or read(self, name))
+    for n in range(runlog.FOLD + 5):
+        assert log.finish(f"more{n}", "a")
+    assert log.finished_runs().count() == 9_999 + runlog.FOLD + 5
+    opened.clear()
+    assert log.finished_runs().where("run_id = 'r77'").count() == 1
+    assert len(opened) <= runlog.FOLD + 1 and log.folder.last(runlog.folded_name) == 10_000 // runlog.FOLD + 1
+    opened.clear()
+    assert log.reserve("x", {"author": 1})["author"] == 10 and len(opened) <= 2
+
+
+def articles(spark, put, name, n):
+    body = [S.FULL.replace(">101<", f">{i}<") for i in range(n)]
+    path = put(f"{name}/a.xml", S.article_set(*body))
+    return A.split_malformed(A.read_articles(spark, path))[0]
+
+
+def test_two_loaders_at_once(spark, put, tmp_path):
+    """Both know their sizes before either has its numbers."""
+    out, together = str(tmp_path / "out"), threading.Barrier(2)
+    reserve = runlog.RunLog.reserve
+
+    def wait(self, run_id, sizes):
+        together.wait(60)
+        return reserve(self, run_id, sizes)
+
+    rows = [articles(spark, put, f"in{n}", 20 + n) for n in range(2)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(runlog.RunLog, "reserve", wait)
+        done = []
+        threads = [
+            threading.Thread(target=lambda n=n: done.append(load.store(rows[n], out, f"r{n}", gate="none"))) for n in range(2)
+        ]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    assert done == [True, True]
+    authors = [r.author_no for r in tables.read_table(spark, out, "pub_author").collect()]
+    assert len(authors) == len(set(authors)) and sorted(authors) == list(range(1, len(authors) + 1))
+    links = tables.read_table(spark, out, "pub_author_affiliation").select("author_no").distinct().count()
+    assert links <= len(authors)
+
+
+def test_one_run_loaded_twice_at_once(spark, put, tmp_path):
+    """Only what one of them wrote is seen."""
+    out, together = str(tmp_path / "out"), threading.Barrier(2)
+    publish = tables.publish
+
+    def wait(*args):
+        together.wait(60)
+        return publish(*args)
+
+    rows = articles(spark, put, "in", 5)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(load.tables, "publish", wait)
+        done = []
+        threads = [threading.Thread(target=lambda: done.append(load.store(rows, out, "r", gate="none"))) for _ in range(2)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    assert sorted(done) == [False, True]
+    assert tables.read_table(spark, out, "pub_pmid_list").count() == 5
+
+
+def test_totals_tell_every_input(spark, put, tmp_path):
+    put("xml/a.xml", S.article_set(S.FULL, S.BROKEN, S.BARE, S.SINGLE))
+    put("reg/orgs.json", S.REGISTRY)
+    out = str(tmp_path / "out")
+    for mode, run in (("fallback", "f"), ("independent", "i")):
+        assert load.load_xml(spark, str(tmp_path / "xml"), str(tmp_path / "reg"), out, run, mode, min_year=2014)
+    totals = {}
+    for r in tables.load_totals(spark, out).collect():
+        totals.setdefault(r.run_id, {})[r.outcome] = r.n
+    for run in "fi":
+        assert sum(totals[run].values()) == 4 and totals[run]["parse"] == 1
+    stored = tables.read_table(spark, out, "pub_pmid_list").count()
+    assert stored == sum(t.get("stored", 0) for t in totals.values())
