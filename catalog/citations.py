@@ -248,6 +248,22 @@ def write_order_citations(spark: SparkSession, sf_dir: str, malformed: bool = Fa
     return path
 
 
+def write_order_files(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as gzip files; every tenth record is not well-formed, and every fourth order is in one of three files that are no gzip."""
+    path = stage_path(spark, "orders-gz")
+    rows = spark.read.text(write_order_citations(spark, sf_dir, malformed=True))
+    key = F.regexp_extract("value", r"<PMID>(\d+)<", 1).cast("bigint")
+    rows.where(key % 4 != 3).write.option("compression", "gzip").text(f"{path}/good")
+    rows.where(key % 4 == 3).repartition(3, "value").write.text(f"{path}/bad")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path}/bad")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().endswith(".txt"):
+            fs.rename(status.getPath(), status.getPath().suffix(".gz"))
+    return path
+
+
 def write_descriptors(spark: SparkSession, sf_dir: str) -> str:
     """Every part as a vocabulary record with two tree numbers, or none."""
     path = stage_path(spark, "parts-xml")

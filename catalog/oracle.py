@@ -142,6 +142,12 @@ bank AS (
 accession AS (
   SELECT bank.*, n FROM bank, unnest(range(0, (o_orderkey + b) % 3)) AS u(n))"""
 
+# Three files are no gzip; their orders reach nothing.
+_DAMAGED = """
+SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'parse' ELSE 'stored' END AS outcome, count(*) AS n
+FROM orders WHERE o_orderkey % 4 <> 3 GROUP BY ALL
+UNION ALL SELECT 'gunzip', 3"""
+
 ORACLE: dict[str, str] = {
     "org_match": """
 SELECT c_custkey, name FROM (
@@ -256,6 +262,8 @@ outcomes AS (
   FROM o LEFT JOIN matched m USING (doc_id) LEFT JOIN recent r USING (doc_id)
   UNION ALL SELECT 'parse' FROM orders WHERE o_orderkey % 10 = 0)""") + """
 SELECT 'run' AS run_id, outcome, count(*) AS n FROM outcomes GROUP BY outcome""",
+    "damaged_inputs": _DAMAGED,
+    "stream_damaged": _DAMAGED,
     "table_store": _with(
         _ORDERS, _DATES,
         "\nkept AS (SELECT DISTINCT o.* FROM o JOIN dated USING (doc_id) WHERE year >= 2000)",

@@ -331,6 +331,26 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, out, "pub_keyword_list").select("pmid", "keyword")
 
 
+def damaged_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real gzip files, three of them damaged, in one load: what became of the records and files."""
+    out = stage_path(spark, "tables")
+    articles, bad = load.ingest_xml(spark, C.write_order_files(spark, sf_dir), extension="txt")
+    load.store(articles, out, "run", gate="none", quarantine=bad)
+    return tables.load_totals(spark, out).select("outcome", "n")
+
+
+def stream_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files taken in by a stream, a few at a time."""
+    path = C.write_order_files(spark, sf_dir)
+    out, checkpoint = stage_path(spark, "arrivals"), stage_path(spark, "offsets")
+
+    def handle(articles: DataFrame, bad: DataFrame, run_id: str) -> None:
+        load.store(articles, out, run_id, gate="none", quarantine=bad)
+
+    start_arrivals(spark, path, checkpoint, handle, max_files=4, glob="*.txt.gz").awaitTermination()
+    return tables.load_totals(spark, out).groupBy("outcome").agg(F.sum("n").alias("n"))
+
+
 # ------------------------------------------------------------------ integrity
 
 def _md5_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,6 +448,8 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "quarantine": quarantine,
     "stream_ingest": stream_ingest,
+    "damaged_inputs": damaged_inputs,
+    "stream_damaged": stream_damaged,
     "md5_verify": md5_verify,
     "run_totals": run_totals,
     "gzip_verify": gzip_verify,

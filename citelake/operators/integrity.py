@@ -59,9 +59,11 @@ def failed_files(statuses: DataFrame) -> DataFrame:
     )
 
 
-def _gzip_fault(data: bytes) -> str | None:
-    """None when the bytes are a whole gzip file. Members may follow each other;
-    bytes after the last one that start no new member are ignored.
+def inflated(data: bytes) -> Iterator[bytes | str]:
+    """The content of a gzip file in pieces of up to 1 MiB; a text at the end says what is wrong with the file.
+
+    Members may follow each other; bytes after the last one that start no new
+    member are ignored.
     """
     step = 1 << 20
     first = True
@@ -70,18 +72,26 @@ def _gzip_fault(data: bytes) -> str | None:
         rest = memoryview(data)
         try:
             while rest and not member.eof:
-                # Bounded output: only the verdict is wanted, not the text.
-                member.decompress(bytes(rest[:step]), step)
+                yield member.decompress(bytes(rest[:step]), step)
                 rest = rest[step:]
                 # What follows an ended member stays in the tail as well.
                 while member.unconsumed_tail and not member.eof:
-                    member.decompress(member.unconsumed_tail, step)
+                    yield member.decompress(member.unconsumed_tail, step)
         except zlib.error as error:
-            return str(error)
+            yield str(error)
+            return
         if not member.eof:
-            return "unexpected end of file"
+            yield "unexpected end of file"
+            return
         data = member.unused_data + bytes(rest)
         first = False
+
+
+def _gzip_fault(data: bytes) -> str | None:
+    """None when the bytes are a whole gzip file."""
+    for piece in inflated(data):
+        if isinstance(piece, str):
+            return piece
     return None
 
 

@@ -39,32 +39,35 @@ def ingest_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def sound_records(
-    spark: SparkSession, path: str, tag: str = source.RECORD_TAG
+    spark: SparkSession, path: str, tag: str = source.RECORD_TAG, extension: str = "xml"
 ) -> tuple[DataFrame, DataFrame]:
     """Records of the files below ``path`` that are not damaged, and quarantine rows of those that are.
 
-    Every gzip file is read through first. If all are whole, the folder is read
-    as it is; else only the plain files and the whole gzip files, by name (the
-    driver lists the names of a folder in any case).
+    Plain files are read in splits; every gzip file is inflated once, by one
+    task. Files of other names that end with ``.gz`` are only checked.
     """
-    checked = stage(integrity.check_gzip(files.read_binary(spark, path)), "gzip")
-    bad = integrity.corrupt_files(checked)
-    if bad.isEmpty():
-        return source.read_records(spark, path, tag), bad
-    records = source.read_records(spark, path, tag, glob="*.xml")
-    whole = [r.path for r in checked.where("ok AND endswith(name, '.xml.gz')").select("path").collect()]
-    if whole:
-        records = records.unionByName(source.read_records(spark, whole, tag))
-    return records, bad
+    plain = source.read_records(spark, path, tag, glob=f"*.{extension}")
+    zipped, bad = source.gzip_records(files.read_binary(spark, path), tag)
+    wanted = zipped.where(F.col("file_name").endswith(f".{extension}.gz"))
+    return plain.unionByName(wanted), bad
 
 
-def ingest_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Articles of all XML files below ``path``, and quarantine rows.
-
-    Damaged gzip files are found first and never read for records.
-    """
-    records, damaged = sound_records(spark, path)
-    # A gzip file is read by one task; parsing need not wait for it.
+def named_records(
+    spark: SparkSession, plain: list[str], zipped: list[str], tag: str = source.RECORD_TAG
+) -> tuple[DataFrame, DataFrame]:
+    """As ``sound_records`` for these files, whatever their names hold."""
+    records, bad = source.gzip_records(files.read_binary(spark, [files.literal(p) for p in zipped], "*"), tag) if zipped else (None, None)
+    if not plain:
+        return records, bad
+    read = source.read_records(spark, [files.literal(p) for p in plain], tag, glob="*")
+    if not zipped:
+        return read, spark.createDataFrame([], schemas.QUARANTINE)
+    return read.unionByName(records), bad
+
+
+def ingest_xml(spark: SparkSession, path: str, extension: str = "xml") -> tuple[DataFrame, DataFrame]:
+    """Articles of all XML files below ``path``, and quarantine rows. A damaged gzip file gives no article."""
+    records, damaged = sound_records(spark, path, extension=extension)
     articles, malformed = ingest_records(spread(records))
     return articles, malformed.unionByName(damaged)
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import codecs
+import itertools
 import json
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from citelake import schemas
 from citelake.functions.text import INLINE_TAGS, strip_tags
 from citelake.functions.trees import leaf, node, one_or_many, shape, shaped_members
+from citelake.operators import integrity
+from citelake.session import stage
 
 RECORD_TAG = "PubmedArticle"
 
@@ -23,8 +29,6 @@ def read_records(
     path: str | list[str],
     tag: str = RECORD_TAG,
     glob: str = "*.{xml,xml.gz}",
-    streaming: bool = False,
-    max_files: int = 1000,
 ) -> DataFrame:
     """One row per ``tag`` element below ``path``: its XML text and where it stood.
 
@@ -32,12 +36,10 @@ def read_records(
     is read by many tasks; gzip files are opened directly. Other elements of
     the file are ignored. What lies between two closing tags is cut again at
     every opening one, so a lost closing tag costs its own record only: that comes without
-    the tag and is malformed. A damaged gzip ends the job (see
-    ``plans.load.sound_records``). A stream takes up to ``max_files`` files at a time.
+    the tag and is malformed. A damaged gzip ends the job (see ``gzip_records``).
     """
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if streaming else spark.read
     lines = (
-        reader.option("lineSep", f"</{tag}>")
+        spark.read.option("lineSep", f"</{tag}>")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .format("text")
@@ -61,11 +63,81 @@ def read_records(
             "block",
         )
     )
-    # The row number inside a scan task; a stream adds it per micro-batch.
-    return lines if streaming else with_sequence(lines)
+    return with_sequence(lines)
+
+
+def _cut(texts: Iterator[str], tag: str) -> Iterator[str]:
+    """Records of a file that comes in pieces, cut as ``read_records`` cuts them. Holds one record and one piece."""
+    closing, opening = f"</{tag}>", re.compile(rf"(?=<{tag}[\s>])")
+    rest = ""
+
+    def records(between: str) -> Iterator[str]:
+        starts = [m.start() for m in opening.finditer(between)]
+        for start, end in zip(starts, [*starts[1:], None]):
+            yield between[start:end] + (closing if end is None else "")
+
+    for text in texts:
+        *whole, rest = (rest + text).split(closing)
+        for between in whole:
+            yield from records(between)
+    yield from records(rest)
+
+
+def gzip_records(files: DataFrame, tag: str = RECORD_TAG) -> tuple[DataFrame, DataFrame]:
+    """(records as from ``read_records``, quarantine rows) of gzip files given as ``name, path, content``.
+
+    Every file is inflated once, in pieces. Whether it is whole is known at its
+    end only: the records are staged, those of damaged files left out.
+    """
+    schema = "source_file string, file_name string, block bigint, seq bigint, record string, fault string"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, path, content in zip(*batch.columns):
+                yield from _file_records(name.as_py(), path.as_py(), content.as_py() or b"", tag)
+
+    found = stage(files.select("name", "path", "content").mapInArrow(read, schema), "inflated")
+    damaged = found.where("fault IS NOT NULL")
+    records = found.where("record IS NOT NULL").drop("fault")
+    if damaged.isEmpty():
+        return records, integrity.corrupt_files(damaged.select(F.lit(None).cast("string").alias("path"), F.lit(True).alias("ok"), F.col("fault").alias("reason")))
+    names = damaged.select(F.col("source_file").alias("path"), F.lit(False).alias("ok"), F.col("fault").alias("reason"))
+    return records.join(damaged.select("source_file"), "source_file", "left_anti"), integrity.corrupt_files(names)
+
+
+def _file_records(name: str, path: str, content: bytes, tag: str) -> Iterator[pa.RecordBatch]:
+    fault: list[str] = []
+
+    def texts() -> Iterator[str]:
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        for piece in integrity.inflated(content):
+            if isinstance(piece, str):
+                fault.append(piece)
+                return
+            yield decoder.decode(piece)
+        yield decoder.decode(b"", final=True)
+
+    seq = 0
+    for held in itertools.batched(_cut(texts(), tag), 256):
+        yield _record_rows(name, path, range(seq, seq + len(held)), held, [None] * len(held))
+        seq += len(held)
+    if fault:
+        yield _record_rows(name, path, [seq], [None], fault)
+
+
+def _record_rows(name: str, path: str, seq, records, faults) -> pa.RecordBatch:
+    n = len(records)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()), pa.array([0] * n, pa.int64()),
+            pa.array(list(seq), pa.int64()), pa.array(list(records), pa.string()), pa.array(list(faults), pa.string()),
+        ],
+        names=["source_file", "file_name", "block", "seq", "record", "fault"],
+    )
 
 
 def with_sequence(records: DataFrame) -> DataFrame:
+    """Add the row number inside a scan task."""
     return records.withColumn("seq", F.monotonically_increasing_id())
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_binary(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
+def literal(path: str) -> str:
+    """A path to read as it is, though it holds signs of a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def read_binary(spark: SparkSession, path: str | list[str], glob: str = "*.gz") -> DataFrame:
     """``name, path, length, content`` of every file below ``path``.
 
     Spark's file sources pass over files of no bytes, and a file may have 2 GB.
