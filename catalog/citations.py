@@ -264,6 +264,42 @@ def write_order_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_order_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as JSON documents in the shapes that occur: none, one or several authors, each with no, one or several
+    affiliations; and fields that no article row has.
+    """
+    path = stage_path(spark, "orders-json")
+
+    def one_or_list(values: Column) -> Column:
+        many = F.to_variant_object(values)
+        return F.when(F.size(values) > 1, many).when(F.size(values) == 1, F.to_variant_object(F.get(values, 0)))
+
+    def author(a: Column) -> Column:
+        infos = F.transform(
+            a["affiliations"],
+            lambda f, j: F.struct(
+                F.struct(F.coalesce(f["affiliation"], F.lit("")).alias("value")).alias("Affiliation"),
+                F.concat(F.lit("note "), _text(j)).alias("Note"),
+            ),
+        )
+        return F.struct(
+            F.struct(a["last_name"].alias("value")).alias("LastName"),
+            F.array(a["initials"], F.lit(None).cast("string")).alias("Marks"),
+            F.parse_json(F.coalesce(F.to_json(one_or_list(infos)), F.lit("null"))).alias("AffiliationInfo"),
+        )
+
+    authors = F.transform("authors", lambda a: F.to_json(author(a)))
+    # A group that is missing has no key at all.
+    texts = F.transform(authors, lambda t: F.replace(t, F.lit(',"AffiliationInfo":null'), F.lit("")))
+    group = F.when(F.size(texts) > 1, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).otherwise(F.get(texts, 0))
+    body = F.concat(
+        F.lit('{"MedlineCitation":{"PMID":{"value":"'), "pmid", F.lit('"},"Extra":{"of":'), "pmid", F.lit(',"more":[true,{}]},"Article":{'),
+        F.coalesce(F.concat(F.lit('"AuthorList":{"CompleteYN":"Y","Author":'), group, F.lit("}")), F.lit("")), F.lit("}}}"),
+    )
+    articles(spark, sf_dir).select("doc_id", F.parse_json(body).alias("article")).write.option("compression", "gzip").json(path)
+    return path
+
+
 def write_descriptors(spark: SparkSession, sf_dir: str) -> str:
     """Every part as a vocabulary record with two tree numbers, or none."""
     path = stage_path(spark, "parts-xml")

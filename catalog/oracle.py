@@ -262,6 +262,20 @@ outcomes AS (
   FROM o LEFT JOIN matched m USING (doc_id) LEFT JOIN recent r USING (doc_id)
   UNION ALL SELECT 'parse' FROM orders WHERE o_orderkey % 10 = 0)""") + """
 SELECT 'run' AS run_id, outcome, count(*) AS n FROM outcomes GROUP BY outcome""",
+    "enrich_documents": _with(*_BASE, _ORGANISATIONS.replace(
+        "SELECT n_name AS name, 'C' || n_nationkey AS country_code FROM nation",
+        "SELECT DISTINCT country_name AS name, country_code FROM plain"), _MATCHES) + """
+SELECT a.doc_id, '{"more":[true,{}],"of":' || a.pmid || '}' AS extra, a.i AS author_pos,
+       '["' || a.o_orderstatus || '",null]' AS marks,
+       CASE (a.o_custkey + a.i) % 3 WHEN 1 THEN 'one' WHEN 2 THEN 'list'
+            ELSE CASE WHEN a.o_orderkey % 5 > 1 THEN 'empty' ELSE 'none' END END AS shape,
+       CASE WHEN f.j IS NOT NULL THEN f.j WHEN a.o_orderkey % 5 > 1 THEN 0 END AS pos,
+       CASE WHEN f.j IS NOT NULL THEN coalesce(f.affiliation, '') END AS affiliation, 'note ' || f.j AS note,
+       g.name AS institution_name,
+       CASE WHEN g.name IS NOT NULL THEN g.country_code ELSE p.country_code END AS country_code,
+       CASE WHEN g.name IS NOT NULL THEN g.country_name ELSE p.name END AS country_name
+FROM author a LEFT JOIN affiliation f ON f.doc_id = a.doc_id AND f.i = a.i
+LEFT JOIN best_org g ON f.affiliation = g.affiliation LEFT JOIN best_place p ON f.affiliation = p.affiliation""",
     "damaged_inputs": _DAMAGED,
     "stream_damaged": _DAMAGED,
     "table_store": _with(

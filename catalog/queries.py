@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from catalog import citations as C
 from citelake import schemas
 from citelake.functions.text import to_int
-from citelake.functions.trees import leaf, members
+from citelake.functions.trees import leaf, members, node
 from citelake.operators import dictionary, flatten, gates, integrity, keys, matching, vocabulary
 from citelake.operators.enrich import country_index, enrich, organisation_index
 from citelake.plans import load
@@ -309,6 +309,32 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.affiliation_rows(A.articles_from_trees(trees))
 
 
+def enrich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents enriched as documents: what was found, the shape of each author's group, and the fields no row has."""
+    names, out = stage_path(spark, "registry"), stage_path(spark, "enriched")
+    country = F.struct("country_code", "country_name").alias("country")
+    entries = C.organisations(spark, sf_dir).select("name", country, F.monotonically_increasing_id().alias("pos"))
+    documents.write_registry(entries, names)
+    load.enrich_json(spark, C.write_order_documents(spark, sf_dir), names, out, registry_layout="lines")
+    lines = spark.read.text(out).select(F.parse_json("value").alias("line"))
+    trees = lines.select(leaf(F.col("line"), "doc_id").alias("doc_id"), node(F.col("line"), "article.MedlineCitation").alias("m"))
+    people = trees.select(
+        "doc_id", F.to_json(node(F.col("m"), "Extra")).alias("extra"),
+        F.posexplode(members(F.col("m"), "Article.AuthorList.Author")).alias("author_pos", "a"),
+    )
+    group = node(F.col("a"), "AffiliationInfo")
+    return people.select(
+        "doc_id", "extra", "author_pos", F.to_json(node(F.col("a"), "Marks")).alias("marks"),
+        F.when(group.isNull(), "none").when(F.to_json(group) == "{}", "empty")
+        .when(F.schema_of_variant(group).startswith("ARRAY"), "list").otherwise("one").alias("shape"),
+        F.posexplode_outer(members(F.col("a"), "AffiliationInfo")).alias("pos", "f"),
+    ).select(
+        "doc_id", "extra", "author_pos", "marks", "shape", "pos", leaf(F.col("f"), "Affiliation.value").alias("affiliation"),
+        leaf(F.col("f"), "Note").alias("note"), leaf(F.col("f"), "institution_name").alias("institution_name"),
+        leaf(F.col("f"), "country_code").alias("country_code"), leaf(F.col("f"), "country_name").alias("country_name"),
+    )
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of every record of partly malformed files."""
     path = C.write_order_citations(spark, sf_dir, malformed=True)
@@ -446,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "record_positions": record_positions,
     "json_paths": json_paths,
     "json_roundtrip": json_roundtrip,
+    "enrich_documents": enrich_documents,
     "quarantine": quarantine,
     "stream_ingest": stream_ingest,
     "damaged_inputs": damaged_inputs,

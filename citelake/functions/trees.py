@@ -45,10 +45,19 @@ def changed(v: Column, name: str, change: Callable[[Column], Column]) -> Column:
     return F.when(F.map_contains_key(held, name), F.to_variant_object(new)).otherwise(v)
 
 
-def changed_members(v: Column, change: Callable[[Column, Column], Column]) -> Column:
-    """``change(member, place)`` for the members of an array, or for a bare value with place 0."""
+def with_member(v: Column, name: str, default: str = "{}") -> Column:
+    """Object ``v`` with member ``name``: the JSON ``default`` if it has none, be it null; anything else as it is."""
+    held = F.try_variant_get(v, "$", "map<string,variant>")
+    more = F.map_concat(held, F.create_map(F.lit(name), F.parse_json(F.lit(default))))
+    return F.when(held.isNotNull() & ~F.map_contains_key(held, name), F.to_variant_object(more)).otherwise(v)
+
+
+def changed_members(
+    v: Column, change: Callable[[Column, Column], Column], in_list: Callable[[Column], Column] = lambda x: x
+) -> Column:
+    """``change(member, place)`` for the members of an array, each after ``in_list``, or for a bare value with place 0."""
     held = F.try_variant_get(v, "$", "array<variant>")
-    each = F.to_variant_object(F.transform(held, lambda x, i: change(x, i)))
+    each = F.to_variant_object(F.transform(held, lambda x, i: change(in_list(x), i)))
     return F.when(held.isNotNull(), each).otherwise(change(v, F.lit(0)))
 
 

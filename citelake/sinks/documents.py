@@ -36,7 +36,8 @@ def write_batches(documents: DataFrame, path: str) -> None:
 def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """``doc_id, json`` and ``extra`` columns: each article's own ``tree`` with what enrichment found.
 
-    Only the three names of an affiliation are set, where they were found;
+    The three names of an affiliation are set, where they were found, and in a
+    list of authors each leaves with an ``AffiliationInfo``, be it empty;
     everything else of the document stays as it was.
     """
 
@@ -52,6 +53,9 @@ def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
             lambda group: trees.changed_members(group, lambda info, i: affiliation(info, F.get(found, i))),
         )
 
+    def authors(group: Column) -> Column:
+        return trees.changed_members(group, author, lambda a: trees.with_member(a, "AffiliationInfo"))
+
     new = trees.changed(
         F.col("tree"),
         "MedlineCitation",
@@ -61,7 +65,7 @@ def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
             lambda a: trees.changed(
                 a,
                 "AuthorList",
-                lambda l: trees.changed(l, "Author", lambda g: trees.changed_members(g, author)),
+                lambda l: trees.changed(l, "Author", authors),
             ),
         ),
     )

@@ -127,6 +127,34 @@ TREES = {
 }
 
 
+def with_groups(tree):
+    """In a list of authors, each has a group of affiliations."""
+    authors = tree["MedlineCitation"]["Article"]["AuthorList"]["Author"]
+    if not isinstance(authors, list):
+        return tree
+    tree = json.loads(json.dumps(tree))
+    tree["MedlineCitation"]["Article"]["AuthorList"]["Author"] = [
+        {**a, "AffiliationInfo": a.get("AffiliationInfo", {})} if isinstance(a, dict) and "AffiliationInfo" not in a else a
+        for a in authors
+    ]
+    return tree
+
+
+def test_missing_groups_become_empty_objects(spark, put, tmp_path):
+    people = [{"LastName": {"value": "A"}}, {"AffiliationInfo": None}, {"AffiliationInfo": []}, "odd", None,
+              {"AffiliationInfo": {"Affiliation": {"value": "Univ X"}}}]
+    tree = lambda group: {"MedlineCitation": {"Article": {"AuthorList": {"Author": group}}}}
+    given = {"list": tree(people), "bare": tree(people[0]), "none": {"MedlineCitation": {"Article": {}}}}
+    put("docs/part.json", "\n".join(json.dumps({"doc_id": k, "article": v}) for k, v in given.items()) + "\n")
+    put("reg/orgs.json", S.REGISTRY)
+    load.enrich_json(spark, str(tmp_path / "docs"), str(tmp_path / "reg"), str(tmp_path / "out"))
+    got = {r["doc_id"]: r["article"] for r in map(json.loads, (x.value for x in spark.read.text(str(tmp_path / "out")).collect()))}
+    out = got["list"]["MedlineCitation"]["Article"]["AuthorList"]["Author"]
+    assert out[0] == {"LastName": {"value": "A"}, "AffiliationInfo": {}} and out[1:5] == people[1:5]
+    assert out[5]["AffiliationInfo"]["institution_name"] == "Univ X"
+    assert got["bare"] == given["bare"] and got["none"] == given["none"]
+
+
 def test_enriched_documents_keep_everything_else(spark, put, tmp_path):
     lines = [json.dumps({"doc_id": k, "article": v}) for k, v in TREES.items()]
     put("docs/part.json", "\n".join(lines) + "\n")
@@ -145,7 +173,7 @@ def test_enriched_documents_keep_everything_else(spark, put, tmp_path):
         return [strip(v) for v in tree] if isinstance(tree, list) else tree
 
     for name in got:
-        assert strip(got[name]) == strip(TREES[name])
+        assert strip(got[name]) == strip(with_groups(TREES[name]))
     author = got["one"]["MedlineCitation"]["Article"]["AuthorList"]["Author"]
     assert author["AffiliationInfo"]["institution_name"] == "Univ X"
     first = got["many"]["MedlineCitation"]["Article"]["AuthorList"]["Author"][0]["AffiliationInfo"]
