@@ -231,6 +231,14 @@ def write_line_citations(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_numbered_citations(spark: SparkSession, sf_dir: str) -> str:
+    """Every ``lineitem`` row as a citation whose id grows by one from record to record of a file."""
+    path = stage_path(spark, "numbered-xml")
+    record = _element("PubmedArticle", _element("MedlineCitation", _element("PMID", _text(F.monotonically_increasing_id()))))
+    table(spark, sf_dir, "lineitem").select(record.alias("value")).write.text(path)
+    return path
+
+
 def write_order_citations(spark: SparkSession, sf_dir: str, malformed: bool = False) -> str:
     """Every order as a small XML citation; every tenth not well-formed if asked."""
     path = stage_path(spark, "orders-xml")

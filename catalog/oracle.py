@@ -262,6 +262,7 @@ outcomes AS (
   FROM o LEFT JOIN matched m USING (doc_id) LEFT JOIN recent r USING (doc_id)
   UNION ALL SELECT 'parse' FROM orders WHERE o_orderkey % 10 = 0)""") + """
 SELECT 'run' AS run_id, outcome, count(*) AS n FROM outcomes GROUP BY outcome""",
+    "record_order": "SELECT count(*) AS records, count(*) AS in_order FROM lineitem",
     "enrich_documents": _with(*_BASE, _ORGANISATIONS.replace(
         "SELECT n_name AS name, 'C' || n_nationkey AS country_code FROM nation",
         "SELECT DISTINCT country_name AS name, country_code FROM plain"), _MATCHES) + """

@@ -287,6 +287,19 @@ def record_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's position against its place in the file, which its own number tells."""
+    records = A.with_doc_ids(A.read_records(spark, C.write_numbered_citations(spark, sf_dir), glob=TEXT_FILES))
+    rows = records.select(
+        "source_file", F.regexp_extract("doc_id", r"_(\d+)$", 1).cast("bigint").alias("pos"),
+        F.regexp_extract("record", r"<PMID>(\d+)<", 1).cast("bigint").alias("number"),
+    )
+    first = rows.groupBy("source_file").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
+    return rows.join(first, "source_file").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("pos") == F.col("number") - F.col("first")).alias("in_order"),
+    )
+
+
 def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = F.try_parse_json("props")
     return (
@@ -470,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "xml_articles": xml_articles,
     "xml_trees": xml_trees,
     "record_positions": record_positions,
+    "record_order": record_order,
     "json_paths": json_paths,
     "json_roundtrip": json_roundtrip,
     "enrich_documents": enrich_documents,

@@ -20,6 +20,8 @@ from citelake.operators import integrity
 from citelake.session import stage
 
 RECORD_TAG = "PubmedArticle"
+#: Splits of files up to which their table is sent to the tasks.
+BROADCAST_SPLITS = 1_000_000
 
 
 # ---------------------------------------------------------------- XML records
@@ -151,7 +153,10 @@ def with_doc_ids(records: DataFrame) -> DataFrame:
 
     Rows of one split are consecutive, so a position is the row's offset in its
     split plus the rows of the file's earlier splits. Only the table of splits
-    is grouped by file, never the records.
+    is grouped by file, never the records. The table goes to the records while
+    it has at most ``BROADCAST_SPLITS`` rows, some 100 bytes each; beyond that the records are shuffled.
+
+    ``records`` is evaluated twice: stage it if it is costly.
     """
     splits = records.groupBy("source_file", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq")
@@ -164,6 +169,9 @@ def with_doc_ids(records: DataFrame) -> DataFrame:
         "block",
         (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first_seq")).alias("shift"),
     )
+    splits = stage(splits, "splits")
+    if splits.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
     position = F.col("seq") + F.col("shift")
     return (
         records.join(splits, ["source_file", "block"])

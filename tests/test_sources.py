@@ -136,3 +136,28 @@ def test_descriptors(spark, put, tmp_path):
     assert rows["D000001"].descriptor_name == "Calcimycin"
     assert rows["D000001"].tree_numbers == ["D03.633", "C01.2", "D04"]
     assert rows["D000002"].tree_numbers == []
+
+
+def test_positions_do_not_move_the_records(spark, put, tmp_path, monkeypatch):
+    """Many splits of a file, automatic broadcast off: no record is shuffled; beyond the bound the numbers are the same."""
+    one = "<PubmedArticle><MedlineCitation><PMID>{}</PMID></MedlineCitation></PubmedArticle>\n"
+    for name in "ab":
+        put(f"in/{name}.xml", S.article_set(*[one.format(i) + " " * (i % 50) for i in range(3000)]))
+    settings = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        records = A.read_records(spark, str(tmp_path / "in"))
+        assert records.select("source_file", "block").distinct().count() > 10
+        got = A.with_doc_ids(records)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        want = {(f"{name}_{i}", str(i)) for name in "ab" for i in range(3000)}
+        pmid = F.regexp_extract("record", "<PMID>(.*)</PMID>", 1)
+        assert {tuple(r) for r in got.select("doc_id", pmid).collect()} == want
+        monkeypatch.setattr(A, "BROADCAST_SPLITS", 3)
+        assert {tuple(r) for r in A.with_doc_ids(records).select("doc_id", pmid).collect()} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
