@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citelake.session import spread, stage_path
+from citelake.sources.files import read_checks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -308,6 +309,23 @@ def write_order_documents(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_downloads(spark: SparkSession, sf_dir: str) -> str:
+    """The files of ``write_order_files``, all ``lineitem`` rows in one file, a file of no bytes; sidecars, of the damaged files wrong ones."""
+    path = write_order_files(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem").select(F.to_json(F.struct("*")).alias("value"))
+    lines.coalesce(1).write.option("compression", "gzip").text(f"{path}/large")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = read_checks(spark, path, "*.gz").select("path", "md5").collect()  # some dozens of files
+    fs.create(hadoop.Path(f"{path}/empty.gz")).close()
+    for file in found:
+        digest = "0" * 32 if "/bad/" in file.path else file.md5.upper()
+        stream = fs.create(hadoop.Path(f"{file.path}.md5"))
+        stream.write(bytearray(f"MD5(x)= {digest}\n".encode()))
+        stream.close()
+    return path
+
+
 def write_descriptors(spark: SparkSession, sf_dir: str) -> str:
     """Every part as a vocabulary record with two tree numbers, or none."""
     path = stage_path(spark, "parts-xml")

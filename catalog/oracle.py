@@ -262,6 +262,11 @@ outcomes AS (
   FROM o LEFT JOIN matched m USING (doc_id) LEFT JOIN recent r USING (doc_id)
   UNION ALL SELECT 'parse' FROM orders WHERE o_orderkey % 10 = 0)""") + """
 SELECT 'run' AS run_id, outcome, count(*) AS n FROM outcomes GROUP BY outcome""",
+    "file_checks": """
+SELECT 'good' AS kind, 'ok' AS status, false AS damaged, count(*) AS lines FROM orders WHERE o_orderkey % 4 <> 3
+UNION ALL SELECT 'large', 'ok', false, count(*) FROM lineitem
+UNION ALL SELECT 'bad', 'mismatch', true, NULL
+UNION ALL SELECT 'empty', 'no_sidecar', true, NULL""",
     "record_order": "SELECT count(*) AS records, count(*) AS in_order FROM lineitem",
     "enrich_documents": _with(*_BASE, _ORGANISATIONS.replace(
         "SELECT n_name AS name, 'C' || n_nationkey AS country_code FROM nation",

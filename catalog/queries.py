@@ -436,6 +436,17 @@ def gzip_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.check_gzip(given).select("name", "ok")
 
 
+def file_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files against their sidecars and through the gzip check; lines of the files that passed both."""
+    path = C.write_downloads(spark, sf_dir)
+    kind = F.regexp_extract("path", r"/(good|bad|large|empty)[/.]", 1).alias("kind")
+    checks = load.verify_files(spark, path).join(files.read_checks(spark, path, "*.gz").select("path", "fault"), "path")
+    checks = checks.select(kind, "path", "status", F.col("fault").isNotNull().alias("damaged"))
+    sound = [files.literal(r.path) for r in checks.where("status = 'ok' AND NOT damaged").collect()]  # some dozens
+    lines = spark.read.text(sound).select(F.col("_metadata.file_path").alias("path")).groupBy(kind).agg(F.count("*").alias("lines"))
+    return checks.select("kind", "status", "damaged").distinct().join(lines, "kind", "left")
+
+
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is still to be fetched when only verified files count as held."""
     suffix = F.when(F.col("doc_id") % 4 == 3, ".txt").otherwise(".gz")
@@ -494,5 +505,6 @@ QUERIES: dict[str, Query] = {
     "md5_verify": md5_verify,
     "run_totals": run_totals,
     "gzip_verify": gzip_verify,
+    "file_checks": file_checks,
     "new_files": new_files,
 }

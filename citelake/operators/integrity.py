@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,14 +25,15 @@ def expected_md5(checksum: Column) -> Column:
 def verify_md5(files: DataFrame, sidecars: DataFrame) -> DataFrame:
     """``name, status``: ok, mismatch, no_sidecar or bad_format for every file.
 
-    ``files`` has ``name, content``; ``sidecars`` has ``name, checksum``. If both
+    ``files`` has ``name`` and ``content`` or ``md5``; ``sidecars`` has ``name, checksum``. If both
     have ``path`` too, that is the key and is given out: files of one name may lie in several folders. Of
     several sidecars with one key the least text counts. Contents are
     reduced to their hash before the join.
     """
     key = "path" if "path" in files.columns and "path" in sidecars.columns else "name"
     kept = list(dict.fromkeys(["name", key]))
-    hashed = files.select(*kept, F.md5("content").alias("actual"))
+    actual = F.col("md5") if "md5" in files.columns else F.md5("content")
+    hashed = files.select(*kept, actual.alias("actual"))
     sidecars = sidecars.groupBy(key).agg(F.min("checksum").alias("checksum"))
     expected = F.lower(expected_md5(F.col("checksum")))
     status = (
@@ -59,42 +60,56 @@ def failed_files(statuses: DataFrame) -> DataFrame:
     )
 
 
-def inflated(data: bytes) -> Iterator[bytes | str]:
-    """The content of a gzip file in pieces of up to 1 MiB; a text at the end says what is wrong with the file.
+STEP = 1 << 20
+
+
+def inflated(pieces: Iterable[bytes]) -> Iterator[bytes | str]:
+    """The content of a gzip file, given in pieces, in pieces of up to 1 MiB; a text at the end says what is wrong with the file.
 
     Members may follow each other; bytes after the last one that start no new
     member are ignored.
     """
-    step = 1 << 20
-    first = True
-    while first or data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(wbits=31)
-        rest = memoryview(data)
-        try:
-            while rest and not member.eof:
-                yield member.decompress(bytes(rest[:step]), step)
-                rest = rest[step:]
-                # What follows an ended member stays in the tail as well.
+    member, held = zlib.decompressobj(wbits=31), b""
+    for piece in pieces:
+        held += piece
+        while held:
+            if member is None:
+                if len(held) < 2:
+                    break
+                if held[:2] != b"\x1f\x8b":
+                    return
+                member = zlib.decompressobj(wbits=31)
+            try:
+                yield member.decompress(held, STEP)
                 while member.unconsumed_tail and not member.eof:
-                    yield member.decompress(member.unconsumed_tail, step)
-        except zlib.error as error:
-            yield str(error)
-            return
-        if not member.eof:
-            yield "unexpected end of file"
-            return
-        data = member.unused_data + bytes(rest)
-        first = False
+                    yield member.decompress(member.unconsumed_tail, STEP)
+            except zlib.error as error:
+                yield str(error)
+                return
+            # What follows an ended member is the next one's, or nobody's.
+            held = member.unused_data
+            member = None if member.eof else member
+    if member is not None:
+        yield "unexpected end of file"
 
 
-def _gzip_fault(data: bytes) -> str | None:
-    """None when the bytes are a whole gzip file."""
-    for piece in inflated(data):
+def sliced(data: bytes) -> Iterator[bytes]:
+    for at in range(0, len(data), STEP):
+        yield data[at : at + STEP]
+
+
+def gzip_fault(pieces: Iterable[bytes]) -> str | None:
+    """None when the pieces are a whole gzip file."""
+    for piece in inflated(pieces):
         if isinstance(piece, str):
             return piece
     return None
 
 
+def _gzip_fault(data: bytes) -> str | None:
+    return gzip_fault(sliced(data))
+
+
 def check_gzip(files: DataFrame) -> DataFrame:
     """``name, path, ok, reason`` for files given as ``name, path, content``."""
 

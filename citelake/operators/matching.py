@@ -9,8 +9,9 @@ Two physical forms, chosen by the measured size of the dictionary:
   any join or shuffle;
 * a large one is indexed by one anchor gram per name, the gram rarest among
   all names. The texts' grams meet the anchors in an equi-join, broadcast while
-  the index is within its bound and salted and shuffled beyond it, and each
-  candidate is then verified with ``contains``.
+  the index is within its bound and shuffled beyond it, and each candidate is
+  then verified with ``contains``. In the shuffle an anchor that stands in very
+  many texts is spread over as many keys as its measured frequency asks for.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ GRAM = 6
 IN_ROW_NAMES = 300
 BROADCAST_NAMES = 1_000_000
 BROADCAST_CHARS = 48_000_000
-SALTS = 16
+#: Rows one frequent gram may bring to a task; grams looked at for it, and kept track of by the sketch.
+SALT_ROWS = 100_000
+FREQUENT, TRACKED = 1000, 10_000
 PIECES = (8192, 128)
 
 
@@ -189,22 +192,43 @@ def _gram_hits(texts: DataFrame, ids: list[str], text: str, index: NameIndex) ->
             .where(F.contains("_text", "name"))
             .select(*ids, *out)
         )
-    # Frequent grams are spread over the salts by text; the texts themselves
-    # travel once, for the candidates' verification.
-    salt = F.pmod(F.xxhash64(*ids), F.lit(SALTS)).cast("int")
-    spread = grams.select(*ids, salt.alias("_salt"), "gram")
-    anchors = index.anchors.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    candidates = spread.join(anchors, ["gram", "_salt"]).select(*ids, *out)
+    # The texts themselves travel once, for the candidates' verification.
     return (
-        candidates.dropDuplicates([*ids, "name"])
+        _candidates(grams, ids, index).select(*ids, *out)
+        .dropDuplicates([*ids, "name"])
         .join(texts, ids)
         .where(F.contains("_text", "name"))
         .select(*ids, *out)
     )
 
 
+def anchor_salts(grams: DataFrame, anchors: DataFrame, rows: int = SALT_ROWS) -> DataFrame:
+    """``gram, _salts``: anchors that bring more than ``rows`` candidates, and over how many keys they go.
+
+    Frequencies come from a sketch of all grams, bounded in size however many
+    there are: it knows every gram that makes up more than about one in
+    ``0.75 * TRACKED`` of them, and never less than its true number.
+    """
+    found = grams.agg(F.expr(f"approx_top_k(gram, {FREQUENT}, {TRACKED})").alias("top")).first()["top"] or []
+    counts = grams.sparkSession.createDataFrame(
+        [(r["item"], r["count"]) for r in found if r["count"] > rows], "gram bigint, n bigint"
+    )
+    held = anchors.join(F.broadcast(counts), "gram").groupBy("gram").agg(F.first("n").alias("n"), F.count("*").alias("names"))
+    salts = F.ceil(F.col("n") * F.col("names") / rows).cast("int")
+    return stage(held.select("gram", salts.alias("_salts")), "salts")
+
+
+def _candidates(grams: DataFrame, ids: list[str], index: NameIndex, rows: int = SALT_ROWS) -> DataFrame:
+    """Texts' ids beside the anchors that stand in them; frequent anchors are spread by text."""
+    salts = F.broadcast(anchor_salts(grams, index.anchors, rows))  # FREQUENT rows at most
+    many = F.coalesce("_salts", F.lit(1))
+    spread = grams.join(salts, "gram", "left").select(
+        *ids, "gram", F.pmod(F.xxhash64(*ids), many).cast("int").alias("_salt")
+    )
+    anchors = index.anchors.join(salts, "gram", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), many - 1)))
+    return spread.join(anchors.drop("_salts"), ["gram", "_salt"])
+
+
 def _best(out: Sequence[str]) -> Column:
     ranked = F.min(F.struct((-F.length("name")).alias("_rank"), *[F.col(c) for c in out]))
     return ranked.alias("_best")

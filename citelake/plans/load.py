@@ -251,5 +251,5 @@ def curate_registry(spark: SparkSession, registry_path: str, sheet_path: str, ou
 
 
 def verify_files(spark: SparkSession, path: str) -> DataFrame:
-    """``name, status`` of every ``.gz`` file against its sidecar."""
-    return integrity.verify_md5(files.read_binary(spark, path), files.read_sidecars(spark, path))
+    """``name, path, status`` of every ``.gz`` file against its sidecar; files of any size, empty ones included."""
+    return integrity.verify_md5(files.read_checks(spark, path, "*.gz"), files.checked_sidecars(spark, path))

@@ -112,7 +112,7 @@ def _file_records(name: str, path: str, content: bytes, tag: str) -> Iterator[pa
 
     def texts() -> Iterator[str]:
         decoder = codecs.getincrementaldecoder("utf-8")("replace")
-        for piece in integrity.inflated(content):
+        for piece in integrity.inflated(integrity.sliced(content)):
             if isinstance(piece, str):
                 fault.append(piece)
                 return

@@ -1,7 +1,9 @@
 """Damaged files on both ways in; names that look like patterns or escapes."""
 
 import gzip
+import hashlib
 import os
+import tracemalloc
 
 import pytest
 
@@ -87,6 +89,48 @@ def test_gzip_records_equal_the_text_source(spark, put, tmp_path):
 
 def test_inflated_in_pieces():
     data = gzip.compress(os.urandom(3 << 20)) + gzip.compress(b"tail")
-    pieces = list(integrity.inflated(data))
+    pieces = list(integrity.inflated(integrity.sliced(data)))
     assert max(map(len, pieces)) <= 1 << 20 and len(b"".join(pieces)) == (3 << 20) + 4
-    assert list(integrity.inflated(data[:-9]))[-1] == "unexpected end of file"
+    assert list(integrity.inflated(integrity.sliced(data[:-9])))[-1] == "unexpected end of file"
+
+
+@pytest.mark.parametrize("step", [1, 2, 7, 1000])
+def test_pieces_of_any_size_give_the_same(step):
+    """Members, their borders and what follows them, cut anywhere."""
+    one, two = gzip.compress(b"first " * 50), gzip.compress(b"second")
+    cut = lambda data: [data[i : i + step] for i in range(0, len(data), step)]
+    for data, fault in [(one + two, None), (one + b"\0" * 9, None), (one + b"\x1f", None), (one + two[:-1], "unexpected end of file"), (b"", "unexpected end of file")]:
+        assert integrity.gzip_fault(cut(data)) == fault
+    assert b"".join(p for p in integrity.inflated(cut(one + two))) == b"first " * 50 + b"second"
+    assert integrity.gzip_fault(cut(b"no gzip")) is not None
+
+
+def test_files_of_no_bytes_and_large_ones(spark, put, tmp_path):
+    """Hashed and inflated in pieces, in a process that may not hold the file."""
+    big = os.urandom(1 << 20) * 64
+    put("in/big.xml.gz", gzip.compress(big, 1) + gzip.compress(bytes(256 << 20), 1))
+    put("in/none.xml.gz", b"")
+    put("in/deep/a b.xml.gz", gzip.compress(b"x"))
+    for name in ("big", "none", "deep/a b"):
+        data = (tmp_path / f"in/{name}.xml.gz").read_bytes()
+        put(f"in/{name}.xml.gz.md5", f"MD5(x)= {hashlib.md5(data).hexdigest()}\n")
+    put("in/none.xml.gz.md5", "MD5(x)= 0\n")
+    found = {r.name: r for r in files.read_checks(spark, str(tmp_path / "in"), "*.gz").collect()}
+    assert {n: (r.length, r.fault) for n, r in found.items() if n != "big.xml.gz"} == {
+        "none.xml.gz": (0, "unexpected end of file"), "a b.xml.gz": (21, None)}
+    assert found["big.xml.gz"].fault is None and found["big.xml.gz"].length > 1 << 20
+    statuses = {r.name: r.status for r in load.verify_files(spark, str(tmp_path / "in")).collect()}
+    assert statuses == {"big.xml.gz": "ok", "a b.xml.gz": "ok", "none.xml.gz": "mismatch"}
+
+
+def test_reading_in_pieces_holds_one_piece(tmp_path):
+    """Peak of what Python allocates, for a file of 200 MB of zeros inflated."""
+    path = tmp_path / "zeros.gz"
+    with gzip.open(path, "wb", 1) as out:
+        for _ in range(200):
+            out.write(bytes(1 << 20))
+    tracemalloc.start()
+    (row,) = files.CheckReader({"path": str(tmp_path), "glob": "*.gz"}).read(files.FilePartition(str(path), 0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row[4] is None and peak < 16 << 20

@@ -62,3 +62,33 @@ def test_small_dictionary_needs_no_join(spark):
     plan = best._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
     assert {r.id: r.name for r in best.collect()} == {1: "NATION_10", 2: "NATION_1"}
+
+
+def test_a_name_in_a_third_of_the_texts_is_spread(spark):
+    """Shuffled form: its salts follow its frequency, no task gets much more than the bound, all hits are there."""
+    names = spark.range(500).select(F.concat(F.lit("Institute No "), "id").alias("name")).unionByName(
+        spark.createDataFrame([("Common",)], "name string"))
+    index = M.build_index(names, in_row_names=0, broadcast_names=0)
+    number = F.col("id").cast("string")
+    text = F.when(F.col("id") % 3 == 0, F.concat(F.lit("Common "), number)).otherwise(F.concat(F.lit("Institute No "), number))
+    texts = spark.range(100_000).select("id", text.alias("text"))
+    grams = M._with_grams(texts.select("id", F.col("text").alias("_text")), ["id"], index.gram_lengths)
+    grams = grams.withColumn("gram", F.xxhash64("gram"))
+    salts = M.anchor_salts(grams, index.anchors, 2000)
+    by_gram = {r.gram: r["_salts"] for r in salts.collect()}
+    common = index.anchors.where("name = 'Common'").first().gram
+    assert 17 <= by_gram[common] <= 25
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 64)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = M._candidates(grams, ["id"], index, 2000).where("name = 'Common'")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 33_334 and max(sizes) <= 4 * 2000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    best = M.best_hits(texts, ["id"], "text", index)
+    assert best.where("name = 'Common'").count() == 33_334
