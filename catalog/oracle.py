@@ -338,3 +338,8 @@ SELECT 'doc_' || doc_id || '.gz' AS name FROM documents
 WHERE doc_id % 4 <> 3 AND 'doc_' || doc_id || '.gz' NOT IN (
   SELECT name FROM ({_STATUS}) WHERE status = 'ok')""",
 }
+
+ORACLE["review_sheet"] = ORACLE["dictionary_curate"]
+ORACLE["batch_folders"] = f"""
+SELECT batch, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
+FROM ({ORACLE["batch_number"]}) GROUP BY batch"""

@@ -112,14 +112,27 @@ def country_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary.country_dictionary(_part_registry(spark, sf_dir))
 
 
-def dictionary_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _reviewed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     suppliers = C.table(spark, sf_dir, "supplier")
     entries = suppliers.select("s_suppkey", F.concat("s_name", F.lit(" ")).alias("name"))
     sheet = suppliers.select(
         F.when(F.col("s_suppkey") % 3 == 0, "DELETE").otherwise("Keep").alias("action"),
         F.when(F.col("s_suppkey") % 2 == 0, F.upper("s_name")).otherwise("").alias("name"),
     )
-    return dictionary.curate(entries, sheet)
+    return entries, sheet
+
+
+def dictionary_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary.curate(*_reviewed(spark, sf_dir))
+
+
+def review_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``dictionary_curate``, with the sheet written as CSV files and read from them."""
+    path = stage_path(spark, "sheet")
+    entries, sheet = _reviewed(spark, sf_dir)
+    padded = F.concat(F.lit("\t "), "name", F.lit(" ")).alias("name")
+    sheet.select("action", F.lit("a, b").alias("between"), padded).write.option("header", True).csv(path)
+    return dictionary.curate(entries, registry.read_review_sheet(spark, path))
 
 
 def registry_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +186,17 @@ def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.batch_numbers(orders, ["o_orderkey"], size=1000)
 
 
+def batch_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written to a folder per batch: how many, and their range, as the folders tell."""
+    path = stage_path(spark, "batches")
+    rows = batch_number(spark, sf_dir)
+    body = F.to_json(F.struct(F.struct("o_orderkey").alias("PMID"))).alias("json")
+    documents.write_batches(rows.select("batch", F.col("o_orderkey").cast("string").alias("doc_id"), body), path)
+    lines = spark.read.option("basePath", path).json(path, schema="doc_id string, article variant, batch bigint")
+    key = F.try_variant_get("article", "$.PMID.o_orderkey", "bigint")
+    return lines.groupBy("batch").agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+
+
 def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All article tables written as one run, read back: rows per table."""
     out = stage_path(spark, "tables")
@@ -468,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "dictionary_last_wins": dictionary_last_wins,
     "country_last_wins": country_last_wins,
     "dictionary_curate": dictionary_curate,
+    "review_sheet": review_sheet,
     "registry_roundtrip": registry_roundtrip,
     "gate_any": gate_any,
     "gate_with_affiliation": gate_with_affiliation,
@@ -486,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "databanks": _of_articles(flatten.databank_list),
     "keywords": _of_numbered(flatten.keyword_list),
     "batch_number": batch_number,
+    "batch_folders": batch_folders,
     "table_store": table_store,
     "two_loaders": two_loaders,
     "load_totals": load_totals,
