@@ -15,11 +15,15 @@ has to repeat under the same path.
 Up to ``NEAR_RUNS`` repeated runs are broadcast; beyond, the most frequent ones
 are and the rest is joined, with the same result.
 
-An exact check on the markup follows: elements that HTML or their class or
-role name as menus, headers, footers, asides, forms, notices, adverts or comments go
+A block of ``MAIN_WORDS`` words or more that alone holds more than half of a page's words stays: pages that
+share it are near copies of each other, not of one frame.
+
+An exact check on the markup follows: elements that HTML or a whole word of their class, id or
+role names as menus, headers, footers, asides, forms, notices, adverts or comments go
 even where nothing repeats; text inside ``article`` or ``main`` is never
 taken for boilerplate because it repeats (pages may be copies of each other);
-and if a page has such an element with text, only text inside it is kept.
+and if a page has such an element with text, only text inside it is kept. A form or search
+around a whole article is a wrapper: the article starts afresh.
 
 Null or empty html, and pages of markup only, have empty text. Null urls share
 one host. Repeated rows each give a row; pages of one text count as one page. Unclosed and
@@ -41,12 +45,13 @@ from citelake.llm.common import WordHashes, column_batches, ordered_pair
 from citelake.session import stage
 
 RUN = 5
+MAIN_WORDS = 40
 #: Repeated runs that are broadcast.
 NEAR_RUNS = 1_000_000
 BATCH = 128
 
 # Element and class names as HTML and common practice have them.
-_RAW = frozenset("script style noscript template textarea iframe svg math title select option object".split())
+_RAW = frozenset("script style noscript template textarea iframe svg title select option object".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -62,8 +67,16 @@ _NAMES = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "pager pagination popup promo promoted related replies reply search share sharing sidebar signup social sponsor "
-    "sponsored subscribe toolbar widget".split()
+    "sponsored subscribe toolbar widget "
+    "ad-banner ad-box ad-container ad-slot ad-unit comment-form comment-list comments-area comments-section "
+    "cookie-bar cookie-banner cookie-consent cookie-notice disqus_thread footer-links footer-nav global-nav left-nav "
+    "login-form main-menu main-nav nav-bar nav-links nav-menu newsletter-signup page-footer page-header post-comments "
+    "primary-nav reader-comments related-articles related-links related-posts right-nav search-box search-form "
+    "share-buttons side-bar side-nav sidebar-left sidebar-right site-footer site-header site-menu site-nav skip-link "
+    "social-links social-share sub-nav subscribe-form top-bar top-menu top-nav user-comments".split()
 )
+#: What may stand around a whole article.
+_WRAPPERS = frozenset("form search".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _TOKEN = re.compile(
@@ -73,24 +86,30 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_PART = re.compile(r"[^a-z0-9]+")
 
 
 class _Open:
     """An open element."""
 
-    __slots__ = ("tag", "name", "chrome", "content")
+    __slots__ = ("tag", "name", "chrome", "content", "wrapper")
 
     def __init__(self, tag: str, attributes: str, above: "_Open | None"):
         found = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
-        names = _PART.split(f"{found.get('class', '')} {found.get('id', '')}".lower())
+        names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
         role = found.get("role", "").strip().lower()
         self.tag = tag
         self.name = tag + "." + found.get("class", "").strip().lower() if found.get("class") else tag
-        self.content = (above is not None and above.content) or tag in _CONTENT or role == "main"
+        begins = tag in _CONTENT or role == "main"
+        inside = above is not None and above.content
+        self.content = inside or begins
         named = tag not in ("body", "html", "main") and not _NAMES.isdisjoint(names)
         marked = tag in _CHROME or (tag == "header" and not self.content) or role in _ROLES
-        self.chrome = (above is not None and above.chrome) or named or marked
+        around = above is not None and above.chrome and not (begins and not inside and above.wrapper)
+        self.chrome = around or named or marked
+        # Chrome only by wrappers so far.
+        self.wrapper = (above is None or above.wrapper or not above.chrome) and (
+            not (named or marked) or (not named and (tag in _WRAPPERS or role in _WRAPPERS))
+        )
 
 
 def blocks_of(html: str | None) -> list[tuple[str, str, bool, bool]]:
@@ -201,8 +220,12 @@ def streams_of(
 def covered_blocks(
     streams: list[tuple[np.ndarray, list[tuple[int, int, int]]]], repeats: Callable[[np.ndarray], np.ndarray]
 ) -> set[int]:
-    """Blocks all of whose words lie in spans of the runs that ``repeats`` says are repeated."""
+    """Blocks all of whose words lie in spans of the runs that ``repeats`` says are repeated.
+
+    A block of ``MAIN_WORDS`` words and more than half of the words of all streams is left out.
+    """
     out = set()
+    words = sum(places[-1][2] for _, places in streams if places)
     for runs, places in streams:
         hits = np.nonzero(repeats(runs))[0]
         if len(hits):
@@ -211,7 +234,10 @@ def covered_blocks(
             np.add.at(steps, hits, 1)
             np.add.at(steps, np.minimum(hits + RUN, size), -1)
             outside = np.concatenate([[0], np.cumsum(np.cumsum(steps)[:size] == 0)])
-            out.update(block for block, start, end in places if outside[start] == outside[end])
+            out.update(
+                block for block, start, end in places
+                if outside[start] == outside[end] and (end - start < MAIN_WORDS or 2 * (end - start) <= words)
+            )
     return out
 
 

@@ -30,6 +30,36 @@ def test_markup():
     assert text("<script>never closed <p>x") == ""
 
 
+def test_wrappers_and_whole_names():
+    """Names match as whole words; what stands around an article does not empty it."""
+    body = "<article><p>Kept text.</p></article>"
+    for page in (
+        f'<div class="layout has-sidebar">{body}</div>', f'<div id="search-results-page">{body}</div>',
+        f'<form id="aspnetForm">{body}</form>', f"<search>{body}</search>", f'<div><form action="x"><div>{body}</div></form></div>',
+        '<article class="no-comments"><p>Kept text.</p></article>', '<main class="with-menu"><p>Kept text.</p></main>',
+    ):
+        assert text(page) == "Kept text.", page
+    assert text('<article><p class="notice-board">One.</p><p>Two.</p></article>') == "One.\nTwo."
+    assert text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p></article>") == "Let x=2 hold."
+    # Chrome proper stays chrome, whatever it holds.
+    assert text(f'{body}<section class="comments"><article><p>First!</p></article></section>') == "Kept text."
+    assert text(f'{body}<aside><article><p>Other.</p></article></aside><form>Mail</form>') == "Kept text."
+    assert text('<article><p>Kept.</p><form><article>Reply</article></form><div class="ad slot">Buy</div></article>') == "Kept."
+    assert text(f'<form class="search-form">{body}</form>') == ""
+
+
+def test_pages_that_share_their_main_paragraph(spark):
+    """Without an article element: the paragraph is most of each page, so it stays on both."""
+    main = " ".join(f"word{i}" for i in range(60))
+    frame = "<div>Welcome to the example site with all its offers</div>"
+    rows = [
+        (1, "http://h.org/1", f"<body>{frame}<p>{main}</p></body>"),
+        (2, "http://h.org/2", f"<body>{frame}<p>{main}</p><p>And some more words that only this page has.</p></body>"),
+    ]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: main, 2: f"{main}\nAnd some more words that only this page has."}
+
+
 def test_given_table(spark):
     """The article between its tags, by plain string work."""
     import html
