@@ -309,6 +309,35 @@ def write_order_documents(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_article_citations(spark: SparkSession, sf_dir: str) -> str:
+    """The authors, affiliations and dates of ``articles`` as citation XML, in gzip files; affiliations without text have none here either."""
+    path = stage_path(spark, "articles-xml")
+
+    def joined(values: Column, build) -> Column:
+        return F.array_join(F.transform(values, build), "")
+
+    def author(a: Column) -> Column:
+        infos = joined(
+            a["affiliations"],
+            lambda f: _element("AffiliationInfo", F.coalesce(_element("Affiliation", f["affiliation"]), F.lit(""))),
+        )
+        return F.concat(F.lit('<Author ValidYN="'), a["valid_yn"], F.lit('">'), _element("LastName", a["last_name"]), infos, F.lit("</Author>"))
+
+    def date(d: Column) -> Column:
+        return F.concat(F.lit('<PubMedPubDate PubStatus="'), d["pub_status"], F.lit('">'), _element("Year", d["year"]), F.lit("</PubMedPubDate>"))
+
+    record = _element(
+        "PubmedArticle",
+        _element(
+            "MedlineCitation", _element("PMID", F.col("pmid")),
+            _element("Article", _element("AuthorList", joined(F.col("authors"), author))),
+        ),
+        _element("PubmedData", _element("History", joined(F.col("pub_dates"), date))),
+    )
+    articles(spark, sf_dir).select(record.alias("value")).write.option("compression", "gzip").text(path)
+    return path
+
+
 def write_downloads(spark: SparkSession, sf_dir: str) -> str:
     """The files of ``write_order_files``, all ``lineitem`` rows in one file, a file of no bytes; sidecars, of the damaged files wrong ones."""
     path = write_order_files(spark, sf_dir)

@@ -343,3 +343,19 @@ ORACLE["review_sheet"] = ORACLE["dictionary_curate"]
 ORACLE["batch_folders"] = f"""
 SELECT batch, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
 FROM ({ORACLE["batch_number"]}) GROUP BY batch"""
+
+# Registry countries only; affiliations without text bring nothing.
+ORACLE["stream_enriched"] = _with(*_BASE, _ORGANISATIONS.replace(
+    "SELECT n_name AS name, 'C' || n_nationkey AS country_code FROM nation",
+    "SELECT DISTINCT country_name AS name, country_code FROM plain"), _MATCHES, _DATES, """
+found AS (
+  SELECT a.doc_id, a.pmid, a.affiliation, g.name AS institution,
+         CASE WHEN g.name IS NOT NULL THEN g.country_code ELSE p.country_code END AS code
+  FROM affiliation a LEFT JOIN best_org g ON a.affiliation = g.affiliation
+  LEFT JOIN best_place p ON a.affiliation = p.affiliation),
+kept AS (
+  SELECT doc_id FROM found GROUP BY doc_id
+  HAVING bool_or(coalesce(trim(code), '') <> '') AND bool_or(coalesce(trim(institution), '') <> '')
+  INTERSECT SELECT doc_id FROM dated WHERE year >= 2000)""") + """
+SELECT pmid, affiliation, coalesce(code, '') AS affiliation_country, coalesce(institution, '') AS affiliation_organization
+FROM found SEMI JOIN kept USING (doc_id) WHERE affiliation IS NOT NULL"""

@@ -414,6 +414,19 @@ def stream_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_totals(spark, out).groupBy("outcome").agg(F.sum("n").alias("n"))
 
 
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citation files to tables by a stream that enriches, gates and stores each micro-batch."""
+    path = C.write_article_citations(spark, sf_dir)
+    out, checkpoint = stage_path(spark, "arrivals"), stage_path(spark, "offsets")
+    country = F.struct("country_code", "country_name").alias("country")
+    entries = C.organisations(spark, sf_dir).select("name", country, F.monotonically_increasing_id().alias("pos"))
+    handle = load.arrivals_handler(entries, out, gate="any", min_year=2000)
+    start_arrivals(spark, path, checkpoint, handle, max_files=5, glob="*.txt.gz").awaitTermination()
+    return tables.read_table(spark, out, "pub_affiliation").select(
+        "pmid", "affiliation", "affiliation_country", "affiliation_organization"
+    )
+
+
 # ------------------------------------------------------------------ integrity
 
 def _md5_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -528,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "damaged_inputs": damaged_inputs,
     "stream_damaged": stream_damaged,
+    "stream_enriched": stream_enriched,
     "md5_verify": md5_verify,
     "run_totals": run_totals,
     "gzip_verify": gzip_verify,
