@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from citelake.operators.keys import BUCKET, DIGITS, bucket_of, dealt_by_bucket
 from citelake.operators.matching import NameIndex, best_per_article, build_index, hits_in_row
 
-_IDS = ["doc_id", "source_file"]
+_IDS = ["doc_id", "source_file"]  # as keys.ARTICLE_ID
 MODES = ("fallback", "independent")
 
 
@@ -47,8 +48,12 @@ def _with_lookup(
     if index.in_row:
         return rows, lambda text: F.get(hits_in_row(text, index), 0)
     texts = articles.select(*_IDS, affiliation_texts(F.col("authors")).alias("_texts"))
-    found = best_per_article(texts, _IDS, "_texts", index, name)
-    return rows.join(found, _IDS, how), lambda text: F.try_element_at(F.col(name), text)
+    ids, by = list(_IDS), None
+    if BUCKET in rows.columns:
+        # Both sides of the join are dealt by the bucket.
+        texts, ids, by = texts.withColumn(BUCKET, bucket_of(_IDS, DIGITS)), [BUCKET, *_IDS], [BUCKET]
+    found = best_per_article(texts, ids, "_texts", index, name, by)
+    return rows.join(found, ids, how), lambda text: F.try_element_at(F.col(name), text)
 
 
 def worked_out(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -67,6 +72,7 @@ def enrich(
     countries: NameIndex,
     mode: str = "fallback",
     require_both: bool | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Set ``institution_name``, ``country_code`` and ``country_name`` of each affiliation.
 
@@ -76,6 +82,9 @@ def enrich(
 
     ``require_both`` keeps only articles in which some organisation and some
     country matched; by default in ``independent`` mode.
+
+    ``bucketed``: deal the articles by number bucket before hits are joined to
+    them and keep that column, so that numbering needs no shuffle of its own.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -84,9 +93,8 @@ def enrich(
 
     # Where both must match, an article without hits need not pass the join.
     how = "inner" if require_both else "left"
-    rows, find_organisation = _with_lookup(
-        articles, articles, organisations, "_organisations", how
-    )
+    dealt = dealt_by_bucket(articles) if bucketed else articles
+    rows, find_organisation = _with_lookup(dealt, articles, organisations, "_organisations", how)
     rows, find_country = _with_lookup(rows, articles, countries, "_countries", how)
 
     def marks_of(f: Column) -> Column:
@@ -134,4 +142,4 @@ def enrich(
             ),
         )
 
-    return worked_out(rows, "authors", F.transform("authors", author)).select(*articles.columns)
+    return worked_out(rows, "authors", F.transform("authors", author)).select(*dealt.columns)

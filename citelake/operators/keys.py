@@ -15,12 +15,23 @@ def bucket_of(keys: Sequence[str], digits: int) -> Column:
     return F.substring(F.md5(text), 1, digits)
 
 
+#: A column of this name holds the bucket of a row already; the rows are dealt by it.
+BUCKET = "_bucket"
+ARTICLE_ID = ("doc_id", "source_file")
+DIGITS = 3
+
+
+def dealt_by_bucket(articles: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """The articles with their bucket, shuffled by it once: joins on bucket and id and the numbering run where they are."""
+    return articles.withColumn(BUCKET, bucket_of(ARTICLE_ID, digits)).repartition(BUCKET)
+
+
 def with_bases(
     df: DataFrame,
     sizes: Mapping[str, Column],
     keys: Sequence[str],
     start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
-    digits: int = 3,
+    digits: int = DIGITS,
     staged: bool = False,
 ) -> DataFrame:
     """Give every row a block of ``sizes[x]`` numbers beginning at ``x_base``.
@@ -42,16 +53,19 @@ def with_bases(
         raise ValueError("digits must be between 1 and 4")
     if callable(start) and not staged:
         raise ValueError("numbers can be asked for only once the rows are staged")
+    # A bucket that the rows bring along is that of the same keys and digits.
+    columns = [c for c in df.columns if c != BUCKET]
+    bucket = F.col(BUCKET) if BUCKET in df.columns else bucket_of(keys, digits).alias(BUCKET)
     sized = df.select(
-        "*",
-        bucket_of(keys, digits).alias("_bucket"),
+        *columns,
+        bucket,
         *[size.cast("bigint").alias(f"_size_{x}") for x, size in sizes.items()],
     )
     inside = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = sized.select(
-        *df.columns,
+        *columns,
         "_bucket",
         *[f"_size_{x}" for x in sizes],
         *[
@@ -82,7 +96,7 @@ def with_bases(
     if staged:
         offsets = stage(offsets, "offsets")
     bases = [(F.col(f"_offset_{x}") + F.col(f"_inside_{x}")).alias(f"{x}_base") for x in sizes]
-    return placed.join(F.broadcast(offsets), "_bucket").select(*df.columns, *bases)
+    return placed.join(F.broadcast(offsets), "_bucket").select(*columns, *bases)
 
 
 def dense_numbers(
@@ -134,7 +148,7 @@ def _article_sizes() -> dict[str, Column]:
 def number_articles(
     articles: DataFrame,
     start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
-    digits: int = 3,
+    digits: int = DIGITS,
     staged: bool = False,
 ) -> DataFrame:
     """Reserve the numbers of all members of an article at once.
@@ -143,5 +157,5 @@ def number_articles(
     and links agree without a join and all flatteners are narrow.
     """
     return with_bases(
-        articles, _article_sizes(), ["doc_id", "source_file"], start, digits, staged
+        articles, _article_sizes(), list(ARTICLE_ID), start, digits, staged
     )

@@ -251,11 +251,11 @@ def best_hits(texts: DataFrame, ids: Sequence[str], text: str, index: NameIndex)
 
 
 def best_per_article(
-    texts: DataFrame, ids: Sequence[str], array: str, index: NameIndex, name: str
+    texts: DataFrame, ids: Sequence[str], array: str, index: NameIndex, name: str, by: Sequence[str] | None = None
 ) -> DataFrame:
     """``ids, name``: for an array of texts per row, a map text → winning entry.
 
-    Only hits are shuffled, once, by ``ids``.
+    Only hits are shuffled, once, by ``ids`` or those of them that ``by`` names.
     """
     ids, out = list(ids), ["name", *index.payload]
     each = texts.select(*ids, F.explode(array).alias("_each"))
@@ -265,7 +265,7 @@ def best_per_article(
         all_hits(each, by_text, "_each", index)
         if index.in_row
         else _gram_hits(each, by_text, "_each", index)
-    ).repartition(*[F.col(c) for c in ids])
+    ).repartition(*[F.col(c) for c in by or ids])
     best = hits.groupBy(*ids, "_each").agg(_best(out))
     entry = F.struct(F.col("_each"), F.struct(*[F.col(f"_best.{c}").alias(c) for c in out]))
     return best.groupBy(*ids).agg(F.map_from_entries(F.collect_list(entry)).alias(name))

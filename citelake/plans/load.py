@@ -117,7 +117,7 @@ def store(
     spark = articles.sparkSession
     if tables.is_finished(spark, out, run_id):
         return False
-    first = ["doc_id", "source_file"]
+    first = [c for c in ("doc_id", "source_file", keys.BUCKET) if c in articles.columns]
     judged = worked_out(articles, "_outcome", outcome(gate, min_year))
     # An article left out goes on as its name and outcome only.
     kept = F.col("_outcome") == STORED
@@ -153,9 +153,8 @@ def arrivals_handler(
     indexes = registry_indexes(registry)
 
     def handle(articles: DataFrame, quarantine: DataFrame, run_id: str) -> bool:
-        return store(
-            enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine, articles.count()
-        )
+        enriched = enrich(articles, *indexes, mode, bucketed=True)
+        return store(enriched, out, run_id, gate, min_year, quarantine, articles.count())
 
     return handle
 
@@ -226,9 +225,8 @@ def load_xml(
     articles, quarantine = ingest_xml(spark, path)
     entries = registries.read_registry(spark, registry_path, layout=registry_layout)
     indexes = registry_indexes(entries)
-    return store(
-        enrich(articles, *indexes, mode), out, run_id, gate, min_year, quarantine, articles.count()
-    )
+    enriched = enrich(articles, *indexes, mode, bucketed=True)
+    return store(enriched, out, run_id, gate, min_year, quarantine, articles.count())
 
 
 def load_vocabulary(spark: SparkSession, path: str, out: str, run_id: str) -> bool:

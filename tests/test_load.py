@@ -6,7 +6,9 @@ import pytest
 
 from citelake import schemas
 from citelake.__main__ import main
-from citelake.operators.dictionary import organisation_dictionary
+from citelake.operators import keys
+from citelake.operators.dictionary import country_dictionary, organisation_dictionary
+from citelake.operators.enrich import country_index, enrich, organisation_index
 from citelake.plans import load
 from citelake.sinks import documents, tables
 from citelake.sources import articles as A
@@ -179,3 +181,49 @@ def test_jdbc_options(spark, monkeypatch):
 def test_run_totals(spark):
     df = spark.createDataFrame([("ok",), ("ok",), ("mismatch",)], "status string")
     assert sorted(map(tuple, tables.run_totals(df).collect())) == [("mismatch", 1), ("ok", 2)]
+
+
+def test_articles_are_shuffled_once(spark, put, tmp_path, monkeypatch):
+    """Large dictionaries, hits joined, gated, numbered: one exchange carries the authors. Same numbers as without buckets."""
+    body = [S.FULL.replace(">101<", f">{i}<") for i in range(60)] + [S.SINGLE, S.BARE]
+    put("xml/a.xml", S.article_set(*body))
+    articles, _ = load.ingest_xml(spark, str(tmp_path / "xml"))
+    put("reg/orgs.json", S.REGISTRY)
+    entries = read_registry(spark, str(tmp_path / "reg"))
+    large = {"in_row_names": 0, "broadcast_names": 0}
+    indexes = (
+        organisation_index(organisation_dictionary(entries), **large), country_index(country_dictionary(entries), **large))
+    plans, stage = [], keys.stage
+    monkeypatch.setattr(keys, "stage", lambda df, name: plans.append((name, df)) or stage(df, name))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for bucketed in (False, True):
+            plans.clear()
+            out = str(tmp_path / f"out{bucketed}")
+            assert load.store(enrich(articles, *indexes, "fallback", bucketed=bucketed), out, "r", "any", 2014)
+            names = ("pub_author", "pub_affiliation", "pub_author_affiliation", "pub_keyword_list")
+            rows[bucketed] = [sorted(map(str, tables.read_table(spark, out, n).collect())) for n in names]
+            placed = dict(plans)["placed"]._jdf.queryExecution().executedPlan()
+            carried = wide_exchanges(placed.toString())
+            assert carried == (1 if bucketed else 2), placed.toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows[True] == rows[False] and rows[True][0]
+
+
+def wide_exchanges(plan):
+    """How many exchanges stand above a scan of the articles' titles without another between."""
+    count, lines = 0, plan.split("\n")
+    for at, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            depth = line.index("Exchange")
+            below = []
+            for other in lines[at + 1 :]:
+                here = next((i for i, c in enumerate(other) if c.isalpha() or c == "*"), 0)
+                if here <= depth:
+                    break
+                below.append(other)
+            count += any("FileScan" in b and "title" in b for b in below)
+    return count
