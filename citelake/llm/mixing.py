@@ -7,7 +7,7 @@ the smallest keys, up to the budget. Nothing of a source is sorted as a whole:
 keys fall into buckets of about ``BUCKET_ROWS`` rows, running sums over the
 buckets find the one in which the budget ends, and only that one is sorted.
 
-Null texts have size 0. A null source is a source of its own, the last. Rows
+Null texts have size 0; documents of that size are taken in whole epochs only. A null source is a source of its own, the last. Rows
 that agree in id and text share a key and are taken together. Empty input
 gives no rows. Columns of the input other than the named ones never matter.
 """
@@ -160,7 +160,8 @@ def with_taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
     below = F.coalesce(bucket < F.col("cut_bucket"), F.lit(False))
     cut = F.coalesce(F.col("_key") <= F.col("cut_key"), F.lit(False))
     last = F.coalesce(F.col("_key") == F.col("last_key"), F.lit(False))
-    extra = F.when(below | cut | last, 1).otherwise(0)
+    # A document without words fills no budget.
+    extra = F.when((below | cut | last) & (F.col("_size") > 0), 1).otherwise(0)
     held = bounded(stage(plan, "mix"), BROADCAST_SOURCES)
     return rows.join(held, "_source").withColumn("_times", F.col("epochs") + extra)
 

@@ -87,3 +87,17 @@ def test_heavy_documents_come_first_more_often(spark):
     rows = [r for r in mix(docs, weight, share=0.5, most=1).collect() if r.taken]
     heavy = sum(r.doc_id % 4 < 2 for r in rows)
     assert heavy > 0.6 * len(rows)
+
+
+def test_documents_without_words_fill_no_budget(spark):
+    """They come as often as whole epochs are taken, never once more, and no document more than twice."""
+    rows = [(i, " " if i % 2 else "five words in this text", "abc"[i % 3]) for i in range(300)]
+    docs = documents(spark, rows)
+    taken = collections.Counter(r.doc_id for r in mixed_documents(docs).collect())
+    sizes = collections.Counter()
+    for i, t, s in rows:
+        sizes[s] += len(WORD.findall(t))
+    want = levels(sizes)
+    for i, t, s in rows:
+        epochs = int(want[s] / sizes[s] + 1e-9)
+        assert taken[i] <= 2 and (taken[i] == epochs if not t.strip() else taken[i] in (epochs, epochs + 1))
