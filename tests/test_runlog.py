@@ -22,7 +22,7 @@ def test_ranges_never_overlap(spark, tmp_path):
     def loader(n):
         log = log_of(spark, tmp_path)
         for i in range(6):
-            start = log.reserve(f"r{n}", {"author": n + 1, "keyword": 2})
+            start = log.reserve(f"r{n}-{i}", {"author": n + 1, "keyword": 2})
             with lock:
                 taken.append((start["author"], n + 1, start["keyword"]))
 
@@ -38,6 +38,14 @@ def test_ranges_never_overlap(spark, tmp_path):
     assert sum(n.endswith(".json") and n[0] == "0" for n in names) == 48
 
 
+def test_a_run_loaded_again_has_its_range(spark, tmp_path):
+    log = log_of(spark, tmp_path)
+    first = log.reserve("r", {"author": 5})
+    other = log.reserve("s", {"author": 5})
+    assert log_of(spark, tmp_path).reserve("r", {"author": 5}) == first and other["author"] == 6
+    assert log.reserve("r", {"author": 6})["author"] == 11  # other rows, other range
+
+
 def test_create_happens_once(spark, tmp_path):
     folder = runlog.Folder(spark, str(tmp_path / "x"))
     assert folder.read("a.json") is None and folder.last(lambda n: f"{n}.json") == 0
