@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import pandas as pd
@@ -74,10 +73,19 @@ def _with_inserts(costs: list[int]) -> tuple[int, ...]:
     return min(costs[0], INSERT + after_u), min(costs[1], INSERT + after_u), after_u, after_a
 
 
-@lru_cache(maxsize=1 << 16)
+#: Steps worked out before: costs less their least take few values. A plain dict, as it travels with the functions.
+_STEPS: dict[tuple[tuple[int, ...], int], tuple[int, ...]] = {}
+
+
 def _back(costs: tuple[int, ...], symbol: int) -> tuple[int, ...]:
     """Costs before a row from the costs after it."""
-    return _with_inserts([min(c + costs[to] for _, c, to in _options(s, symbol)) for s in range(4)])
+    found = _STEPS.get((costs, symbol))
+    if found is None:
+        if len(_STEPS) >= 1 << 16:
+            _STEPS.clear()
+        found = _with_inserts([min(c + costs[to] for _, c, to in _options(s, symbol)) for s in range(4)])
+        _STEPS[costs, symbol] = found
+    return found
 
 
 def normal(costs: tuple[int, ...]) -> tuple[int, ...]:
