@@ -11,16 +11,17 @@ group is what links connect.
    neighbours: always while the sets have up to 64 shingles (8 to 19: see 5 for
    long lists), else with a chance of a miss below 1e-18. Sets of four to nine shingles that may differ
    in one only are found by leaving out each shingle in turn.
-3. Stars: each class is compared with a few list heads (the class with the
-   smallest hash in a list, under several hashes). That is linear in the lists
+3. Stars: each class is compared with a few list heads (the classes of a list
+   whose hash is nearest to fixed numbers). That is linear in the lists
    and puts large families of near copies into few groups at once.
 4. What is left are pairs of stars that share a list but no group. Long lists
    are refined to three, then four neighbours instead of being paired.
    Pairs whose overlap count or union-sketch estimate (share of the union's
    64 smallest hashes that both have) rules out a link are dropped; the exact
    similarity on full sets decides. If two star centres miss the threshold,
-   members of the stars are compared as far as the triangle inequality of the
-   Jaccard distance allows a link.
+   each star's members are compared with the other centre, and then with each other as far
+   as the triangle inequality of the Jaccard distance allows a link, unless
+   the two stars are in one group by then.
 5. Sets of 8 to 19 shingles need not share a run of four, so a long list may
    miss them. They are indexed under their rarest n - ceil(0.8 n) + 1 shingles, of
    which two that are similar enough share one, and meet in all lists of any
@@ -60,8 +61,8 @@ OFTEN = 100_000
 #: shingles that are similar enough share at least n / 5 - 3 places with a run of four. Of pairs of larger sets with a
 #: similarity of 0.8, 3e-13 have less than this if their lists are short, 8e-6 if all of them are long.
 OVERLAP = 6
-#: Hashes under which lists have a head.
-HEADS = 3
+#: A list has a head for each: the class whose number differs from it in the lowest bits only.
+HEADS = (0, 0x2545F4914F6CDD1D, -0x61C8864680B583EB)
 #: Estimates below which 64 values rule out a similarity of 0.8, 0.6 and 0.4 (chance below one in ten million).
 LEAST = (0.5, 0.22, 0.06)
 BATCH = 256
@@ -335,30 +336,110 @@ def _short_pairs(classes: DataFrame, roots: DataFrame) -> DataFrame:
     return _estimated(pairs, classes)
 
 
+def _number() -> Column:
+    """A class as a long, for choosing heads."""
+    return F.xxhash64("f")
+
+
+def _member_links(
+    missed: DataFrame, stars: DataFrame, edges: DataFrame, roots: DataFrame, classes: DataFrame, similar
+) -> tuple[DataFrame, DataFrame]:
+    """``edges`` and ``roots`` with the links between members of stars whose centres are too far apart.
+
+    ``missed`` is ``a, b, gap``, pairs of centres; ``stars`` is ``f, star, far``; ``similar(pairs, name)`` gives exact
+    similarities. Members are compared with the other centre first, which takes as many pairs as the stars have members; then
+    with each other, if their distances to both centres allow a link and the stars are still in two groups.
+    """
+    most = (100 - PERCENT) / 100 + 1e-9
+    reach = stars.groupBy("star").agg(F.max("far").alias("reach"))
+    for side in ("a", "b"):
+        own = reach.select(F.col("star").alias(side), F.col("reach").alias(f"reach_{side}"))
+        missed = missed.join(own, side, "left").withColumn(f"reach_{side}", F.coalesce(f"reach_{side}", F.lit(0.0)))
+    missed = stage(missed, "missed-stars")
+
+    def members(side: str, other: str) -> DataFrame:
+        """Members of the star ``side`` that may be near enough to some member of ``other``."""
+        member = stars.where("f <> star").select(F.col("star").alias("s"), "f", "far")
+        may = F.col("far") + F.col(f"reach_{other}") + most >= F.col("gap")
+        return missed.join(member, (F.col("s") == F.col(side)) & may).select(
+            "a", "b", f"reach_{other}", "f", "far", F.col(other).alias("centre")
+        )
+
+    of_a, of_b = members("a", "b"), members("b", "a")
+    # A member within the other star's reach and a link's distance has a similarity of 0.6 or more.
+    probes = (
+        of_a.select("f", "centre").union(of_b.select("f", "centre"))
+        .select(F.least("f", "centre").alias("a"), F.greatest("f", "centre").alias("b"))
+        .distinct()
+        .withColumn("least", F.lit(LEAST[1]))
+    )
+    probes = stage(_estimated(probes, classes), "member-probes")
+    if probes.isEmpty():
+        return edges, roots
+    probed = similar(probes, "probes")
+    met = probed.where(_linked()).select("a", "b")
+    if not met.isEmpty():
+        edges = edges.union(met)
+        roots = components(edges)
+
+    gaps = probed.select("a", "b", (1 - F.col("shared") / F.col("together")).alias("away"))
+    gaps = gaps.select(F.col("a").alias("f"), F.col("b").alias("centre"), "away").union(
+        gaps.select(F.col("b").alias("f"), F.col("a").alias("centre"), "away")
+    )
+
+    def apart(rows: DataFrame, other: str, names: str) -> DataFrame:
+        f, far, away = (f"{name}{names}" for name in ("f", "far", "away"))
+        near = rows.join(gaps, ["f", "centre"]).where(F.col("away") <= most + F.col(f"reach_{other}"))
+        near = _apart(near.select("a", "b", F.col("f").alias(f), F.col("far").alias(far), F.col("away").alias(away)), roots)
+        return stage(near, "member-sides")
+
+    left, right = apart(of_a, "b", "_x").alias("l"), apart(of_b, "a", "_y").alias("r")
+    may = (F.col("away_x") <= F.col("far_y") + most) & (F.col("away_y") <= F.col("far_x") + most)
+    same = (F.col("l.a") == F.col("r.a")) & (F.col("l.b") == F.col("r.b"))
+    near = (
+        left.join(right, same & may)
+        .select(F.least("f_x", "f_y").alias("a"), F.greatest("f_x", "f_y").alias("b"))
+        .distinct()
+        .withColumn("least", F.lit(LEAST[0]))
+    )
+    near = stage(_estimated(near, classes), "members")
+    if near.isEmpty():
+        return edges, roots
+    met = similar(near, "members").where(_linked()).select("a", "b")
+    if met.isEmpty():
+        return edges, roots
+    edges = edges.union(met)
+    return edges, components(edges)
+
+
 def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """``f, root`` of all classes that are linked; ``rows`` is ``sketches`` staged."""
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = stage(known.select("f", "n", "sketch").dropDuplicates(["f"]), "classes")
     keyed = classes.where("n >= 8").select("f", "n", F.explode(_run_keys(2)).alias("at"))
-    keyed = keyed.select("at.key", "at.place", "f", "n")
+    keyed = keyed.select("at.key", "at.place", "f", "n", _number().alias("h"))
+    # Numbers, not the fingerprints themselves: only those are aggregated by hash. Two classes of
+    # one number are both compared.
+    names = [f"head{i}" for i in range(len(HEADS))]
     head = [
-        F.min(F.struct(F.xxhash64(F.lit(salt), "f"), F.col("f"))).getField("f").alias(f"head{salt}")
-        for salt in range(HEADS)
+        F.min(F.col("h").bitwiseXOR(F.lit(near))).bitwiseXOR(F.lit(near)).alias(name) for near, name in zip(HEADS, names)
     ]
     heads = keyed.groupBy("key").agg(F.count("*").alias("t"), *head).where("t > 1")
     lists = stage(keyed.join(heads, "key"), "lists")
     votes = (
-        lists.select("f", F.explode(F.array_distinct(F.array(*[f"head{s}" for s in range(HEADS)]))).alias("head"))
-        .where("f <> head")
+        lists.select("f", "h", F.explode(F.array_distinct(F.array(*names))).alias("head"))
+        .where("h <> head")
         .groupBy("f", "head")
         .agg(F.count("*").alias("votes"))
     )
     best = votes.groupBy("f").agg(
-        F.slice(F.reverse(F.sort_array(F.collect_list(F.struct("votes", "head")))), 1, HEADS).alias("best")
+        F.slice(F.reverse(F.sort_array(F.collect_list(F.struct("votes", "head")))), 1, len(HEADS)).alias("best")
     )
+    numbered = classes.where("n >= 8").select(F.col("f").alias("g"), _number().alias("head"))
     tried = (
-        best.select("f", F.explode("best").alias("one"))
-        .select(F.least("f", "one.head").alias("a"), F.greatest("f", "one.head").alias("b"))
+        best.select("f", F.explode("best.head").alias("head"))
+        .join(numbered, "head")
+        .select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"))
         .union(_small_pairs(classes))
         .distinct()
         .withColumn("least", F.lit(LEAST[0]))
@@ -405,29 +486,11 @@ def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
         roots = components(edges)
 
     # Centres that are too far apart: members may still be near enough.
-    reach = (100 - PERCENT) / 100
-    member = stars.select("f", "star", "far")
-    missed = _apart(second.where(~_linked()).withColumn("gap", 1 - F.col("shared") / F.col("together")), roots)
-    left = member.select(F.col("star").alias("a"), F.col("f").alias("x"), F.col("far").alias("fx"))
-    right = member.select(F.col("star").alias("b"), F.col("f").alias("y"), F.col("far").alias("fy"))
-    near = (
-        missed.join(left, "a", "left")
-        .join(right, "b", "left")
-        .withColumn("x", F.coalesce("x", "a"))
-        .withColumn("y", F.coalesce("y", "b"))
-        .where(F.coalesce("fx", F.lit(0.0)) + F.coalesce("fy", F.lit(0.0)) + reach + 1e-9 >= F.col("gap"))
-        .where("x <> a OR y <> b")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .withColumn("least", F.lit(LEAST[0]))
-    )
-    near = stage(_estimated(near, classes), "members")
-    if near.isEmpty():
-        return roots
-    third = _similar(near, rows, documents, width, "members").where(_linked())
-    if third.isEmpty():
-        return roots
-    return components(edges.union(third.select("a", "b")))
+    gap = (1 - F.col("shared") / F.col("together")).alias("gap")
+    missed = _apart(second.where(~_linked()).select("a", "b", gap), roots)
+    return _member_links(
+        missed, stars, edges, roots, classes, lambda pairs, name: _similar(pairs, rows, documents, width, name)
+    )[1]
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
