@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from citelake.llm.common import WordHashes, column_batches, mix64
+from citelake.llm.common import WordHashes, column_batches, mix64, small_batches
 
 MASKS = ("11010011", "1111001", "11100010111")
 LEAST_WORDS = 13
@@ -208,6 +208,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that overlap no item, with all their columns."""
     place = documents.columns.index("text")
+    small_batches(documents.sparkSession)
 
     def kept(held):
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citelake.llm.common import WordHashes, bounded, column_batches, mix64, ordered_pair
+from citelake.llm.common import WordHashes, bounded, column_batches, mix64, ordered_pair, small_batches
 from citelake.session import stage
 
 K = 64
@@ -499,6 +499,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     ``component_id`` is the smallest id of the group; a row without id has none
     and is kept. ``f`` is the fingerprint of the set.
     """
+    small_batches(documents.sparkSession)
     rows = stage(sketches(documents, width), "sketches")
     roots = links(documents, rows, width)
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))

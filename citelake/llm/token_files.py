@@ -26,18 +26,19 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from citelake.llm.common import bounded, column_batches
+from citelake.llm.common import bounded, column_batches, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Distinct pieces in a generation of those whose ids a process remembers.
-PIECES = 500_000
+#: Bytes in a generation of the pieces whose ids a process remembers, and of a piece besides its text and ids.
+CACHE_BYTES, PIECE_BYTES = 24 << 20, 200
 #: Documents encoded at once.
 BATCH = 512
 
@@ -84,20 +85,20 @@ def pieces_of(text: str) -> list[str]:
 class Encoder:
     """Texts to ids, the end id last, as little-endian 32-bit integers.
 
-    Pieces are remembered in two generations: when the younger is full it
+    Pieces are remembered in two generations: when the younger has ``most`` bytes it
     becomes the elder, whose pieces come back as they occur again. A new piece of
     letters and closing punctuation is put together from its two halves. New
     words with a blank before them are encoded many at once, one a line: the
     line feed between them is a token of its own.
     """
 
-    def __init__(self, vocabulary: str, end_id: int = END_ID, most: int = PIECES):
+    def __init__(self, vocabulary: str, end_id: int = END_ID, most: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.end = np.array([end_id], dtype="<u4").tobytes()
-        self.most = most
+        self.most, self.held = most, 0
         self.young: dict[str, bytes] = {}
         self.elder: dict[str, bytes] = {}
         self.line = self._ids(["\n"])[0]
@@ -128,9 +129,10 @@ class Encoder:
     def _meet(self, pieces: set[str]) -> None:
         """Have all these pieces in the younger generation."""
         new = pieces - self.young.keys()
-        if len(self.young) + 2 * len(new) > self.most:
-            self.elder, self.young, new = self.young, {}, pieces
+        if new and self.held > self.most:
+            self.elder, self.young, self.held, new = self.young, {}, 0, pieces
         young, elder = self.young, self.elder
+        before = len(young)
         halves, missing = [], set()
         for piece in new:
             ids = elder.get(piece)
@@ -153,6 +155,7 @@ class Encoder:
         young.update(self._encode_new(list(missing)))
         for piece, word, mark in halves:
             young[piece] = young[word] + young[mark]
+        self.held += sum(PIECE_BYTES + len(p) + len(ids) for p, ids in islice(young.items(), before, None))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [pieces_of(text) for text in texts]
@@ -174,6 +177,7 @@ def write_tokens(
 ) -> None:
     """Encode ``doc_id, text`` and write the files below ``path``, which must not exist."""
     vocabulary = vocabulary or tokenizer_path()
+    small_batches(documents.sparkSession)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, end_id)

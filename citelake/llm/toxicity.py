@@ -30,7 +30,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citelake.llm.common import column_batches
+from citelake.llm.common import column_batches, small_batches
 from citelake.session import stage
 
 #: Bound of the labelled rows used for fitting.
@@ -102,6 +102,7 @@ def text_features(text: str | None, lexicon: Lexicon) -> tuple[float, ...]:
 
 def with_features(documents: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``documents`` and ``FEATURES``, prefixed with an underscore."""
+    small_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(lexicon)
     source = documents.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text"))
     types = ", ".join(f"_{name} double" for name in FEATURES)
