@@ -10,8 +10,12 @@ Two physical forms, chosen by the measured size of the dictionary:
 * a large one is indexed by one anchor gram per name, the gram rarest among
   all names. The texts' grams meet the anchors in an equi-join, broadcast while
   the index is within its bound and shuffled beyond it, and each candidate is
-  then verified with ``contains``. In the shuffle an anchor that stands in very
+  then verified with ``contains``. Grams that no anchor can equal are sifted out
+  before the join, by a bit set of the anchors. In the shuffle an anchor that stands in very
   many texts is spread over as many keys as its measured frequency asks for.
+
+A large dictionary is first reduced to one row per name, the one with the least
+payload: a name that comes n times would bring n candidates per text.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from citelake.session import stage
 
@@ -32,6 +36,8 @@ BROADCAST_CHARS = 48_000_000
 SALT_ROWS = 100_000
 FREQUENT, TRACKED = 1000, 10_000
 PIECES = (8192, 128)
+#: Bits per name in the set of anchors, and the most words of 64 bits it may have (2 MB).
+SIEVE_BITS, SIEVE_WORDS = 64, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -44,6 +50,7 @@ class NameIndex:
     anchors: DataFrame | None = None  # large: hash of the gram, name, payload columns
     gram_lengths: tuple[int, ...] = ()
     broadcast: bool = True
+    sieve: DataFrame | None = None  # large: one row, the anchors' bits as an array of words
 
     @property
     def in_row(self) -> bool:
@@ -72,26 +79,71 @@ def build_index(
         ),
         "names",
     )
-    size = names.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars"),
-        F.collect_set(F.least(F.length("name"), F.lit(GRAM))).alias("lengths"),
-    ).first()
+    size = _size(names)
+    if size["n"] > in_row_names:
+        names = stage(_one_per_name(names, payload), "unique")
+        size = _size(names)
     if size["n"] <= in_row_names:
         # At most `in_row_names` rows reach the driver.
         rows = names.collect()
         entries = [row.asDict() for row in rows]
         entries.sort(key=lambda e: (-len(e["name"]), e["name"]))
         return NameIndex(payload, size["n"], entries=entries)
+    anchors = stage(_anchors(names, payload), "anchors")
     return NameIndex(
         payload,
         size["n"],
-        anchors=stage(_anchors(names, payload), "anchors"),
+        anchors=anchors,
         gram_lengths=tuple(sorted(size["lengths"])),
         broadcast=size["n"] <= broadcast_names and size["chars"] <= broadcast_chars,
+        sieve=stage(_sieve(anchors, size["n"]), "sieve"),
     )
 
 
+def _size(names: DataFrame) -> Row:
+    return names.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars"),
+        F.collect_set(F.least(F.length("name"), F.lit(GRAM))).alias("lengths"),
+    ).first()
+
+
+def _one_per_name(names: DataFrame, payload: tuple[str, ...]) -> DataFrame:
+    """Of entries with one name that with the least payload, as ``_best`` takes it."""
+    if not payload:
+        return names.distinct()
+    least = names.groupBy("name").agg(F.min(F.struct(*payload)).alias("_least"))
+    return least.select("name", *[F.col(f"_least.{c}").alias(c) for c in payload])
+
+
+def _sieve_word(gram: Column, words: Column | int) -> Column:
+    return gram.bitwiseAND(words - 1).cast("int")
+
+
+def _sieve_bit(gram: Column) -> Column:
+    return F.shiftrightunsigned(gram, 58).cast("int")
+
+
+def _sieve(anchors: DataFrame, names: int) -> DataFrame:
+    """One row: an array of words in which every anchor has set its bit."""
+    words = 64
+    while words < SIEVE_WORDS and words * 64 < names * SIEVE_BITS:
+        words *= 2
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _sieve_bit(F.col("gram")))
+    held = anchors.groupBy(_sieve_word(F.col("gram"), words).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    every = anchors.sparkSession.range(words).select(F.col("id").cast("int").alias("_word"))
+    pairs = every.join(held, "_word", "left").select(F.struct("_word", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits")).alias("p"))
+    return pairs.agg(F.array_sort(F.collect_list("p")).alias("p")).select(F.col("p._bits").alias("words"))
+
+
+def sifted(grams: DataFrame, index: NameIndex) -> DataFrame:
+    """The rows whose ``gram`` may be an anchor: all that are one, few others."""
+    words, gram = index.sieve.scalar(), F.col("gram")
+    word = F.get(words, _sieve_word(gram, F.size(words)))
+    bit = F.call_function("shiftrightunsigned", word, _sieve_bit(gram))
+    return grams.where(bit.bitwiseAND(F.lit(1).cast("bigint")) == 1)
+
+
 def _pieces(text: Column, size: int, overlap: int) -> Column:
     """``text`` in pieces of ``size`` characters, each with the next ``overlap`` added."""
     last = F.ceil(F.char_length(text) / size).cast("int") - 1
@@ -186,12 +238,15 @@ def _gram_hits(texts: DataFrame, ids: list[str], text: str, index: NameIndex) ->
     texts = texts.select(*ids, F.col(text).alias("_text"))
     # Hashes make a cheaper join key than strings; verification settles collisions.
     grams = _with_grams(texts, ids, index.gram_lengths).withColumn("gram", F.xxhash64("gram"))
+    grams = sifted(grams, index)
     if index.broadcast:
         return (
             grams.join(F.broadcast(index.anchors), "gram")
             .where(F.contains("_text", "name"))
             .select(*ids, *out)
         )
+    if text in ids:
+        return _candidates(grams, ids, index).where(F.contains(text, "name")).select(*ids, *out)
     # The texts themselves travel once, for the candidates' verification.
     return (
         _candidates(grams, ids, index).select(*ids, *out)

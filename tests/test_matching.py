@@ -92,3 +92,23 @@ def test_a_name_in_a_third_of_the_texts_is_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     best = M.best_hits(texts, ["id"], "text", index)
     assert best.where("name = 'Common'").count() == 33_334
+
+
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_repeated_names_bring_one_candidate_each(spark, broadcast):
+    """A dictionary in which every name comes 50 times has no more anchors than names, and the least payload counts."""
+    rows = [(f"Institute {i % 20}", f"C{i // 20:02d}") for i in range(1000)]
+    index = M.build_index(
+        spark.createDataFrame(rows, "name string, code string"), payload=["code"], in_row_names=0, broadcast_names=broadcast)
+    assert index.count == 20 and index.anchors.count() == 20
+    texts = spark.createDataFrame([(i, f"at Institute {i}") for i in range(30)], "id int, text string")
+    hits = M.best_hits(texts, ["id"], "text", index).collect()
+    assert len(hits) == 30 and {r.code for r in hits} == {"C00"}
+
+
+def test_sieve_keeps_every_anchor_and_few_other_grams(spark):
+    names = spark.range(500).select(F.concat(F.lit("Institute "), F.md5(F.col("id").cast("string"))).alias("name"))
+    index = M.build_index(names, in_row_names=0)
+    assert M.sifted(index.anchors.select("gram"), index).count() == 500
+    others = spark.range(20_000).select(F.xxhash64("id").alias("gram"))
+    assert M.sifted(others, index).count() < 1000
