@@ -172,8 +172,9 @@ def _with_grams(texts: DataFrame, ids: Sequence[str], lengths: Sequence[int]) ->
     starts = F.sequence(F.lit(1), F.least(F.char_length("_piece"), F.lit(small)))
     rows = (
         texts.where(F.col("_text") != "")
-        .select(*ids, "_text", F.explode(pieces).alias("_piece"))
-        .select(*ids, "_text", "_piece", F.explode(starts).alias("_start"))
+        # Nothing here is empty; an outer explode gets no inferred filter, which would work the array out again.
+        .select(*ids, "_text", F.explode_outer(pieces).alias("_piece"))
+        .select(*ids, "_text", "_piece", F.explode_outer(starts).alias("_start"))
     )
     if len(lengths) == 1:
         rows = rows.withColumn("_length", F.lit(lengths[0]))
@@ -313,7 +314,8 @@ def best_per_article(
     Only hits are shuffled, once, by ``ids`` or those of them that ``by`` names.
     """
     ids, out = list(ids), ["name", *index.payload]
-    each = texts.select(*ids, F.explode(array).alias("_each"))
+    # Outer, so that no inferred filter works the array out again; a row without texts finds nothing.
+    each = texts.select(*ids, F.explode_outer(array).alias("_each"))
     # The text is part of the id here: a row's texts are distinct.
     by_text = [*ids, "_each"]
     hits = (
