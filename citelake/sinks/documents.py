@@ -12,21 +12,26 @@ PER_FILE = 100_000
 
 
 def write_documents(documents: DataFrame, path: str, per_file: int = PER_FILE) -> None:
-    """``doc_id, json`` as lines ``{"doc_id": …, "article": {…}}``."""
+    """``doc_id, json`` as lines ``{"doc_id": …, "article": {…}}``; a column ``article`` that holds the same tree is written as it is."""
     (
-        documents.select("doc_id", F.try_parse_json("json").alias("article"))
+        documents.select("doc_id", _article(documents))
         .write.option("maxRecordsPerFile", per_file)
         .json(path)
     )
 
 
+def _article(documents: DataFrame) -> Column:
+    # A tree at hand need not go through text and a parser first.
+    return F.col("article") if "article" in documents.columns else F.try_parse_json("json").alias("article")
+
+
 def write_batches(documents: DataFrame, path: str) -> None:
     """As ``write_documents``, in a folder per value of ``batch``.
 
     A batch has a bounded number of documents, so it may be one task's work.
     """
     (
-        documents.select("batch", "doc_id", F.try_parse_json("json").alias("article"))
+        documents.select("batch", "doc_id", _article(documents))
         .repartition("batch")
         .write.partitionBy("batch")
         .json(path)
@@ -34,7 +39,7 @@ def write_batches(documents: DataFrame, path: str) -> None:
 
 
 def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, json`` and ``extra`` columns: each article's own ``tree`` with what enrichment found.
+    """``doc_id, json, article`` and ``extra`` columns: each article's own ``tree`` with what enrichment found, as text and as a variant.
 
     The three names of an affiliation are set, where they were found, and in a
     list of authors each leaves with an ``AffiliationInfo``, be it empty;
@@ -69,7 +74,7 @@ def enriched_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
             ),
         ),
     )
-    return articles.select("doc_id", F.to_json(new).alias("json"), *extra)
+    return articles.select("doc_id", F.to_json(new).alias("json"), new.alias("article"), *extra)
 
 
 def _value(c: Column, name: str) -> Column:
@@ -77,7 +82,7 @@ def _value(c: Column, name: str) -> Column:
 
 
 def article_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, json`` and ``extra`` columns: article rows in the nested shape of the citation XML.
+    """``doc_id, json, article`` and ``extra`` columns: article rows in the nested shape of the citation XML, as text and as a struct.
 
     Absent keys are left out; groups are always arrays.
     """
@@ -194,7 +199,7 @@ def article_json(articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
             ),
         ).alias("PubmedData"),
     )
-    return articles.select(*extra, "doc_id", F.to_json(tree).alias("json"))
+    return articles.select(*extra, "doc_id", F.to_json(tree).alias("json"), tree.alias("article"))
 
 
 def write_registry(registry: DataFrame, path: str) -> None:
