@@ -339,10 +339,10 @@ def write_article_citations(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_downloads(spark: SparkSession, sf_dir: str) -> str:
-    """The files of ``write_order_files``, all ``lineitem`` rows in one file, a file of no bytes; sidecars, of the damaged files wrong ones."""
+    """The files of ``write_order_files``, all ``lineitem`` rows in a file a partition, a file of no bytes; sidecars, of the damaged files wrong ones."""
     path = write_order_files(spark, sf_dir)
     lines = table(spark, sf_dir, "lineitem").select(F.to_json(F.struct("*")).alias("value"))
-    lines.coalesce(1).write.option("compression", "gzip").text(f"{path}/large")
+    lines.write.option("compression", "gzip").text(f"{path}/large")
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     found = read_checks(spark, path, "*.gz").select("path", "md5").collect()  # some dozens of files
