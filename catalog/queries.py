@@ -232,9 +232,9 @@ def two_loaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     counts = [
         tables.read_table(spark, out, name).agg(
-            F.count(F.lit(1)).alias("n"), F.countDistinct(number).alias("numbers"),
-            F.min(number).alias("first"), F.max(number).alias("last"),
-        ).select(F.lit(kind).alias("kind"), "*")
+            F.count(F.lit(1)).alias("n"), F.min(number).alias("first"), F.max(number).alias("last"),
+        ).crossJoin(keys.different_numbers(tables.read_table(spark, out, name), number))
+        .select(F.lit(kind).alias("kind"), "n", "numbers", "first", "last")
         for kind, (name, number) in kinds.items()
     ]
     return reduce(DataFrame.unionByName, counts)

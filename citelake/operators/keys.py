@@ -107,6 +107,18 @@ def dense_numbers(
     return numbered.withColumnRenamed("row_base", name)
 
 
+def different_numbers(df: DataFrame, number: str) -> DataFrame:
+    """One row, ``numbers``: how many different numbers there are, NULL not counted.
+
+    Numbers meet as bits, 4 KB for every 32,768 neighbouring ones: the dense numbers made here take an eighth of a byte
+    each, where a set of them takes some dozens.
+    """
+    c = F.col(number).cast("bigint")
+    held = df.where(c.isNotNull()).groupBy(F.bitmap_bucket_number(c).alias("_bucket"))
+    bits = held.agg(F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("_bits"))
+    return bits.agg(F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0)).alias("numbers"))
+
+
 def batch_numbers(
     df: DataFrame, keys: Sequence[str], size: int = 100_000, name: str = "batch"
 ) -> DataFrame:
