@@ -5,10 +5,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citelake.functions.text import jtrim
+from citelake.session import small_batches
 
 
 def expected_md5(checksum: Column) -> Column:
@@ -113,19 +114,20 @@ def _gzip_fault(data: bytes) -> str | None:
 def check_gzip(files: DataFrame) -> DataFrame:
     """``name, path, ok, reason`` for files given as ``name, path, content``."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    small_batches(files.sparkSession)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reason = batch["content"].map(_gzip_fault)
-            yield pd.DataFrame(
-                {
-                    "name": batch["name"],
-                    "path": batch["path"],
-                    "ok": reason.isna(),
-                    "reason": reason.astype(object).where(reason.notna(), None),
-                }
+            name, path, content = batch.columns
+            # Contents are looked at where the batch holds them, one after another.
+            reasons = [_gzip_fault(memoryview(c.as_buffer())) for c in content]
+            yield pa.RecordBatch.from_arrays(
+                [name, path, pa.array([r is None for r in reasons], pa.bool_()), pa.array(reasons, pa.string())],
+                names=["name", "path", "ok", "reason"],
             )
+        pa.default_memory_pool().release_unused()
 
-    return files.select("name", "path", "content").mapInPandas(
+    return files.select("name", "path", "content").mapInArrow(
         check, "name string, path string, ok boolean, reason string"
     )
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = 8 << 20
 _local_stage: dict[str, str] = {}
 
 
@@ -54,18 +55,31 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/citelake/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read of a table and later
     steps see one fixed set of rows, with column pruning on every re-read.
+    A row group is one task's work when it is read: with smaller ones, ``group_bytes``, few
+    tasks that write do not leave few that read.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From here on, the session's Arrow batches end at ``ARROW_BYTES``, unless they end before. A task holds
+    several, in the JVM and in each Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key).lower()
+    if not (held.removesuffix("b").isdigit() and int(held.removesuffix("b")) <= ARROW_BYTES):
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Redistribute a scan that comes in fewer partitions than there are cores.
 

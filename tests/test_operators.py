@@ -282,3 +282,21 @@ def test_hot_keys(spark):
     # Every 700..: only shorter names may match there.
     want = texts.where("id % 3 = 0 or id % 700 < 500").count()
     assert hits.where("id % 3 = 0 or id % 700 < 500").count() == want
+
+
+def test_different_numbers(spark):
+    """As a set would count them, over bucket borders, with repeats and nulls."""
+    values = [1, 1, 32768, 32769, 65536, 10**12, 10**12, None]
+    df = spark.createDataFrame([(v,) for v in values], "n bigint").repartition(3)
+    assert keys.different_numbers(df, "n").collect()[0].numbers == 5
+    assert keys.different_numbers(df.where("n < 0"), "n").collect()[0].numbers == 0
+    plan = keys.different_numbers(df, "n")._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[n#" not in plan  # no set of the numbers themselves
+
+
+def test_gzip_check_takes_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = [(str(i), str(i), gzip.compress(b"x" * i)[: None if i % 2 else -5]) for i in range(20)]
+    checked = integrity.check_gzip(spark.createDataFrame(rows, "name string, path string, content binary"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    assert {r.name: r.ok for r in checked.collect()} == {str(i): i % 2 == 1 for i in range(20)}
