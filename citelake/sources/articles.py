@@ -22,6 +22,8 @@ from citelake.session import stage
 RECORD_TAG = "PubmedArticle"
 #: Splits of files up to which their table is sent to the tasks.
 BROADCAST_SPLITS = 1_000_000
+#: Bytes of a row group of inflated records: one gzip file is written by one task and parsed by many.
+INFLATED_GROUP = 8 << 20
 
 
 # ---------------------------------------------------------------- XML records
@@ -40,6 +42,15 @@ def read_records(
     every opening one, so a lost closing tag costs its own record only: that comes without
     the tag and is malformed. A damaged gzip ends the job (see ``gzip_records``).
     """
+    # Mostly one opening tag lies before a closing one: that takes no pattern. The outer explode gets no inferred
+    # filter, which would cut every text again.
+    value, opening = F.col("value"), f"<{tag}"
+    at, whole = F.locate(opening, value), F.concat(value, F.lit(f"</{tag}>"))
+    single = (
+        (at > 0) & _opens(F.substr(value, at), tag) & ~F.contains(F.substr(value, at + 1), F.lit(opening))
+        & F.is_valid_utf8(value)
+    )
+    pieces = F.when(single, F.array(F.substr(whole, at))).otherwise(F.split(whole, rf"(?=<{tag}[\s>])"))
     lines = (
         spark.read.option("lineSep", f"</{tag}>")
         .option("recursiveFileLookup", "true")
@@ -47,27 +58,22 @@ def read_records(
         .format("text")
         .schema("value string")
         .load(path)
-        .where(F.col("value").rlike(rf"<{tag}[\s>]"))
         .select(
-            F.split("value", rf"(?=<{tag}[\s>])").alias("pieces"),
+            F.explode_outer(pieces).alias("record"),
             F.col("_metadata.file_path").alias("source_file"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("block"),
         )
-        .select("*", F.posexplode("pieces").alias("place", "piece"))
-        .where(F.col("piece").rlike(rf"\A<{tag}[\s>]"))
-        .select(
-            F.when(
-                F.col("place") == F.size("pieces") - 1, F.concat("piece", F.lit(f"</{tag}>"))
-            ).otherwise(F.col("piece")).alias("record"),
-            "source_file",
-            "file_name",
-            "block",
-        )
+        .where(_opens(F.col("record"), tag))
     )
     return with_sequence(lines)
 
 
+def _opens(text: Column, tag: str) -> Column:
+    """True when ``text`` begins with the opening tag."""
+    return text.startswith(f"<{tag}") & F.substring(text, len(tag) + 2, 1).isin(">", *" \t\n\x0b\f\r")
+
+
 def _cut(texts: Iterator[str], tag: str) -> Iterator[str]:
     """Records of a file that comes in pieces, cut as ``read_records`` cuts them. Holds one record and one piece."""
     closing, opening = f"</{tag}>", re.compile(rf"(?=<{tag}[\s>])")
@@ -98,7 +104,7 @@ def gzip_records(files: DataFrame, tag: str = RECORD_TAG) -> tuple[DataFrame, Da
             for name, path, content in zip(*batch.columns):
                 yield from _file_records(name.as_py(), path.as_py(), content.as_py() or b"", tag)
 
-    found = stage(files.select("name", "path", "content").mapInArrow(read, schema), "inflated")
+    found = stage(files.select("name", "path", "content").mapInArrow(read, schema), "inflated", INFLATED_GROUP)
     damaged = found.where("fault IS NOT NULL")
     records = found.where("record IS NOT NULL").drop("fault")
     if damaged.isEmpty():
@@ -145,7 +151,8 @@ def with_sequence(records: DataFrame) -> DataFrame:
 
 def file_base(name: Column) -> Column:
     """File name without ``.gz`` and ``.xml``."""
-    return F.replace(F.regexp_replace(name, r"\.gz$", ""), F.lit(".xml"), F.lit(""))
+    base = F.when(name.contains(".gz"), F.regexp_replace(name, r"\.gz$", "")).otherwise(name)
+    return F.replace(base, F.lit(".xml"), F.lit(""))
 
 
 def with_doc_ids(records: DataFrame) -> DataFrame:

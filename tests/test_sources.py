@@ -1,8 +1,12 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
-from citelake.sources import articles as A
+from catalog import citations
+from citelake import schemas
+from citelake.sinks import documents
+from citelake.sources import articles as A, files
 from citelake.sources.vocabulary import read_descriptors
 from tests import samples as S
 
@@ -161,3 +165,54 @@ def test_positions_do_not_move_the_records(spark, put, tmp_path, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_records_are_cut_at_every_opening_tag_with_or_without_patterns(spark, put):
+    """One opening tag before a closing one, none, several, and names that only begin like the tag."""
+    texts = [
+        "<Rec>a</Rec>", "\n<Rec n='1'>b</Rec>", "<RecSet><Rec>c</Rec>", "<Rec>lost<Rec\t>d</Rec>", "<Record>no</Record><Rec>é</Rec>", "x</Rec>",
+        "<Rec><RecName>e</RecName></Rec>", "<Recs>",
+    ]
+    path = put("r.xml", "".join(texts))
+    found = [r.record for r in A.read_records(spark, path, "Rec").orderBy("seq").collect()]
+    assert found == [
+        "<Rec>a</Rec>", "<Rec n='1'>b</Rec>", "<Rec>c</Rec>", "<Rec>lost", "<Rec\t>d</Rec>", "<Rec>é</Rec>",
+        "<Rec><RecName>e</RecName></Rec>",
+    ]
+
+
+def test_inflated_records_of_one_file_are_read_by_many_tasks(spark, put, tmp_path):
+    """One gzip file is inflated by one task; what it holds is parsed by several."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(4000)]
+    records = "".join(f"<PubmedArticle><PMID>{i}</PMID>{' '.join(rng.choices(words, k=600))}</PubmedArticle>" for i in range(8000))
+    put("one.xml.gz", records)
+    rows, _ = A.gzip_records(files.read_binary(spark, str(tmp_path)))
+    per_task = [len(r) for r in rows.select("seq").rdd.glom().collect()]
+    assert sum(per_task) == 8000 and sum(n > 0 for n in per_task) > 1
+
+
+def test_documents_are_written_from_the_tree_at_hand(spark, tmp_path):
+    """``article_json`` and ``enriched_json`` need no parsing of their own text before it is written."""
+    both = spark.createDataFrame([("d", '{"a":{"b":["1",null]},"c":{}}')], "doc_id string, json string")
+    tree = both.withColumn("article", F.parse_json("json"))
+    for name, df in {"text": both, "tree": tree}.items():
+        documents.write_documents(df, str(tmp_path / name))
+    text, tree = (sorted(r.value for r in spark.read.text(str(tmp_path / n)).collect()) for n in ("text", "tree"))
+    assert text == tree
+    assert "article" in documents.article_json(spark.createDataFrame([], schemas.ARTICLE)).columns
+
+
+def test_downloads_have_a_file_a_partition(spark):
+    """The rows of the large folder are hashed, inflated and read by many tasks, not by one."""
+    path = citations.write_downloads(spark, "/root/testdata/sf0.001")
+    large = files.read_checks(spark, path, "*.gz").where("path LIKE '%/large/%'")
+    assert large.count() > 1 and large.where("fault IS NOT NULL").isEmpty()
+    rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert spark.read.text(f"{path}/large").count() == rows
+
+
+def test_a_text_is_cut_once(spark, put):
+    """No filter inferred for the explode cuts every text again."""
+    plan = A.read_records(spark, put("r.xml", "<PubmedArticle>a</PubmedArticle>"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
