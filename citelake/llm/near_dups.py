@@ -12,10 +12,13 @@ group is what links connect.
    long lists), else with a chance of a miss below 1e-18. Sets of four to nine shingles that may differ
    in one only are found by leaving out each shingle in turn.
 3. Stars: each class is compared with a few list heads (the classes of a list
-   whose hash is nearest to fixed numbers). That is linear in the lists
+   whose hash is nearest to fixed numbers, and of a long list the one that is in most
+   long lists: the copy with the fewest edits). That is linear in the lists
    and puts large families of near copies into few groups at once.
 4. What is left are pairs of stars that share a list but no group. Long lists
-   are refined to three, then four neighbours instead of being paired.
+   are refined to three, then four neighbours instead of being paired. Classes in lists
+   that are still long form the crowd, where texts may be alike to 50 or 70 % by the
+   thousand: among each other they meet by step 6 only.
    Pairs whose overlap count or union-sketch estimate (share of the union's
    64 smallest hashes that both have) rules out a link are dropped; the exact
    similarity on full sets decides. If two star centres miss the threshold,
@@ -27,6 +30,10 @@ group is what links connect.
    which two that are similar enough share one, and meet in all lists of any
    length, unless they are in one group already or the places of the shingle in
    the two sets rule a link out.
+6. The crowd is indexed in the same way, by full sets of any size, so all links in it
+   between two groups are found. What is common to many stands last in the order: a
+   text with more than a ninth of its own behind which only common shingles follow
+   is a candidate of none that is as large.
 
 Documents without words, and rows without id, are linked with nothing. A
 document with fewer words than ``width`` has its whole word sequence as one
@@ -55,7 +62,9 @@ LONG = 64
 RUNS = (2, 3, 4)
 #: Sizes of sets that are paired exactly by their rarest shingles: a union of less than 20 need not share a run of four.
 SHORT = (8, 19)
-#: Frequent shingles up to which they are broadcast.
+#: Heads of long lists that a class is compared with, besides the others.
+TYPICAL = 2
+#: Frequent shingles, or classes of the crowd, up to which they are broadcast.
 OFTEN = 100_000
 #: Overlap count that a candidate needs: a shared run of 2, 3, 4 neighbours counts 1, 2, 3. Sets of up to 64
 #: shingles that are similar enough share at least n / 5 - 3 places with a run of four. Of pairs of larger sets with a
@@ -156,13 +165,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.mapInArrow(keep, "a binary, b binary")
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, documents: DataFrame, width: int, name: str) -> DataFrame:
-    """``a, b, shared, together`` on full sets of the pairs (``a, b``), staged.
-
-    Sets are made again from the texts of the classes that occur in pairs. A
-    link means 100 * shared >= 80 * together.
-    """
-    needed = pairs.select(F.col("a").alias("f")).union(pairs.select("b")).distinct()
+def _full_sets(needed: DataFrame, rows: DataFrame, documents: DataFrame, width: int, name: str) -> DataFrame:
+    """``f, items``: the full sets of the classes ``needed`` (``f``, distinct), made again from texts, staged."""
     held = rows.join(needed, "f").groupBy("f").agg(F.min("doc_id").alias("doc_id"))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +184,17 @@ def _similar(pairs: DataFrame, rows: DataFrame, documents: DataFrame, width: int
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = texts.join(held, "doc_id").select("f", "text").mapInArrow(full, "f binary, items binary")
-    sets = stage(sets.dropDuplicates(["f"]), f"sets-{name}")
+    return stage(sets.dropDuplicates(["f"]), f"sets-{name}")
+
+
+def _similar(pairs: DataFrame, rows: DataFrame, documents: DataFrame, width: int, name: str) -> DataFrame:
+    """``a, b, shared, together`` on full sets of the pairs (``a, b``), staged.
+
+    Sets are made again from the texts of the classes that occur in pairs. A
+    link means 100 * shared >= 80 * together.
+    """
+    needed = pairs.select(F.col("a").alias("f")).union(pairs.select("b")).distinct()
+    sets = _full_sets(needed, rows, documents, width, name)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in column_batches(batches, BATCH):
@@ -245,33 +259,48 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.where("ra <> rb").drop("ra", "rb")
 
 
-def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> DataFrame:
-    """``a, b, least``: stars that share lists, long lists refined. ``stars``: ``f, star``.
+def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``a, b, least``: stars that share lists, long lists refined; and ``f``: the crowd, classes in lists long to the last.
 
-    ``lists`` has ``key, f, n, place``; the pairs are counted over all lists.
+    ``lists`` has ``key, f, n, place``, ``stars`` has ``f, star``; the pairs are counted over all lists. Two stars
+    are no pair by a list that holds members of the crowd only of both.
     """
-    found = []
     wide = stars.select(F.col("star").alias("s")).distinct().withColumn("wide", F.lit(True))
+    held = []
     for run in RUNS:
-        held = (
-            lists.join(stars, "f", "left")
-            .withColumn("s", F.coalesce("star", "f"))
+        starred = lists.join(stars, "f", "left").select("key", "f", "n", "place", F.coalesce("star", "f").alias("s"))
+        starred = stage(starred, f"lists-{run}")
+        counts = starred.select("key", "s").distinct().groupBy("key").agg(F.count("*").alias("t")).where("t > 1")
+        counts = stage(counts, f"counts-{run}")
+        held.append((run, starred, counts))
+        long = starred.join(counts.where(F.col("t") > LONG), "key", "left_semi")
+        if run == RUNS[-1]:
+            crowd = stage(long.select("f").distinct(), "crowd")
+            break
+        again = long.select("f", "place").distinct()
+        longer = classes.where(F.size("sketch") > run).select(
+            "f", "n", F.explode(_run_keys(run + 1)).alias("at")
+        ).select("f", "n", "at.place", "at.key")
+        lists = stage(longer.join(again, ["f", "place"]).select("key", "f", "n", "place"), f"runs-{run + 1}")
+    known = bounded(crowd.withColumn("known", F.lit(True)), OFTEN)
+    found = []
+    for run, starred, counts in held:
+        short = (
+            starred.join(counts.where(F.col("t") <= LONG), "key", "left_semi")
+            .join(known, "f", "left")
             .groupBy("key", "s")
-            .agg(F.min("n").alias("low"), F.max("n").alias("high"))
+            .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("m"), F.count("known").alias("k"))
             .join(wide, "s", "left")
-            .withColumn("wide", F.coalesce("wide", F.lit(False)))
+            .select("key", "s", "low", "high", (F.col("m") == F.col("k")).alias("inner"), F.coalesce("wide", F.lit(False)).alias("wide"))
         )
-        held = stage(held, f"lists-{run}")
-        counts = held.groupBy("key").agg(F.count("*").alias("t")).where("t > 1")
-        last = run == RUNS[-1]
-        short = held.join(counts if last else counts.where(F.col("t") <= LONG), "key").drop("t")
-        other = short.select("key", *[F.col(c).alias(f"_{c}") for c in ("s", "low", "high", "wide")])
+        short = stage(short, f"short-{run}")
+        other = short.select("key", *[F.col(c).alias(f"_{c}") for c in ("s", "low", "high", "inner", "wide")])
         near = (F.col("low") * 100 <= F.col("_high") * (10000 / PERCENT)) & (
             F.col("_low") * 100 <= F.col("high") * (10000 / PERCENT)
         )
         found.append(
             short.join(other, "key")
-            .where((F.col("s") < F.col("_s")) & (near | F.col("wide") | F.col("_wide")))
+            .where((F.col("s") < F.col("_s")) & ~(F.col("inner") & F.col("_inner")) & (near | F.col("wide") | F.col("_wide")))
             .select(
                 F.col("s").alias("a"),
                 F.col("_s").alias("b"),
@@ -280,40 +309,100 @@ def _star_pairs(lists: DataFrame, classes: DataFrame, stars: DataFrame) -> DataF
                 (F.col("wide").cast("int") + F.col("_wide").cast("int")).alias("wide"),
             )
         )
-        if last:
-            break
-        long = counts.where(F.col("t") > LONG).select("key")
-        again = lists.join(long, "key").select("f", "place").distinct()
-        longer = classes.where(F.size("sketch") > run).select(
-            "f", "n", F.explode(_run_keys(run + 1)).alias("at")
-        ).select("f", "n", "at.place", "at.key")
-        lists = stage(longer.join(again, ["f", "place"]).select("key", "f", "n", "place"), f"runs-{run + 1}")
     least = F.element_at(F.array(*[F.lit(x) for x in LEAST]), F.col("wide") + 1)
-    return (
+    pairs = (
         reduce(DataFrame.union, found)
         .groupBy("a", "b")
         .agg(F.sum("votes").alias("votes"), F.min("n").alias("n"), F.max("wide").alias("wide"))
         .where(F.col("votes") >= F.least(F.lit(OVERLAP), F.greatest(F.lit(1), F.floor(F.col("n") / 5) - 3)))
         .select("a", "b", least.alias("least"))
     )
+    return pairs, crowd
 
 
-def _short_pairs(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``a, b``: all links between groups whose sets have ``SHORT`` sizes, by prefixes in order of frequency."""
-    least, most = SHORT
-    short = classes.where(F.col("n").between(least, most))
-    items = short.select("f", "n", F.explode("sketch").alias("item"))
-    often = stage(items.groupBy("item").agg(F.count("*").alias("t")).where(F.col("t") > LONG), "often-items")
+def _prefixes(sets: DataFrame, roots: DataFrame, often: int, name: str) -> DataFrame:
+    """``f, n, item, p, root``: the sets (``f, n, items``) under their rarest shingles at places ``p``, where groups meet.
+
+    Two sets that are similar enough share one of their n - ceil(0.8 n) + 1 rarest. Those in up to ``often`` sets
+    count as equally rare.
+    """
+    items = sets.select("f", "n", F.explode("items").alias("item"))
+    counts = stage(items.groupBy("item").agg(F.count("*").alias("t")).where(F.col("t") > often), f"often-{name}")
     ordered = (
-        items.join(bounded(often, OFTEN), "item", "left")
+        items.join(bounded(counts, OFTEN), "item", "left")
         .groupBy("f", "n")
         .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("t", F.lit(0)).alias("t"), "item"))).alias("items"))
     )
     size = (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")
     prefixes = ordered.select("f", "n", F.posexplode(F.slice("items", F.lit(1), size)).alias("p", "one"))
-    entries = stage(_with_root(prefixes.select("f", "n", "p", "one.item"), roots, "f", "root"), "prefixes")
+    return _mixed(prefixes.select("f", "n", "p", "one.item"), roots, name)
+
+
+def _mixed(entries: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """``entries`` with ``root``, of the items under which classes of several groups stand."""
+    entries = stage(_with_root(entries, roots, "f", "root"), f"prefixes-{name}")
     mixed = entries.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    entries = stage(entries.join(mixed.select("item"), "item", "left_semi"), "mixed-prefixes")
+    return stage(entries.join(mixed.select("item"), "item", "left_semi"), f"mixed-{name}")
+
+
+def _crowd_links(
+    crowd: DataFrame, edges: DataFrame, roots: DataFrame, rows: DataFrame, documents: DataFrame, width: int, similar
+) -> tuple[DataFrame, DataFrame]:
+    """``edges`` and ``roots`` with all links between groups in the ``crowd`` (``f``), by prefixes of full sets.
+
+    Short lists come first: a class that is linked with many of a family shares its rare shingles with some of
+    them, so that it is in their group before it could meet all of them.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in column_batches(batches, BATCH):
+            sets = [np.frombuffer(one.as_buffer(), dtype=np.int64) for one in batch.column(1)]
+            offsets = np.concatenate([[0], np.cumsum([len(one) for one in sets])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
+            sizes = pa.array([len(one) for one in sets], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, lists], names=["f", "n", "items"])
+
+    sets = _full_sets(crowd, rows, documents, width, "crowd")
+    entries = _prefixes(sets.mapInArrow(unpack, "f binary, n long, items array<long>"), roots, 1, "crowd")
+    lists = entries.groupBy("item").agg(F.count("*").alias("t")).where(F.col("t") <= LONG)
+    pairs = _crowd_pairs(entries.join(lists, "item", "left_semi"))
+    for last in (False, True):
+        if last:
+            pairs = _crowd_pairs(_mixed(entries.drop("root"), roots, "crowd-last"))
+        met = similar(pairs, "crowd")
+        if met is not None:
+            edges = edges.union(met)
+            roots = components(edges)
+    return edges, roots
+
+
+def _crowd_pairs(entries: DataFrame) -> DataFrame:
+    """``a, b, least``: classes of two groups under one item, unless their places leave too little room for a link."""
+    # Room for common shingles from the first common one on: s of a union of n + m - s.
+    share, whole = 100 + PERCENT, PERCENT
+    smaller = entries.where((F.col("n") - F.col("p")) * share >= whole * 2 * F.col("n"))
+    lows = smaller.groupBy("item").agg(F.min("n").alias("low"))
+    larger = (
+        entries.join(lows, "item")
+        .where((F.col("n") - F.col("p")) * share >= whole * (F.col("n") + F.col("low")))
+        .select("item", *[F.col(c).alias(d) for c, d in (("f", "g"), ("n", "m"), ("p", "q"), ("root", "other"))])
+    )
+    room = F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q")) * share >= whole * (F.col("n") + F.col("m"))
+    return (
+        smaller.join(larger, "item")
+        .where("root <> other AND (n < m OR n = m AND f < g)")
+        .where(room)
+        .select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"))
+        .distinct()
+        .withColumn("least", F.lit(LEAST[0]))
+    )
+
+
+def _short_pairs(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a, b``: all links between groups whose sets have ``SHORT`` sizes, by prefixes in order of frequency."""
+    least, most = SHORT
+    short = classes.where(F.col("n").between(least, most))
+    entries = _prefixes(short.select("f", "n", F.col("sketch").alias("items")), roots, LONG, "short")
     # The first common shingle leaves room for enough common ones behind it.
     places = [(n, p) for n in range(least, most + 1) for p in range(n + (-n * PERCENT // 100) + 1)]
     fits = [
@@ -426,18 +515,29 @@ def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     ]
     heads = keyed.groupBy("key").agg(F.count("*").alias("t"), *head).where("t > 1")
     lists = stage(keyed.join(heads, "key"), "lists")
+    # A class in most long lists of its list is nearest to what a family has in common, and links most of it.
+    long = lists.where(F.col("t") > LONG).select("key", "f", "h")
+    rank = F.shiftleft(F.col("long"), 40) + F.col("h").bitwiseAND(F.lit((1 << 40) - 1))
+    typical = (
+        long.join(long.groupBy("f").agg(F.count("*").alias("long")), "f")
+        .groupBy("key").agg(F.max_by("h", rank).alias("head"))
+    )
     votes = (
         lists.select("f", "h", F.explode(F.array_distinct(F.array(*names))).alias("head"))
         .where("h <> head")
         .groupBy("f", "head")
         .agg(F.count("*").alias("votes"))
     )
-    best = votes.groupBy("f").agg(
-        F.slice(F.reverse(F.sort_array(F.collect_list(F.struct("votes", "head")))), 1, len(HEADS)).alias("best")
-    )
+    by_type = long.join(typical, "key").where("h <> head").groupBy("f", "head").agg(F.count("*").alias("votes"))
+
+    def best(votes: DataFrame, most: int) -> DataFrame:
+        ordered = F.reverse(F.sort_array(F.collect_list(F.struct("votes", "head"))))
+        held = votes.groupBy("f").agg(F.slice(ordered, 1, most).alias("best"))
+        return held.select("f", F.explode("best.head").alias("head"))
+
     numbered = classes.where("n >= 8").select(F.col("f").alias("g"), _number().alias("head"))
     tried = (
-        best.select("f", F.explode("best.head").alias("head"))
+        best(votes, len(HEADS)).union(best(by_type, TYPICAL))
         .join(numbered, "head")
         .select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"))
         .union(_small_pairs(classes))
@@ -475,7 +575,7 @@ def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     )
     stars = stage(stars.select("f", "star", "far").distinct(), "stars")
 
-    pairs = _star_pairs(lists.select("key", "f", "n", "place"), classes, stars.select("f", "star"))
+    pairs, crowd = _star_pairs(lists.select("key", "f", "n", "place"), classes, stars.select("f", "star"))
     pairs = stage(_estimated(stage(_apart(pairs, roots), "apart"), classes), "star-pairs")
     second = _similar(pairs, rows, documents, width, "stars")
     edges = met.select("a", "b").union(second.where(_linked()).select("a", "b"))
@@ -485,6 +585,18 @@ def links(documents: DataFrame, rows: DataFrame, width: int) -> DataFrame:
         edges = edges.union(short)
         roots = components(edges)
 
+    if not crowd.isEmpty():
+
+        def similar(pairs: DataFrame, name: str) -> DataFrame | None:
+            """The links among ``pairs``; None if there are none."""
+            pairs = stage(_estimated(pairs, classes), f"{name}-pairs")
+            if pairs.isEmpty():
+                return None
+            met = _similar(pairs, rows, documents, width, f"{name}-pairs").where(_linked()).select("a", "b")
+            return None if met.isEmpty() else met
+
+        edges, roots = _crowd_links(crowd, edges, roots, rows, documents, width, similar)
+
     # Centres that are too far apart: members may still be near enough.
     gap = (1 - F.col("shared") / F.col("together")).alias("gap")
     missed = _apart(second.where(~_linked()).select("a", "b", gap), roots)

@@ -134,3 +134,37 @@ def test_short_template_in_long_lists(spark):
     got = {r.doc_id: r.component_id for r in near_duplicates(docs, width=1).collect()}
     assert {got[i] for i in range(300)} == {0}
     assert {got[1000 + i] for i in range(200)} == {1000}
+
+
+def half_alike(seed, passage, own, edits):
+    """Texts around one passage, most of them alike to 50 to 80 %, and copies of one text with some words exchanged."""
+    rng = random.Random(seed)
+    common, base = ([f"{c}{i}" for i in range(n)] for c, n in (("p", passage), ("b", passage + own)))
+    rows = [" ".join([*common, *(f"o{k}x{i}" for i in range(rng.randint(own // 3, own)))]) for k in range(150)]
+    for k in range(150):
+        copy = list(base)
+        for at in rng.sample(range(len(base)), rng.randint(0, edits)):
+            copy[at] = f"e{k}x{at}"
+        rows.append(" ".join(copy))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed,passage,own,edits,width", [(6, 90, 60, 11, 2), (7, 100, 70, 5, 5)])
+def test_half_alike_texts_are_no_candidates(spark, monkeypatch, seed, passage, own, edits, width):
+    """Results as by brute force, from far fewer exact comparisons than the group has pairs."""
+    import citelake.llm.near_dups as module
+
+    compared = []
+    plain = module._similar
+
+    def similar(pairs, *more):
+        out = plain(pairs, *more)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "_similar", similar)
+    monkeypatch.setattr(module, "LONG", 16)
+    rows = half_alike(seed, passage, own, edits)
+    check(near_duplicates(documents(spark, [(i, t, "s") for i, t in rows]), width).collect(), rows, width)
+    assert sum(compared) < 20 * len(rows)
