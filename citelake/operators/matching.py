@@ -8,7 +8,7 @@ Two physical forms, chosen by the measured size of the dictionary:
 * a small one becomes a constant array and is tested inside the row, without
   any join or shuffle;
 * a large one is indexed by one anchor gram per name, the gram rarest among
-  all names. The texts' grams meet the anchors in an equi-join, broadcast while
+  all names, longer for long names. The texts' grams meet the anchors in an equi-join, broadcast while
   the index is within its bound and shuffled beyond it, and each candidate is
   then verified with ``contains``. Grams that no anchor can equal are sifted out
   before the join, by a bit set of the anchors. In the shuffle an anchor that stands in very
@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from citelake.session import stage
 
 GRAM = 6
+#: Names that are long enough have longer grams: few texts hold one by chance.
+LONG_GRAM = 12
 IN_ROW_NAMES = 300
 BROADCAST_NAMES = 1_000_000
 BROADCAST_CHARS = 48_000_000
@@ -104,10 +106,14 @@ def _size(names: DataFrame) -> Row:
     return names.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars"),
-        F.collect_set(F.least(F.length("name"), F.lit(GRAM))).alias("lengths"),
+        F.collect_set(_gram_length(F.length("name"))).alias("lengths"),
     ).first()
 
 
+def _gram_length(name_length: Column) -> Column:
+    return F.when(name_length >= LONG_GRAM, LONG_GRAM).otherwise(F.least(name_length, F.lit(GRAM)))
+
+
 def _one_per_name(names: DataFrame, payload: tuple[str, ...]) -> DataFrame:
     """Of entries with one name that with the least payload, as ``_best`` takes it."""
     if not payload:
@@ -120,17 +126,20 @@ def _sieve_word(gram: Column, words: Column | int) -> Column:
     return gram.bitwiseAND(words - 1).cast("int")
 
 
-def _sieve_bit(gram: Column) -> Column:
-    return F.shiftrightunsigned(gram, 58).cast("int")
+def _sieve_bits(gram: Column) -> list[Column]:
+    """The two bits of a word: a gram that is no anchor seldom finds both set."""
+    return [F.shiftrightunsigned(gram, by).bitwiseAND(63).cast("int") for by in (58, 52)]
 
 
 def _sieve(anchors: DataFrame, names: int) -> DataFrame:
-    """One row: an array of words in which every anchor has set its bit."""
+    """One row: an array of words in which every anchor has set its bits."""
     words = 64
     while words < SIEVE_WORDS and words * 64 < names * SIEVE_BITS:
         words *= 2
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _sieve_bit(F.col("gram")))
-    held = anchors.groupBy(_sieve_word(F.col("gram"), words).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    one = F.lit(1).cast("bigint")
+    first, second = [F.call_function("shiftleft", one, bit) for bit in _sieve_bits(F.col("gram"))]
+    bits = first.bitwiseOR(second)
+    held = anchors.groupBy(_sieve_word(F.col("gram"), words).alias("_word")).agg(F.bit_or(bits).alias("_bits"))
     every = anchors.sparkSession.range(words).select(F.col("id").cast("int").alias("_word"))
     pairs = every.join(held, "_word", "left").select(F.struct("_word", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits")).alias("p"))
     return pairs.agg(F.array_sort(F.collect_list("p")).alias("p")).select(F.col("p._bits").alias("words"))
@@ -140,8 +149,9 @@ def sifted(grams: DataFrame, index: NameIndex) -> DataFrame:
     """The rows whose ``gram`` may be an anchor: all that are one, few others."""
     words, gram = index.sieve.scalar(), F.col("gram")
     word = F.get(words, _sieve_word(gram, F.size(words)))
-    bit = F.call_function("shiftrightunsigned", word, _sieve_bit(gram))
-    return grams.where(bit.bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    for bit in _sieve_bits(gram):  # the second is looked at for the few that pass the first
+        grams = grams.where(F.call_function("shiftrightunsigned", word, bit).bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    return grams
 
 
 def _pieces(text: Column, size: int, overlap: int) -> Column:
@@ -154,7 +164,7 @@ def _pieces(text: Column, size: int, overlap: int) -> Column:
 
 
 def _with_grams(texts: DataFrame, ids: Sequence[str], lengths: Sequence[int]) -> DataFrame:
-    """``ids, _text, gram``: every substring of the given lengths, by its start.
+    """``ids, _text, _length, gram``: every substring of the given lengths, by its start.
 
     Positions are exploded and cut out in generated code. Texts go in pieces
     first, as finding a position counts characters from the start; pieces
@@ -181,15 +191,16 @@ def _with_grams(texts: DataFrame, ids: Sequence[str], lengths: Sequence[int]) ->
     else:
         rows = rows.withColumn("_length", F.explode(F.lit(list(lengths))))
     gram = F.substring(F.col("_piece"), F.col("_start"), F.col("_length"))
-    return rows.select(*ids, "_text", gram.alias("gram"))
+    return rows.select(*ids, "_text", "_length", gram.alias("gram"))
 
 
 def _anchors(names: DataFrame, payload: tuple[str, ...]) -> DataFrame:
     """One gram per name; a name shorter than a gram is its own anchor."""
-    long_names = names.where(F.length("name") > GRAM)
+    long_names = names.where(F.length("name") > GRAM).select("name", F.col("name").alias("_text"))
+    size = _gram_length(F.length("name"))
     grams = (
-        _with_grams(long_names.select("name", F.col("name").alias("_text")), ["name"], [GRAM])
-        .where(F.char_length("gram") == GRAM)
+        _with_grams(long_names, ["name"], [GRAM, LONG_GRAM])
+        .where((F.char_length("gram") == size) & (F.col("_length") == size))
         .select("name", "gram")
         .distinct()
     )
@@ -248,10 +259,9 @@ def _gram_hits(texts: DataFrame, ids: list[str], text: str, index: NameIndex) ->
         )
     if text in ids:
         return _candidates(grams, ids, index).where(F.contains(text, "name")).select(*ids, *out)
-    # The texts themselves travel once, for the candidates' verification.
+    # The texts themselves travel once, for the candidates' verification, and the candidates once, to them.
     return (
         _candidates(grams, ids, index).select(*ids, *out)
-        .dropDuplicates([*ids, "name"])
         .join(texts, ids)
         .where(F.contains("_text", "name"))
         .select(*ids, *out)

@@ -112,3 +112,30 @@ def test_sieve_keeps_every_anchor_and_few_other_grams(spark):
     assert M.sifted(index.anchors.select("gram"), index).count() == 500
     others = spark.range(20_000).select(F.xxhash64("id").alias("gram"))
     assert M.sifted(others, index).count() < 1000
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_names": 0}])
+def test_long_names_bring_few_false_candidates(spark, limits):
+    # All names share their short grams with ten others; a text holds one name.
+    names = spark.range(3000).select(F.format_string("Institute#%09d", "id").alias("name"))
+    index = M.build_index(names, **limits)
+    texts = spark.range(3000).select("id", F.format_string("Dept, Institute#%09d, Elsewhere", "id").alias("_text"))
+    grams = M._with_grams(texts, ["id"], index.gram_lengths).withColumn("gram", F.xxhash64("gram"))
+    met = M.sifted(grams, index).join(index.anchors, "gram")
+    assert 3000 <= met.count() < 3300
+    hits = M.best_hits(texts, ["id"], "_text", index)
+    assert hits.where(F.col("name") == F.format_string("Institute#%09d", "id")).count() == hits.count() == 3000
+
+
+def test_candidates_of_texts_travel_once(spark):
+    names = spark.range(3000).select(F.format_string("Institute#%09d", "id").alias("name"))
+    index = M.build_index(names, broadcast_names=0)
+    texts = spark.range(300).select("id", F.format_string("Institute#%09d", "id").alias("text"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        hits = M.best_hits(texts, ["id"], "text", index)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Grams and anchors by gram; candidates and texts by id. Nothing else is dealt out.
+    assert plan.count("Exchange hashpartitioning") == 4
