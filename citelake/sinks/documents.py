@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from citelake.functions import trees
 
 PER_FILE = 100_000
+#: Documents repeat their keys in every line: plain they take some ten times the disk. Files are small, so one is one task's work.
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def write_documents(documents: DataFrame, path: str, per_file: int = PER_FILE) -> None:
     """``doc_id, json`` as lines ``{"doc_id": …, "article": {…}}``; a column ``article`` that holds the same tree is written as it is."""
     (
         documents.select("doc_id", _article(documents))
-        .write.option("maxRecordsPerFile", per_file)
+        .write.options(maxRecordsPerFile=per_file, **COMPRESSED)
         .json(path)
     )
 
@@ -33,7 +35,8 @@ def write_batches(documents: DataFrame, path: str) -> None:
     (
         documents.select("batch", "doc_id", _article(documents))
         .repartition("batch")
-        .write.partitionBy("batch")
+        .write.options(**COMPRESSED)
+        .partitionBy("batch")
         .json(path)
     )
 

@@ -216,3 +216,20 @@ def test_a_text_is_cut_once(spark, put):
     """No filter inferred for the explode cuts every text again."""
     plan = A.read_records(spark, put("r.xml", "<PubmedArticle>a</PubmedArticle>"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_documents_are_written_compressed_and_read_back(spark, tmp_path):
+    rows = spark.range(2000).select(
+        F.concat(F.lit("d"), F.col("id").cast("string")).alias("doc_id"),
+        F.concat(F.lit('{"MedlineCitation":{"PMID":{"value":"'), F.col("id").cast("string"), F.lit('"}}}')).alias("json"),
+    )
+    path = str(tmp_path / "docs")
+    documents.write_documents(rows, path, per_file=500)
+    files_written = [f for f in (tmp_path / "docs").iterdir() if f.name.startswith("part-")]
+    assert files_written and all(f.name.endswith(".json.gz") for f in files_written)
+    trees, bad = A.split_unreadable(A.read_article_json(spark, path))
+    assert bad.count() == 0
+    assert {(r.doc_id, r.pmid) for r in A.articles_from_trees(trees).collect()} == {(f"d{i}", str(i)) for i in range(2000)}
+    batches = str(tmp_path / "batches")
+    documents.write_batches(rows.withColumn("batch", F.lit(1)), batches)
+    assert all(f.name.endswith(".json.gz") for f in (tmp_path / "batches" / "batch=1").iterdir() if f.name.startswith("part-"))
