@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from citelake.functions.trees import held_once
 from citelake.session import spread, stage_path
+from citelake.sinks.documents import PER_FILE
 from citelake.sources.files import read_checks
 
 
@@ -279,36 +281,55 @@ def write_order_documents(spark: SparkSession, sf_dir: str) -> str:
     """
     path = stage_path(spark, "orders-json")
 
-    def one_or_list(values: Column) -> Column:
-        many = F.to_variant_object(values)
-        return F.when(F.size(values) > 1, many).when(F.size(values) == 1, F.to_variant_object(F.get(values, 0)))
-
     def author(a: Column) -> Column:
         infos = F.transform(
             a["affiliations"],
-            lambda f, j: F.struct(
+            lambda f, j: F.to_json(F.struct(
                 F.struct(F.coalesce(f["affiliation"], F.lit("")).alias("value")).alias("Affiliation"),
                 F.concat(F.lit("note "), _text(j)).alias("Note"),
-            ),
+            )),
         )
-        return F.struct(
+        rest = F.to_json(F.struct(
             F.struct(a["last_name"].alias("value")).alias("LastName"),
             F.array(a["initials"], F.lit(None).cast("string")).alias("Marks"),
-            F.parse_json(F.coalesce(F.to_json(one_or_list(infos)), F.lit("null"))).alias("AffiliationInfo"),
-        )
-
-    authors = F.transform("authors", lambda a: F.to_json(author(a)))
-    # A group that is missing has no key at all.
-    texts = F.transform(authors, lambda t: F.replace(t, F.lit(',"AffiliationInfo":null'), F.lit("")))
-    group = F.when(F.size(texts) > 1, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).otherwise(F.get(texts, 0))
-    body = F.concat(
-        F.lit('{"MedlineCitation":{"PMID":{"value":"'), "pmid", F.lit('"},"Extra":{"of":'), "pmid", F.lit(',"more":[true,{}]},"Article":{'),
-        F.coalesce(F.concat(F.lit('"AuthorList":{"CompleteYN":"Y","Author":'), group, F.lit("}")), F.lit("")), F.lit("}}}"),
+        ))
+        # A group that is missing has no key at all.
+        group = F.concat(F.lit('{"AffiliationInfo":'), _one_or_list(infos), F.lit(","))
+        return F.concat(F.coalesce(group, F.lit("{")), F.substr(rest, F.lit(2)))
+
+    group = _one_or_list(F.transform("authors", author))
+    line = F.concat(
+        F.lit('{"doc_id":"'), "doc_id", F.lit('","article":{"MedlineCitation":{"PMID":{"value":"'), "pmid",
+        F.lit('"},"Extra":{"of":'), "pmid", F.lit(',"more":[true,{}]},"Article":{'),
+        F.coalesce(F.concat(F.lit('"AuthorList":{"CompleteYN":"Y","Author":'), group, F.lit("}")), F.lit("")), F.lit("}}}}"),
     )
-    articles(spark, sf_dir).select("doc_id", F.parse_json(body).alias("article")).write.option("compression", "gzip").json(path)
+    # Lines of JSON as they are: from variants Spark writes every text through a generator of its own.
+    lines = articles(spark, sf_dir).select(F.coalesce(line, F.lit("{}")).alias("value"))
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    _renamed(spark, path, ".txt.gz", ".json.gz")
     return path
 
 
+def _one_or_list(texts: Column) -> Column:
+    """JSON texts as the JSON of their group: one as it is, several as a list, NULL without any."""
+    def joined(texts: Column) -> Column:
+        many = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+        return F.when(F.size(texts) > 1, many).when(F.size(texts) == 1, F.get(texts, 0))
+
+    return held_once(texts, joined)
+
+
+def _renamed(spark: SparkSession, path: str, end: str, new: str) -> None:
+    """The files of folder ``path`` that end with ``end`` end with ``new`` from now on."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.endswith(end) and not name.startswith((".", "_")):
+            fs.rename(status.getPath(), hadoop.Path(folder, name.removesuffix(end) + new))
+
+
 def write_article_citations(spark: SparkSession, sf_dir: str) -> str:
     """The authors, affiliations and dates of ``articles`` as citation XML, in gzip files; affiliations without text have none here either."""
     path = stage_path(spark, "articles-xml")

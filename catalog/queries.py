@@ -362,7 +362,7 @@ def enrich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = node(F.col("a"), "AffiliationInfo")
     return people.select(
         "doc_id", "extra", "author_pos", F.to_json(node(F.col("a"), "Marks")).alias("marks"),
-        F.when(group.isNull(), "none").when(F.to_json(group) == "{}", "empty")
+        F.when(group.isNull(), "none").when(F.size(F.try_variant_get(group, "$", "map<string,variant>")) == 0, "empty")
         .when(F.schema_of_variant(group).startswith("ARRAY"), "list").otherwise("one").alias("shape"),
         F.posexplode_outer(members(F.col("a"), "AffiliationInfo")).alias("pos", "f"),
     ).select(

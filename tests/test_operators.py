@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citelake import schemas
-from citelake.functions import text as X
+from citelake.functions import text as X, trees
 from citelake.operators import dictionary as D
 from citelake.operators import enrich as E
 from citelake.operators import flatten, gates, integrity, keys, vocabulary
@@ -300,3 +300,14 @@ def test_gzip_check_takes_small_batches(spark):
     checked = integrity.check_gzip(spark.createDataFrame(rows, "name string, path string, content binary"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
     assert {r.name: r.ok for r in checked.collect()} == {str(i): i % 2 == 1 for i in range(20)}
+
+
+def test_changed_trees_are_worked_out_once(spark):
+    texts = ['{"a":{"b":1},"x":null}', '{"a":{"x":{"y":2}}}', "[1]", "null", None, "{}"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.parse_json("t").alias("v"))
+    new = trees.changed(F.col("v"), "a", lambda a: trees.changed(trees.with_member(a, "x"), "x", lambda x: trees.with_texts(x, {"z": F.lit("n")})))
+    got = {r.i: r.j for r in rows.select("i", F.to_json(new).alias("j")).collect()}
+    assert got == {0: '{"a":{"b":1,"x":{"z":"n"}},"x":null}', 1: '{"a":{"x":{"y":2,"z":"n"}}}', 2: "[1]", 3: "null", 4: None, 5: "{}"}
+    # However often the changed member is used, it is made once.
+    plan = rows.select(new.alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("map_concat(") + plan.count("mapconcat(") == 2
