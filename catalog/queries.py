@@ -67,12 +67,15 @@ def passage_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- enrichment
 
-def _enriched(spark: SparkSession, sf_dir: str, mode: str, **limits: int) -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str, mode: str, numbered: bool = False, **limits: int) -> DataFrame:
+    """``numbered``: to be numbered next."""
+    rows = C.articles(spark, sf_dir)
     return enrich(
-        C.articles(spark, sf_dir),
+        keys.counted(rows) if numbered else rows,
         organisation_index(C.organisations(spark, sf_dir), **limits),
         country_index(C.countries(spark, sf_dir), **limits),
         mode,
+        bucketed=numbered,
     )
 
 
@@ -171,8 +174,8 @@ def pubdate_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def affiliation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched and gated articles: authors joined to their affiliations by number."""
-    kept = gates.gate_any(_enriched(spark, sf_dir, "fallback"))
-    numbered = keys.number_articles(kept, staged=True)
+    kept = gates.gate_any(_enriched(spark, sf_dir, "fallback", numbered=True))
+    numbered = keys.number_articles(kept, staged=True, kept=["pmid", "authors"])
     return (
         flatten.author_affiliation(numbered)
         .join(flatten.author(numbered).select("author_no", "lastname"), "author_no")

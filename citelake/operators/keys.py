@@ -22,7 +22,11 @@ DIGITS = 3
 
 
 def dealt_by_bucket(articles: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """The articles with their bucket, shuffled by it once: joins on bucket and id and the numbering run where they are."""
+    """The articles with their bucket, shuffled by it once: joins on bucket and id and the numbering run where they are.
+
+    Needs a setting that sessions of others may lack; it only saves shuffles, and is set from here on.
+    """
+    articles.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return articles.withColumn(BUCKET, bucket_of(ARTICLE_ID, digits)).repartition(BUCKET)
 
 
@@ -33,6 +37,7 @@ def with_bases(
     start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
     digits: int = DIGITS,
     staged: bool = False,
+    kept: Sequence[str] | None = None,
 ) -> DataFrame:
     """Give every row a block of ``sizes[x]`` numbers beginning at ``x_base``.
 
@@ -46,6 +51,8 @@ def with_bases(
     than some 10^9 rows. ``df`` is evaluated twice; with ``staged`` once, being
     written in between, which also makes every later use of the result a scan.
 
+    ``kept`` names the columns to go on with beside ``keys``, all by default.
+
     ``start`` has the first number of each kind, or is told how many are needed
     and then gives them (``staged`` only).
     """
@@ -54,7 +61,7 @@ def with_bases(
     if callable(start) and not staged:
         raise ValueError("numbers can be asked for only once the rows are staged")
     # A bucket that the rows bring along is that of the same keys and digits.
-    columns = [c for c in df.columns if c != BUCKET]
+    columns = [c for c in df.columns if c != BUCKET and not c.startswith(_COUNTED) and (kept is None or c in kept or c in keys)]
     bucket = F.col(BUCKET) if BUCKET in df.columns else bucket_of(keys, digits).alias(BUCKET)
     sized = df.select(
         *columns,
@@ -147,13 +154,26 @@ def affiliation_total(authors: Column) -> Column:
 ARTICLE_KEYS = ("author", "affiliation", "reference", "heading", "keyword")
 
 
-def _article_sizes() -> dict[str, Column]:
+#: How many members a group has that enrichment leaves alone, if counted already.
+_COUNTED = "_count_"
+
+
+def counted(articles: DataFrame) -> DataFrame:
+    """The articles with the sizes of their references, headings and keywords, so that numbering does not need these themselves:
+    what is not used after it need not be shuffled for it.
+    """
+    sizes = _article_sizes(articles.columns)
+    return articles.withColumns({f"{_COUNTED}{x}": sizes[x] for x in ("reference", "heading", "keyword")})
+
+
+def _article_sizes(columns: Sequence[str]) -> dict[str, Column]:
+    def members(x: str) -> Column:
+        return F.col(f"{_COUNTED}{x}") if f"{_COUNTED}{x}" in columns else _members(F.col(f"{x}s"))
+
     return {
         "author": _members(F.col("authors")),
         "affiliation": affiliation_total(F.col("authors")),
-        "reference": _members(F.col("references")),
-        "heading": _members(F.col("headings")),
-        "keyword": _members(F.col("keywords")),
+        **{x: members(x) for x in ("reference", "heading", "keyword")},
     }
 
 
@@ -162,12 +182,14 @@ def number_articles(
     start: Mapping[str, int] | Callable[[Mapping[str, int]], Mapping[str, int]] | None = None,
     digits: int = DIGITS,
     staged: bool = False,
+    kept: Sequence[str] | None = None,
 ) -> DataFrame:
     """Reserve the numbers of all members of an article at once.
 
     The flatteners add a member's position to the article's base, so parents
-    and links agree without a join and all flatteners are narrow.
+    and links agree without a join and all flatteners are narrow. ``kept``: the columns to go on with beside the
+    article's id, by default all; others are not shuffled or staged.
     """
     return with_bases(
-        articles, _article_sizes(), list(ARTICLE_ID), start, digits, staged
+        articles, _article_sizes(articles.columns), list(ARTICLE_ID), start, digits, staged, kept
     )

@@ -311,3 +311,42 @@ def test_changed_trees_are_worked_out_once(spark):
     # However often the changed member is used, it is made once.
     plan = rows.select(new.alias("n"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("map_concat(") + plan.count("mapconcat(") == 2
+
+
+def test_numbering_carries_only_what_is_kept(spark):
+    rows = [
+        article(f"d{i}", [("a", ["x"] * (i % 3))], keywords=[("k", "Y")] * (i % 4), references=[("cited", [])] * (i % 2))
+        for i in range(40)
+    ]
+    articles = frame(spark, *rows)
+    whole = keys.number_articles(articles, {"author": 100})
+    few = keys.number_articles(keys.counted(articles), {"author": 100}, kept=["pmid", "authors"])
+    bases = [f"{x}_base" for x in keys.ARTICLE_KEYS]
+    assert few.columns == ["doc_id", "source_file", "pmid", "authors", *bases]
+    assert sorted(few.select("doc_id", *bases).collect()) == sorted(whole.select("doc_id", *bases).collect())
+    staged = keys.number_articles(keys.counted(articles), staged=True, kept=["pmid", "authors"])
+    assert staged.columns == few.columns and staged.count() == 40
+    # Beside the whole articles nothing of the counting is left.
+    assert keys.number_articles(keys.counted(articles)).columns == whole.columns
+
+
+def test_dealt_articles_are_shuffled_once_in_any_session(spark):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    held = {k: spark.conf.get(k) for k in (key, "spark.sql.autoBroadcastJoinThreshold")}
+    rows = [article(f"d{i}", [("a", [f"Dept, Institute {i}"])]) for i in range(40)]
+    names = spark.range(40).select(F.concat(F.lit("Institute "), "id").alias("name"), F.lit("C").alias("country_code"), F.lit("Land").alias("country_name"))
+    countries = E.country_index(spark.createDataFrame([("Land", "C")], "country_name string, country_code string"))
+    try:
+        spark.conf.set(key, "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        index = E.organisation_index(names, **GRAMS)
+        # As in the catalog's queries, the file is the same for all articles, and known before they are read.
+        articles = frame(spark, *rows).withColumn("source_file", F.lit("s"))
+        enriched = E.enrich(articles, index, countries, bucketed=True)
+        plan = enriched._jdf.queryExecution().executedPlan().toString()
+        # Articles by bucket and hits by bucket.
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert enriched.where("authors[0].affiliations[0].institution_name IS NOT NULL").count() == 40
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
