@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citelake.functions.trees import held_once
 from citelake.session import spread, stage_path
-from citelake.sinks.documents import PER_FILE
+from citelake.sinks.documents import COMPRESSED, PER_FILE
 from citelake.sources.files import read_checks
 
 
@@ -230,10 +230,15 @@ def write_line_citations(spark: SparkSession, sf_dir: str) -> str:
             ),
         ),
     )
-    table(spark, sf_dir, "lineitem").select(record.alias("value")).write.text(path)
+    _write_compressed(table(spark, sf_dir, "lineitem").select(record.alias("value")), path)
     return path
 
 
+def _write_compressed(lines: DataFrame, path: str) -> None:
+    """Texts as gzip files: their tags repeat, so plain ones take some twenty times the disk. No file is cut when it is read, so each is small."""
+    lines.write.options(maxRecordsPerFile=PER_FILE, **COMPRESSED).text(path)
+
+
 def write_numbered_citations(spark: SparkSession, sf_dir: str) -> str:
     """Every ``lineitem`` row as a citation whose id grows by one from record to record of a file."""
     path = stage_path(spark, "numbered-xml")
@@ -242,8 +247,8 @@ def write_numbered_citations(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def write_order_citations(spark: SparkSession, sf_dir: str, malformed: bool = False) -> str:
-    """Every order as a small XML citation; every tenth not well-formed if asked."""
+def write_order_citations(spark: SparkSession, sf_dir: str, malformed: bool = False, compressed: bool = False) -> str:
+    """Every order as a small XML citation; every tenth not well-formed, and in gzip files, if asked."""
     path = stage_path(spark, "orders-xml")
     key = F.col("o_orderkey")
     end = F.lit("</PMID>")
@@ -255,7 +260,11 @@ def write_order_citations(spark: SparkSession, sf_dir: str, malformed: bool = Fa
         _element("Keyword", F.col("o_orderstatus")),
     )
     record = _element("PubmedArticle", _element("MedlineCitation", pmid, keywords))
-    table(spark, sf_dir, "orders").select(record.alias("value")).write.text(path)
+    lines = table(spark, sf_dir, "orders").select(record.alias("value"))
+    if compressed:
+        _write_compressed(lines, path)
+    else:
+        lines.write.text(path)
     return path
 
 
@@ -305,7 +314,7 @@ def write_order_documents(spark: SparkSession, sf_dir: str) -> str:
     )
     # Lines of JSON as they are: from variants Spark writes every text through a generator of its own.
     lines = articles(spark, sf_dir).select(F.coalesce(line, F.lit("{}")).alias("value"))
-    lines.write.option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    _write_compressed(lines, path)
     _renamed(spark, path, ".txt.gz", ".json.gz")
     return path
 

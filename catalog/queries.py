@@ -24,7 +24,7 @@ from citelake.sources.vocabulary import read_descriptors
 from citelake.streaming.arrivals import start_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
-TEXT_FILES = "*.txt"  # what Spark's text writer produces
+TEXT_FILES = "*.{txt,txt.gz}"  # what Spark's text writer produces
 
 
 # ------------------------------------------------------------------- matching

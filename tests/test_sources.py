@@ -1,9 +1,10 @@
 import json
+import pathlib
 import random
 
 from pyspark.sql import functions as F
 
-from catalog import citations
+from catalog import citations, queries
 from citelake import schemas
 from citelake.sinks import documents
 from citelake.sources import articles as A, files
@@ -233,3 +234,23 @@ def test_documents_are_written_compressed_and_read_back(spark, tmp_path):
     batches = str(tmp_path / "batches")
     documents.write_batches(rows.withColumn("batch", F.lit(1)), batches)
     assert all(f.name.endswith(".json.gz") for f in (tmp_path / "batches" / "batch=1").iterdir() if f.name.startswith("part-"))
+
+
+def test_citations_of_queries_are_written_compressed(spark, tmp_path):
+    lines = spark.range(20).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(2).alias("l_suppkey"), F.lit(3).alias("l_partkey"),
+        F.lit("N").alias("l_returnflag"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = spark.range(20).select(F.col("id").alias("o_orderkey"), F.lit("1-URGENT").alias("o_orderpriority"), F.lit("O").alias("o_orderstatus"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    for path, n in (
+        (citations.write_line_citations(spark, str(tmp_path)), 20),
+        (citations.write_order_citations(spark, str(tmp_path), malformed=True, compressed=True), 20),
+    ):
+        written = [f.name for f in pathlib.Path(path).iterdir() if f.name.startswith("part-")]
+        assert written and all(name.endswith(".txt.gz") for name in written)
+        ids = A.with_doc_ids(A.read_records(spark, path, glob=queries.TEXT_FILES)).select("doc_id", "source_file", "record").collect()
+        assert len(ids) == len({(r.source_file, r.doc_id) for r in ids}) == n
+    articles, bad = A.split_malformed(A.read_articles(spark, path, glob=queries.TEXT_FILES))
+    assert (articles.count(), bad.count()) == (18, 2)
