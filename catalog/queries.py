@@ -247,11 +247,11 @@ def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of the articles and malformed records of one load, from its run record."""
     out = stage_path(spark, "tables")
     articles = C.articles(spark, sf_dir)
-    path = C.write_order_citations(spark, sf_dir, malformed=True)
+    path = C.write_order_citations(spark, sf_dir, malformed=True, compressed=True)
     _, bad = A.split_malformed(A.read_articles(spark, path, glob=TEXT_FILES))
     enriched = enrich(
         articles, organisation_index(C.organisations(spark, sf_dir)), country_index(C.countries(spark, sf_dir)),
-        "independent",
+        "independent", bucketed=True,
     )
     load.store(enriched, out, "run", "any", 1995, bad, articles.count())
     return tables.load_totals(spark, out)
