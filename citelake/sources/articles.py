@@ -5,7 +5,6 @@ from __future__ import annotations
 import codecs
 import itertools
 import json
-import re
 from collections.abc import Callable, Iterator, Sequence
 from xml.etree import ElementTree
 
@@ -76,11 +75,19 @@ def _opens(text: Column, tag: str) -> Column:
 
 def _cut(texts: Iterator[str], tag: str) -> Iterator[str]:
     """Records of a file that comes in pieces, cut as ``read_records`` cuts them. Holds one record and one piece."""
-    closing, opening = f"</{tag}>", re.compile(rf"(?=<{tag}[\s>])")
+    closing, opening = f"</{tag}>", f"<{tag}"
     rest = ""
 
+    def places(between: str) -> Iterator[int]:
+        at = between.find(opening)
+        while at >= 0:
+            after = between[at + len(opening) : at + len(opening) + 1]
+            if after == ">" or after.isspace():
+                yield at
+            at = between.find(opening, at + 1)
+
     def records(between: str) -> Iterator[str]:
-        starts = [m.start() for m in opening.finditer(between)]
+        starts = list(places(between))
         for start, end in zip(starts, [*starts[1:], None]):
             yield between[start:end] + (closing if end is None else "")
 

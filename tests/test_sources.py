@@ -1,6 +1,7 @@
 import json
 import pathlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -254,3 +255,18 @@ def test_citations_of_queries_are_written_compressed(spark, tmp_path):
         assert len(ids) == len({(r.source_file, r.doc_id) for r in ids}) == n
     articles, bad = A.split_malformed(A.read_articles(spark, path, glob=queries.TEXT_FILES))
     assert (articles.count(), bad.count()) == (18, 2)
+
+
+def test_records_are_cut_without_a_pattern(monkeypatch):
+    rng, pattern = random.Random(3), re.compile(r"(?=<T[\s>])")
+    bits = ["<T>", "<T a='1'>", "</T>", "<Tx>", "<T", "x", " ", "\n", "<T\xa0>", "<", "</T", "<T<T>", "é"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(2000)]
+
+    def expected(text):
+        for between in text.split("</T>"):
+            starts = [m.start() for m in pattern.finditer(between)]
+            yield from (between[a:b] + ("</T>" if b is None else "") for a, b in zip(starts, [*starts[1:], None]))
+
+    wanted = [list(expected(t)) for t in texts]
+    monkeypatch.setattr(re, "compile", None)
+    assert [list(A._cut(iter([t[i : i + 5] for i in range(0, len(t), 5)]), "T")) for t in texts] == wanted
